@@ -32,6 +32,15 @@ _ITEM = "struct<t string, {}>".format(", ".join(f"{leaf} variant" for leaf in _L
 _CANDLE = "struct<open double, high double, low double, close double, n bigint, volume bigint, timestamp double>"
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Compute the columns of each row once.
+
+    A filter or generator on parsed columns would otherwise be pushed below the parse, taking a copy
+    of the whole expression with it; it does not move below this one-row generator.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def _json_fields(**fields: str):
     """The line as a list of objects with these fields."""
     schema = "array<struct<{}>>".format(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
@@ -105,7 +114,7 @@ def parse_messages(lines: DataFrame, *, mode_field: str = "mode") -> DataFrame:
     rows = rows.withColumn("kind", kind).withColumn("reason", reason)
     good = (F.col("kind") == "data") & F.col("reason").isNull()
     known = (F.col("kind") == "data") & (F.col("reason").isNull() | ~F.col("reason").isin(UNREADABLE))
-    return rows.select(
+    messages = rows.select(
         *ORDER,
         "kind",
         "reason",
@@ -116,6 +125,7 @@ def parse_messages(lines: DataFrame, *, mode_field: str = "mode") -> DataFrame:
         F.when(good, F.col("items")).alias("items"),
         F.when(good, F.col("line")).alias("line"),
     )
+    return _once(messages)
 
 
 def _start(doc: Column) -> Column:
@@ -236,7 +246,7 @@ def line_facts(messages: DataFrame, *, require_equity: bool = True, candle: bool
         whole = F.coalesce(_json_fields(value=f"array<{item}>")[0]["value"], F.array(_json_fields(value=item)[0]["value"]))
         candles = F.filter(whole, lambda e: e["t"] == CANDLE_TAG)
         columns.append(F.when(usable, F.try_element_at(candles, F.lit(-1))["candle"]).alias("candle"))
-    return facts.select(*columns)
+    return _once(facts.select(*columns))
 
 
 def explode_items(messages: DataFrame) -> DataFrame:

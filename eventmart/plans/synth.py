@@ -39,8 +39,10 @@ NOISE = {
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    # a file too small to split would leave all parsing to one task; large tables keep their splits
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def _json(*columns: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventmart.functions.naming import file_time, output_name
+from eventmart.functions.naming import epoch_seconds, file_time, output_name
 
 LOG_GLOB = "*.jsnl"
 UNFINISHED = "current"
@@ -21,12 +21,15 @@ def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GL
     """(path, file_name, file_ts, length); reads no content. ``path``: a directory, or single files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     name = F.col("_metadata.file_name")
-    return files.where(~F.contains(name, F.lit(exclude))).select(
-        "path",
-        name.alias("file_name"),
-        F.coalesce(file_time(name), F.unix_micros("modificationTime") / 1e6).alias("file_ts"),
-        "length",
+    listing = files.where(~F.contains(name, F.lit(exclude))).select(
+        "path", name.alias("file_name"), epoch_seconds(F.col("modificationTime")).alias("mtime"), "length"
     )
+    return with_file_ts(listing).drop("mtime")
+
+
+def with_file_ts(listing: DataFrame) -> DataFrame:
+    """Add ``file_ts``: the time in the file name, or else the modification time ``mtime``."""
+    return listing.withColumn("file_ts", F.coalesce(file_time(F.col("file_name")), "mtime"))
 
 
 def pick_files(listing: DataFrame, n: int | None = None) -> DataFrame:
@@ -51,7 +54,7 @@ def with_metadata(text: DataFrame, exclude: str = UNFINISHED) -> DataFrame:
     """File name, time and split of each line; the name filter comes first so that it prunes files."""
     name = F.col("_metadata.file_name")
     return text.where(~F.contains(name, F.lit(exclude))).select(
-        F.coalesce(file_time(name), F.unix_micros("_metadata.file_modification_time") / 1e6).alias("file_ts"),
+        F.coalesce(file_time(name), epoch_seconds(F.col("_metadata.file_modification_time"))).alias("file_ts"),
         name.alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
