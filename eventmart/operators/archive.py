@@ -10,36 +10,24 @@ from eventmart.operators.keys import ORDER, broadcast_if_small
 from eventmart.sources.tables import PERIOD, Warehouse, archive_table
 
 
-def compact(warehouse: Warehouse, rows: DataFrame, area, *, grain: str = "week", mode: str = "accumulate") -> DataFrame:
+def compact(warehouse: Warehouse, rows: DataFrame, area, *, grain: str = "week", mode: str = "accumulate") -> None:
     """Write archive rows into their periods, sorted by mode and time inside each file.
 
     ``accumulate`` keeps what earlier runs stored in the same periods; rows of a file that is archived
     again replace those stored from it. ``replace`` leaves only this run's rows in the periods it
-    touches. Returns the incoming rows, staged.
+    touches. ``rows`` should come from a staged table: they are read once for the keys of the periods
+    they touch and once for the write.
     """
     if mode not in ("accumulate", "replace"):
         raise ValueError(f"mode must be accumulate or replace, not {mode!r}")
     table = archive_table(grain)
-    placed = area.table(warehouse.place(table, rows), f"{table.name}_incoming")
-    if not placed.take(1):
-        return placed
+    placed = warehouse.place(table, rows)
     result = placed
     if mode == "accumulate" and warehouse.exists(table):
         again = area.table(placed.select("src").distinct(), f"{table.name}_sources")
         kept = warehouse.touched(table, placed, warehouse.stored(table))
         result = placed.unionByName(kept.join(broadcast_if_small(again), "src", "left_anti"))
-    # ranges of (partition, mode, time, line): a hot period spreads over many sorted files
-    by_time = [*table.partitions, "mode", "timestamp", *ORDER]
-    (
-        result.repartitionByRange(*by_time)
-        .sortWithinPartitions(*by_time)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*table.partitions)
-        .parquet(warehouse.path(table))
-    )
-    return placed
+    warehouse.write(table, result, ["mode", "timestamp", *ORDER])
 
 
 def read_archive(warehouse: Warehouse, mode: str | None = None, *, start: float | None = None,

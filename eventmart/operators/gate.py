@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.operators.keys import FILE, ORDER, broadcast_if_small, position
+from eventmart.operators.keys import FILE, broadcast_if_small, position
 from eventmart.operators.parse import NO_CONFIG, UNREADABLE
 
 
@@ -36,7 +36,8 @@ def gate_configs(facts: DataFrame, gates: DataFrame) -> DataFrame:
     """Data lines of a mode that is not registered before them get the reason ``no_config``.
 
     Once a mode is open it stays open, so its first start message decides; ``gates`` is
-    ``open_modes`` staged. Lines without a mode spread over many join keys.
+    ``open_modes`` staged. Lines without a mode spread over many join keys. Only ``reason`` changes, so
+    filters on the other columns still reach the scan.
     """
     key = F.coalesce(F.col("mode"), F.concat(F.lit("\u0000"), (F.col("ord") % 4096).cast("string")))
     gates = broadcast_if_small(gates).select(F.col("mode").alias("gate_mode"), "known", "opens")
@@ -44,13 +45,8 @@ def gate_configs(facts: DataFrame, gates: DataFrame) -> DataFrame:
     is_open = F.coalesce(F.col("known") | (F.col("opens") < position()), F.lit(False))
     needs = (F.col("kind") == "data") & (F.col("reason").isNull() | ~F.col("reason").isin(UNREADABLE))
     shut = needs & ~is_open
-    columns = [c for c in facts.columns if c not in ("reason", "equity", "trades", "others")]
-    payload = [c for c in ("equity", "trades", "others") if c in facts.columns]
-    return joined.select(
-        *columns,
-        F.when(shut, NO_CONFIG).otherwise(F.col("reason")).alias("reason"),
-        *[F.when(~shut, F.col(c)).alias(c) for c in payload],
-    )
+    gated_reason = F.when(shut, NO_CONFIG).otherwise(F.col("reason")).alias("reason")
+    return joined.select(*[gated_reason if c == "reason" else c for c in facts.columns])
 
 
 def accepted(facts: DataFrame) -> DataFrame:
@@ -81,6 +77,3 @@ def live_by_file(rows: DataFrame, facts: DataFrame, instances: DataFrame | None
 def attach_live(rows: DataFrame, flags: DataFrame) -> DataFrame:
     """Add ``live`` to rows; ``flags`` is ``live_by_file`` staged."""
     return rows.join(broadcast_if_small(flags), ["mode", *FILE], "left")
-
-
-__all__ = ["ORDER", "accepted", "attach_live", "first_starts", "gate_configs", "live_by_file", "open_modes"]

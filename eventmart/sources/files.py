@@ -11,14 +11,17 @@ LOG_GLOB = "*.jsnl"
 UNFINISHED = "current"
 
 # Files up to this size get the md5 of their bytes; larger ones a digest computed split by split.
-MD5_LIMIT = 256 * 1024 * 1024
+MD5_LIMIT = 64 * 1024 * 1024
 
 MANIFEST = "file_name string, file_id string, length bigint, n_lines bigint, ingested_at string"
 
 
 def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GLOB,
                exclude: str = UNFINISHED) -> DataFrame:
-    """(path, file_name, file_ts, length); reads no content. ``path``: a directory, or single files."""
+    """(path, file_name, file_ts, length); reads no content. ``path``: a directory, or single files.
+
+    Files of length zero hold no lines and are not listed.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     name = F.col("_metadata.file_name")
     listing = files.where(~F.contains(name, F.lit(exclude))).select(

@@ -114,12 +114,13 @@ class Warehouse:
         rows = rows.select(*table.columns).withColumn(PART, self.part(F.coalesce("mode", F.lit(""))))
         return rows.withColumn(PERIOD, table.period()) if table.time else rows
 
-    def write(self, table: Table, placed: DataFrame) -> None:
-        """Replace exactly the partitions that occur in ``placed``.
+    def write(self, table: Table, placed: DataFrame, order: list[str] | None = None) -> None:
+        """Replace exactly the partitions that occur in ``placed``; each file is sorted by ``order``.
 
-        The rebalance puts a small partition into one file and splits a hot one over many tasks.
+        The rebalance puts a small partition into one file and splits a hot one over many tasks, by
+        the input tasks its rows come from: files of a hot period follow the order of the log files.
         """
-        order = [c for c in ("mode", table.time) if c]
+        order = order or [c for c in ("mode", table.time) if c]
         (
             placed.hint("rebalance", *[F.col(c) for c in table.partitions])
             .sortWithinPartitions(*table.partitions, *order)
