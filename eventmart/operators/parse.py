@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,28 +58,37 @@ def parse_messages(lines: DataFrame, *, mode_field: str = "mode") -> DataFrame:
     a number and an absent key from a null. ``mode_field`` names the key that holds the mode (older
     logs use ``type``).
     """
+    steps, columns = _message_columns(mode_field)
+    rows = lines
+    for step in steps:
+        rows = rows.withColumns(step)
+    return _once(rows.select(*columns))
+
+
+@lru_cache
+def _message_columns(mode_field: str) -> tuple[list[dict[str, Column]], list[Column]]:
+    """The columns added one after the other, and those of the result; built once per process."""
     typed = {"timestamp": "double", mode_field: "string", "component": "string", "type": "string",
              "value": f"array<{_ITEM}>"}
     loose = {"timestamp": "variant", mode_field: "variant", "component": "variant", "value": "variant"}
     asked = {"mode": "variant", "component": "variant", "live": "variant", "config": "variant",
              "config_file_path": "variant"}
-    doc, exact = F.col("doc"), F.col("exact")
-    rows = (
-        lines.withColumn("readable", F.is_valid_utf8("line"))
-        .withColumn("line", v.strip(F.col("line")))
-        .withColumn("docs", F.when(F.col("readable") & (F.col("line") != ""), _json_fields(**typed)))
-        .withColumn("doc", F.when(F.size("docs") == 1, F.col("docs")[0]))
-        .withColumn("asked", F.when(doc["type"].isin(START_TYPES), _json_fields(**asked)[0]))
-        .withColumn("start", _start(F.col("asked")))
-    )
+    doc, exact, is_start = F.col("doc"), F.col("exact"), F.col("start").isNotNull()
+    is_data = doc.isNotNull() & ~is_start
+    steps = [
+        {"readable": F.is_valid_utf8("line"), "line": v.strip(F.col("line"))},
+        {"docs": F.when(F.col("readable") & (F.col("line") != ""), _json_fields(**typed))},
+        {"doc": F.when(F.size("docs") == 1, F.col("docs")[0])},
+        {"asked": F.when(doc["type"].isin(START_TYPES), _json_fields(**asked)[0])},
+        {"start": _start(F.col("asked"))},
+    ]
     unusual = (
         doc["timestamp"].isNull() | doc["value"].isNull()
         | F.coalesce(doc[mode_field].isin(_AMBIGUOUS), F.lit(False))
         | F.coalesce(doc["component"].isin(_AMBIGUOUS), F.lit(False))
         | F.exists(doc["value"], lambda x: x.isNull() | F.coalesce(x["t"].isin(_AMBIGUOUS), F.lit(False)))
     )
-    is_data = doc.isNotNull() & F.col("start").isNull()
-    rows = rows.withColumn("exact", F.when(is_data & unusual, _json_fields(**loose)[0]))
+    steps.append({"exact": F.when(is_data & unusual, _json_fields(**loose)[0])})
 
     def either(usual, closer):
         return F.when(exact.isNull(), usual).otherwise(closer)
@@ -85,9 +96,10 @@ def parse_messages(lines: DataFrame, *, mode_field: str = "mode") -> DataFrame:
     value = exact["value"]
     entries = F.coalesce(v.as_list(value), F.when(v.is_object(value), F.array(value)))
     items = either(F.transform(doc["value"], _item), F.transform(entries, _loose_item))
-    rows = rows.withColumn("items", F.when(is_data, items)).withColumn(
-        "ts", F.when(is_data, either(doc["timestamp"], v.as_float(exact["timestamp"])))
-    )
+    steps.append({
+        "items": F.when(is_data, items),
+        "ts": F.when(is_data, either(doc["timestamp"], v.as_float(exact["timestamp"]))),
+    })
     complete = (
         either(doc["timestamp"] != 0.0, v.is_truthy(exact["timestamp"]))
         & either(F.coalesce(doc[mode_field] != "", F.lit(False)), v.is_truthy(exact[mode_field]))
@@ -98,34 +110,29 @@ def parse_messages(lines: DataFrame, *, mode_field: str = "mode") -> DataFrame:
     # one value that is no object still counts as a line read; anything else is broken JSON
     wrapped = F.concat(F.lit("["), F.col("line"), F.lit("]"))
     one_value = F.size(F.from_json(wrapped, "array<variant>", _STRICT)) == 1
+    is_blank = F.col("readable") & (F.col("line") == "")
     reason = (
         F.when(~F.col("readable"), BAD_JSON)
-        .when((F.col("line") == "") | F.col("start").isNotNull(), F.lit(None))
+        .when(is_blank | is_start, F.lit(None))
         .when(doc.isNull(), F.when(one_value, NOT_OBJECT).otherwise(BAD_JSON))
         .when(~complete, MISSING)
         .when(F.col("ts").isNull(), BAD_TIMESTAMP)
         .when(odd, BAD_VALUE)
     )
-    kind = (
-        F.when(F.col("readable") & (F.col("line") == ""), "blank")
-        .when(F.col("start").isNotNull(), "start")
-        .otherwise("data")
-    )
-    rows = rows.withColumn("kind", kind).withColumn("reason", reason)
-    good = (F.col("kind") == "data") & F.col("reason").isNull()
-    known = (F.col("kind") == "data") & (F.col("reason").isNull() | ~F.col("reason").isin(UNREADABLE))
-    messages = rows.select(
-        *ORDER,
-        "kind",
-        "reason",
+    steps.append({"kind": F.when(is_blank, "blank").when(is_start, "start").otherwise("data"), "reason": reason})
+    data = F.col("kind") == "data"
+    good = data & F.col("reason").isNull()
+    known = data & (F.col("reason").isNull() | ~F.col("reason").isin(UNREADABLE))
+    columns = [
+        *[F.col(c) for c in (*ORDER, "kind", "reason")],
         F.when(known, F.col("ts")).alias("timestamp"),
         F.when(known, doc[mode_field]).when(F.col("kind") == "start", F.col("start.mode")).alias("mode"),
         F.when(known, doc["component"]).alias("component"),
-        "start",
+        F.col("start"),
         F.when(good, F.col("items")).alias("items"),
         F.when(good, F.col("line")).alias("line"),
-    )
-    return _once(messages)
+    ]
+    return steps, columns
 
 
 def _start(doc: Column) -> Column:
@@ -213,19 +220,27 @@ def line_facts(messages: DataFrame, *, require_equity: bool = True, candle: bool
     with a price, unit or profit that is no number voids its whole line. Without a valid equity the
     line yields nothing, unless ``require_equity`` is off. ``candle`` adds the line's last candle.
     """
+    steps, columns = _fact_columns(require_equity, candle)
+    facts = messages
+    for step in steps:
+        facts = facts.withColumns(step)
+    return _once(facts.select(*columns))
+
+
+@lru_cache
+def _fact_columns(require_equity: bool, candle: bool) -> tuple[list[dict[str, Column]], list[Column]]:
     items = F.col("items")
     equities = F.filter(
         F.transform(F.filter(items, lambda e: e["cls"] == "equity"), lambda e: v.float_or_default(e["equity"])),
         lambda x: x.isNotNull(),
     )
     trades = F.transform(F.filter(items, lambda e: e["cls"] == "trade"), trade_of_item)
-    broken = F.exists(
-        "trades", lambda t: t["price"].isNull() | t["units"].isNull() | t["profit"].isNull()
-    )
-    facts = messages.withColumn("equity", F.try_element_at(equities, F.lit(-1))).withColumn("trades", trades)
-    facts = facts.withColumn("reason", F.when(F.coalesce(broken, F.lit(False)), BAD_VALUE).otherwise(F.col("reason")))
-
-    usable = F.col("items").isNotNull() & F.col("reason").isNull()
+    broken = F.exists("trades", lambda t: t["price"].isNull() | t["units"].isNull() | t["profit"].isNull())
+    steps = [
+        {"equity": F.try_element_at(equities, F.lit(-1)), "trades": trades},
+        {"reason": F.when(F.coalesce(broken, F.lit(False)), BAD_VALUE).otherwise(F.col("reason"))},
+    ]
+    usable = items.isNotNull() & F.col("reason").isNull()
     if require_equity:
         usable = usable & F.col("equity").isNotNull()
     is_other = lambda e: e["cls"] == "other"
@@ -236,7 +251,7 @@ def line_facts(messages: DataFrame, *, require_equity: bool = True, candle: bool
         F.concat(F.lit("["), F.array_join(F.filter(texts, lambda _, i: is_other(items[i])), ","), F.lit("]")),
     )
     columns = [
-        *ORDER, "kind", "reason", "timestamp", "mode", "component", "start",
+        *[F.col(c) for c in (*ORDER, "kind", "reason", "timestamp", "mode", "component", "start")],
         F.when(usable, F.col("equity")).alias("equity"),
         F.when(usable & (F.size("trades") > 0), F.col("trades")).alias("trades"),
         others.alias("others"),
@@ -246,7 +261,7 @@ def line_facts(messages: DataFrame, *, require_equity: bool = True, candle: bool
         whole = F.coalesce(_json_fields(value=f"array<{item}>")[0]["value"], F.array(_json_fields(value=item)[0]["value"]))
         candles = F.filter(whole, lambda e: e["t"] == CANDLE_TAG)
         columns.append(F.when(usable, F.try_element_at(candles, F.lit(-1))["candle"]).alias("candle"))
-    return _once(facts.select(*columns))
+    return steps, columns
 
 
 def explode_items(messages: DataFrame) -> DataFrame:

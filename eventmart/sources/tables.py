@@ -137,15 +137,8 @@ class Warehouse:
         listed = keys.limit(TOUCHED_LIMIT + 1).collect()
         if len(listed) > TOUCHED_LIMIT:
             return rows.join(keys, table.partitions, "left_semi")
-        if not table.time:
-            return rows.where(F.col(PART).isin([r[PART] for r in listed]))
-        periods: dict[str, list[str]] = {}
-        for row in listed:
-            periods.setdefault(row[PERIOD], []).append(row[PART])
-        match = F.lit(False)
-        for period, parts in periods.items():
-            match = match | ((F.col(PERIOD) == period) & F.col(PART).isin(parts))
-        return rows.where(match)
+        # one membership test over the partition columns alone, so that it prunes directories
+        return rows.where(F.concat_ws("/", *table.partitions).isin(["/".join(row) for row in listed]))
 
     def upsert(self, table: Table, incoming: DataFrame, order: list[str], area: Staging) -> DataFrame:
         """Insert rows, replacing those with the same key; among equal incoming keys the last one wins.
