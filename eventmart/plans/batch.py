@@ -80,33 +80,36 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
               **options) -> DataFrame:
     """Ingest the new log files of a directory, or the given files, in the order of their names.
 
-    A file ingested before with the same content is skipped. ``limit`` takes the first n new files;
-    ``processed_dir`` moves files there afterwards (unset: they stay). Further options as for
-    ``ingest_lines``. Returns the counters of each file read.
+    A file ingested before with the same content is skipped; files unchanged since then are not even
+    read. ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards
+    (unset: they stay). Further options as for ``ingest_lines``. Returns the counters of each file read.
     """
     now = now or timestamp_now()
     with staging(spark) as area:
-        listed = sources.with_file_ids(spark, sources.list_files(spark, source, glob=glob))
-        fresh = sources.pick_files(sources.new_files(listed, manifest(warehouse)), limit)
-        fresh = area.table(sources.output_names(fresh), "files")
+        known = manifest(warehouse)
+        changed = sources.changed_files(sources.list_files(spark, source, glob=glob), known)
+        picked = area.table(sources.with_file_ids(spark, area.table(sources.pick_files(changed, limit), "picked")), "files")
+        fresh = area.table(sources.output_names(sources.new_files(picked, known)), "fresh")
         # the driver holds one path per file, as the scan's own file index does
         paths = [row.path for row in fresh.select("path").toLocalIterator()]
-        if not paths:
-            return spark.createDataFrame([], STATS.schema)
-        lines = sources.scan_lines(spark, paths, glob="*")
-        run = "".join(c for c in now if c.isalnum())
-        names = fresh.select("file_name", "src")
-        stats, _ = ingest_lines(warehouse, lines, area, now=now, run=run, names=names, **options)
-        sizes = area.spark.read.parquet(area.path("facts")).groupBy("file_name").agg(F.count("*").alias("n_lines"))
-        entry = fresh.join(sizes, "file_name", "left").select(
-            "file_name", "file_id", "length", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-            F.lit(now).alias("ingested_at"),
+        stats = spark.createDataFrame([], STATS.schema)
+        counted = spark.createDataFrame([], "file_name string, n_lines bigint")
+        if paths:
+            lines = sources.scan_lines(spark, paths, glob="*")
+            run = "".join(c for c in now if c.isalnum())
+            stats, _ = ingest_lines(warehouse, lines, area, now=now, run=run,
+                                    names=fresh.select("file_name", "src"), **options)
+            facts = spark.read.parquet(area.path("facts"))
+            counted = facts.groupBy("file_name").agg(F.count("*").alias("n_lines"))
+        # a file seen before that only looks changed is entered again, without a line count
+        entry = picked.join(counted, "file_name", "left").select(
+            "file_name", "file_id", "length", "mtime", "n_lines", F.lit(now).alias("ingested_at")
         )
         entry.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/ingest_manifest")
         if processed_dir:
             fs.make_dirs(spark, processed_dir)
-            for path in paths:
-                fs.rename(spark, path, f"{processed_dir.rstrip('/')}/{path.rsplit('/', 1)[-1]}")
+            for row in picked.select("path").toLocalIterator():
+                fs.rename(spark, row.path, f"{processed_dir.rstrip('/')}/{row.path.rsplit('/', 1)[-1]}")
         return stats
 
 

@@ -13,12 +13,12 @@ UNFINISHED = "current"
 # Files up to this size get the md5 of their bytes; larger ones a digest computed split by split.
 MD5_LIMIT = 64 * 1024 * 1024
 
-MANIFEST = "file_name string, file_id string, length bigint, n_lines bigint, ingested_at string"
+MANIFEST = "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string"
 
 
 def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GLOB,
                exclude: str = UNFINISHED) -> DataFrame:
-    """(path, file_name, file_ts, length); reads no content. ``path``: a directory, or single files.
+    """(path, file_name, mtime, length, file_ts); reads no content. ``path``: a directory, or single files.
 
     Files of length zero hold no lines and are not listed.
     """
@@ -27,7 +27,7 @@ def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GL
     listing = files.where(~F.contains(name, F.lit(exclude))).select(
         "path", name.alias("file_name"), epoch_seconds(F.col("modificationTime")).alias("mtime"), "length"
     )
-    return with_file_ts(listing).drop("mtime")
+    return with_file_ts(listing)
 
 
 def with_file_ts(listing: DataFrame) -> DataFrame:
@@ -41,6 +41,12 @@ def pick_files(listing: DataFrame, n: int | None = None) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
+def changed_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files not known by name, length and modification time: only their content needs a look."""
+    same = ["file_name", "length", "mtime"]
+    return listing.join(manifest.select(*same), same, "left_anti")
+
+
 def new_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files whose name and content were not ingested before."""
     return listing.join(manifest.select("file_name", "file_id"), ["file_name", "file_id"], "left_anti")

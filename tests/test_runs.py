@@ -10,6 +10,7 @@ import pytest
 from test_lines import random_files
 
 import eventmart as em
+from eventmart.plans import batch
 from eventmart.streaming import ingest
 
 NAMES = ["dashboard_data_2024010%d_000000.jsnl" % n for n in (1, 2, 3)]
@@ -57,10 +58,17 @@ def test_batch_run(spark, tmp_path, files):
     assert sorted(os.listdir(tmp_path / "done"))[:3] == NAMES
     left = sorted(n for n in os.listdir(source) if not n.startswith("."))
     assert left == ["dashboard_data_20240104_000000.jsnl", "dashboard_data_current.jsnl"]  # empty, unfinished
-    # the same content again is skipped, whether it is moved or not
+    # the same content again is skipped, whether the file looks touched or not
     write_files(tmp_path / "in", files)
+    os.utime(tmp_path / "in" / NAMES[0], (1, 1))
     assert em.run_batch(spark, source, warehouse, now="2024-05-02").count() == 0
+    entries = [(r.file_name, r.n_lines) for r in batch.manifest(warehouse).orderBy("ingested_at", "file_name").collect()]
+    assert entries == [*zip(NAMES, map(len, files)), (NAMES[0], None)]
     assert contents(warehouse) == expected(files)
+    # changed content of the same length and name is read
+    text = (tmp_path / "in" / NAMES[2]).read_text()
+    (tmp_path / "in" / NAMES[2]).write_text(text[:-2] + " \n")
+    assert em.run_batch(spark, source, warehouse, now="2024-05-03", grain=None).count() == 1
     staged = os.path.join(spark.conf.get("spark.checkpoint.dir"))
     assert not [n for n in os.listdir(staged) if n.startswith("eventmart-")]
 
