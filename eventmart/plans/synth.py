@@ -130,19 +130,20 @@ def event_lines(events: DataFrame, *, noisy: bool = False) -> DataFrame:
 
 
 def write_log_files(spark: SparkSession, lines: DataFrame, directory: str) -> None:
-    """One text file per file name, modified at the time in its name."""
+    """Text files of at most SPLIT_LINES lines, named and modified in the order of the lines."""
     parted = f"{directory}/by_name"
-    stamped = lines.withColumn("name", F.concat_ws("@", "file_name", F.col("file_ts").cast("bigint")))
+    stem = F.regexp_replace("file_name", r"\.jsnl$", "")
+    name = F.concat(stem, F.lit("_"), F.lpad(F.col("block").cast("string"), 12, "0"), F.lit(".jsnl"))
+    stamped = lines.withColumn("name", F.concat_ws("@", name, F.col("file_ts").cast("bigint")))
     (
         stamped.repartition("name").sortWithinPartitions("name", "block", "ord")
         .select("line", "name").write.partitionBy("name").text(parted)
     )
     fs.make_dirs(spark, f"{directory}/logs")
-    for folder in fs.list_names(spark, parted):
-        if not folder.startswith("name="):
-            continue
+    folders = [n for n in fs.list_names(spark, parted) if n.startswith("name=")]
+    for number, folder in enumerate(folders):
         file_name, seconds = folder.removeprefix("name=").split("@")
         (written,) = [n for n in fs.list_names(spark, f"{parted}/{folder}") if n.startswith("part-")]
         target = f"{directory}/logs/{file_name}"
         fs.rename(spark, f"{parted}/{folder}/{written}", target)
-        fs.set_modified(spark, target, int(seconds) * 1000)
+        fs.set_modified(spark, target, int(seconds) * 1000 + number)
