@@ -41,7 +41,7 @@ def compare(db, df, sql: str) -> str | None:
     if sorted(found.columns) != columns:
         return f"columns {columns} != {sorted(found.columns)}"
     theirs = found.project(", ".join(f'"{c}"' for c in columns))
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     types = [kinds.get(t, t) for _, t in mine.dtypes]
     if types != [str(t) for t in theirs.types]:
         return f"types {types} != {theirs.types}"
