@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import tokens, warc
+from eventmart.llm import quality, sharding, tokens, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -28,9 +28,24 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the adaptive verdict of every document."""
+    area = prepare(spark)
+    return quality.quality(load(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), area)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    prepare(spark)
+    docs = load(spark, sf_dir, "documents", "doc_id", "n_chars")
+    return sharding.place(docs, sharding.shard_names())
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
+    "op6_quality": op6_quality,
+    "op8_sharding": op8_sharding,
 }
 
 ORACLES = {
@@ -45,4 +60,67 @@ ORACLES = {
                CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN holder <> page_id THEN holder END AS refers_to
         FROM h""",
+    "op6_quality": """
+        WITH w AS (
+            SELECT doc_id, lang, source, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), runs AS (
+            SELECT doc_id, p, array_to_string(words[p : p + 7], ' ') AS run
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS p FROM w WHERE len(words) >= 8)
+        ), seen AS (
+            SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p + k) AS n_repeat_words
+            FROM (SELECT doc_id, p, unnest(range(0, 8)) AS k FROM seen WHERE n > 1) GROUP BY doc_id
+        ), lined AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+            WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY doc_id
+        ), m AS (
+            SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(n_lines, 0) AS n_lines
+            FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lined USING (doc_id)
+        ), j AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                   CASE WHEN word_chars > 0 THEN 1000 * n_symbols // word_chars ELSE 0 END AS symbol_rate,
+                   CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_rate,
+                   CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_rate,
+                   CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS word_length
+            FROM m
+        ), v AS (
+            SELECT lang, source, unnest([
+                {'rate': 'symbol_rate', 'v': symbol_rate}, {'rate': 'dup_line_rate', 'v': dup_line_rate},
+                {'rate': 'repeat_rate', 'v': repeat_rate}, {'rate': 'word_length', 'v': word_length}]) AS x
+            FROM j WHERE NOT base_failed
+        ), b AS (
+            SELECT lang, source, x.rate AS rate,
+                   (x.v >> greatest(length(bin(x.v)) - 7, 0)) << greatest(length(bin(x.v)) - 7, 0) AS v FROM v
+        ), q AS (
+            SELECT lang, source, rate, GROUPING(source) + GROUPING(lang) AS up, count(*) AS n,
+                   quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
+            FROM b GROUP BY GROUPING SETS ((lang, source, rate), (lang, rate), (rate))
+        ), t AS (
+            SELECT g.lang, g.source, g.rate,
+                   CASE WHEN g.n >= 200 THEN g.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
+                   CASE WHEN g.n >= 200 THEN g.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3
+            FROM (SELECT * FROM q WHERE up = 0) g
+            JOIN (SELECT * FROM q WHERE up = 1) l ON g.rate = l.rate AND g.lang IS NOT DISTINCT FROM l.lang
+            JOIN (SELECT * FROM q WHERE up = 2) a ON g.rate = a.rate
+        ), s AS (
+            SELECT lang, source, rate, q1, q3, greatest(3 * (q3 - q1), CASE rate
+                WHEN 'symbol_rate' THEN 60 WHEN 'dup_line_rate' THEN 300 WHEN 'repeat_rate' THEN 150 ELSE 300 END) AS d FROM t
+        ), f AS (
+            SELECT lang, source, max(q3 + d) FILTER (rate = 'symbol_rate') AS s_high,
+                   max(q3 + d) FILTER (rate = 'dup_line_rate') AS d_high, max(q3 + d) FILTER (rate = 'repeat_rate') AS r_high,
+                   max(q3 + d) FILTER (rate = 'word_length') AS l_high, max(q1 - d) FILTER (rate = 'word_length') AS l_low
+            FROM s GROUP BY lang, source
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce(symbol_rate <= s_high AND dup_line_rate <= d_high AND repeat_rate <= r_high
+                                            AND word_length <= l_high AND word_length >= l_low, false) AS kept
+        FROM j LEFT JOIN f ON j.lang IS NOT DISTINCT FROM f.lang AND j.source IS NOT DISTINCT FROM f.source""",
 }
