@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import quality, sharding, tokens, warc
+from eventmart.llm import langid, mixing, quality, sharding, tokens, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -41,11 +41,25 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, sharding.shard_names())
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    prepare(spark)
+    return langid.identify(load(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain memberships, rate and copies of every document."""
+    area = prepare(spark)
+    return mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "labels", "doc_id", "quality", "toxic"), area)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
     "op6_quality": op6_quality,
     "op8_sharding": op8_sharding,
+    "op10_langid": op10_langid,
+    "op5_mixing": op5_mixing,
 }
 
 ORACLES = {
