@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import langid, mixing, quality, sharding, tokens, warc
+from eventmart.llm import decontam, langid, mixing, quality, sharding, tokens, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -53,6 +53,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "labels", "doc_id", "quality", "toxic"), area)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and the benchmark items they hold."""
+    area = prepare(spark)
+    return decontam.matches(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark", "item_id", "text"), area)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -60,6 +66,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op10_langid": op10_langid,
     "op5_mixing": op5_mixing,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES = {
