@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import decontam, langid, mixing, quality, sharding, tokens, warc
+from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, tokens, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -59,6 +59,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark", "item_id", "text"), area)
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.group(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark))
+
+
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under the bigram counts of all others."""
+    return backoff.scores(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -67,6 +77,8 @@ QUERIES = {
     "op10_langid": op10_langid,
     "op5_mixing": op5_mixing,
     "op9_decontamination": op9_decontamination,
+    "op3_neardup": op3_neardup,
+    "op4_backoff": op4_backoff,
 }
 
 ORACLES = {
