@@ -21,6 +21,7 @@ STEPS, TOLERANCE = 20, 1e-3
 DOMAINS = ("fine", "poor", "toxic")
 #: Target shares of expected tokens. A domain of weight 0 is to vanish.
 WEIGHTS = {"fine": 0.97, "poor": 0.03, "toxic": 0.0}
+MAX_REPEAT = 1.2  # no domain is asked for more than this multiple of its own tokens; the others make up for it
 HEADROOM = 1.1  # target total, as a multiple of the tokens that the wanted domains have
 
 
@@ -119,7 +120,12 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] | None = None, headroom
     if not now.sum():
         return [], {"expected": now, "target": now}
     total = headroom * sum(now[k] for k in k_all if w[k] > 0)
-    target = w * total
+    target, full = w * total, np.zeros(len(DOMAINS), bool)
+    while (over := ~full & (target > MAX_REPEAT * now)).any():
+        full |= over
+        target[full] = MAX_REPEAT * now[full]
+        if w[~full].sum() > 0:
+            target[~full] = (total - target[full].sum()) * w[~full] / w[~full].sum()
     # the metric in which all directions are equally steep, so that the step is 1 and a few passes do
     spread = np.array([[first[f"m{k}_{j}"] for j in k_all] for k in k_all])
     metric = np.linalg.inv(spread + 1e-6 * np.trace(spread) * np.eye(len(DOMAINS)))
