@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, tokens, warc
+from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, suffixes, tokens, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -69,6 +69,11 @@ def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.scores(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings found elsewhere cover."""
+    return suffixes.removed(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark)).drop("kept")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -79,6 +84,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op3_neardup": op3_neardup,
     "op4_backoff": op4_backoff,
+    "op7_suffix_dedup": op7_suffix_dedup,
 }
 
 ORACLES = {
