@@ -87,8 +87,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
     few = items.agg(F.sum(F.size("item_shingles"))).first()[0] or 0
     # a shingle that many items share comes once per item length, with its places in the items
     places = F.broadcast(places) if few <= BROADCAST_SHINGLES else places
-    rows = docs.select("doc_id", words_of(docs["text"]).alias("w"))
-    rows = rows.select("doc_id", shingles_of(F.col("w")).alias("s"), F.size("w").alias("n"))
+    worded = docs.select("doc_id", words_of(docs["text"]).alias("w"))
+    rows = worded.select("doc_id", shingles_of(F.col("w")).alias("s"), F.size("w").alias("n"))
     hits = rows.select("doc_id", "s", "n", F.posexplode_outer("s").alias("at", "shingle")).join(places, "shingle")
     # of the hits that lay the same item on the same window, the first one speaks
     start = F.col("at") - F.col("offset")
@@ -96,7 +96,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
     hits = hits.where(F.get(first, F.lit(0)) == F.col("offset"))
     begin = F.greatest(F.lit(0), F.least(start, F.col("n") - F.col("item_words")))
     width = F.greatest(F.col("item_words") - SHINGLE + 1, F.lit(1))
-    windows = hits.select("doc_id", "item_words", begin.alias("start"), F.slice("s", begin + 1, width).alias("w")).distinct()
+    windows = hits.select("doc_id", "item_words", begin.alias("start"), F.slice("s", begin + 1, width).alias("w"))
+    # items of fewer words than a shingle are one run of their own length
+    for length in sorted(r[0] for r in items.where(F.col("item_words") < SHINGLE).select("item_words").distinct().collect()):
+        runs = let(F.col("w"), lambda w: F.transform(  # noqa: B023
+            F.sequence(F.lit(0), F.size(w) - length), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(length)])))  # noqa: B023
+        short = worded.where(F.size("w") >= length).select("doc_id", F.posexplode_outer(runs).alias("start", "shingle"))
+        short = short.join(places.where(F.col("item_words") == length).select("shingle", "item_words"), "shingle")
+        windows = windows.unionByName(short.select("doc_id", "item_words", "start", F.array("shingle").alias("w")))
+    windows = windows.distinct()
     windows = area.table(windows.withColumn("hash", simhash(F.col("w"))), "decontam_windows")
     blocks = F.array(*map(F.lit, block_masks()))
     keyed = lambda df, value: df.select("*", F.posexplode(F.transform(blocks, lambda m: F.col(value).bitwiseAND(m))).alias("block", value + "_part"))

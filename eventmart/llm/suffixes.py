@@ -26,6 +26,7 @@ GRAM = 48
 PERIOD = 32
 RUN = 512  # windows of a context at most; a longer run is cut
 BUCKET = 2_000  # contexts up to which a bucket is sorted in one block; beyond, its windows are counted one by one
+SLICE = 32  # windows that are counted together in a larger bucket
 BLOCK_BYTES = 1 << 20  # contexts of a block
 
 
@@ -238,23 +239,48 @@ def sorted_twins(contexts: DataFrame) -> DataFrame:
 
 
 def counted_twins(contexts: DataFrame, area) -> DataFrame:
-    """The same for larger buckets: windows are counted by their bytes' hash, and before the shuffle at that."""
+    """The same for larger buckets, by counts that are added up before each shuffle.
+
+    Contexts are cut into slices of SLICE windows, counted from the anchor. A slice that occurs twice is a repeat as a whole;
+    of all equal slices one goes on, and its windows are counted one by one.
+    """
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                data = row["data"]
+                windows = len(data) - LENGTH + 1
+                anchor = int(np.argmin(gram_hashes(np.frombuffer(data[: windows - 1 + LENGTH], np.uint8))))
+                cuts = [0, *range(anchor % SLICE or SLICE, windows, SLICE), windows]
+                for a, b in zip(cuts, cuts[1:]):
+                    part = data[a : b - 1 + LENGTH]
+                    out.append((row["k1"], row["k2"], row["anchor"], row["n"], row["begin"] + a, b - a, xxhash.xxh3_64_intdigest(part, seed=b - a) - (1 << 63), part))
+            if out:
+                types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["k1", "k2", "anchor", "n", "at", "size", "slice", "data"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                data = np.frombuffer(row["data"], np.uint8)
-                h = window_hashes(data)
+                h = window_hashes(np.frombuffer(row["data"], np.uint8))
                 k = len(h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, row[c]), pa.int64()) for c in ("k1", "k2", "anchor", "n")] + [pa.array(row["begin"] + np.arange(k), pa.int32()), pa.array(h.view(np.int64), pa.int64())],
+                    [pa.array(np.full(k, row[c]), pa.int64()) for c in ("k1", "k2", "anchor", "n")] + [pa.array(row["at"] + np.arange(k), pa.int32()), pa.array(h.view(np.int64), pa.int64())],
                     ["k1", "k2", "anchor", "n", "at", "window"])
 
     large = contexts.where(F.col("m") > BUCKET).select("anchor", "n", "k1", "k2", "begin", "data")
-    each = area.table(large.mapInArrow(windows, "k1 bigint, k2 bigint, anchor bigint, n bigint, at int, window bigint"), "suffix_windows")
+    parts = area.table(large.mapInArrow(slices, "k1 bigint, k2 bigint, anchor bigint, n bigint, at int, size int, slice bigint, data binary"), "suffix_slices")
+    distinct = area.table(parts.groupBy("anchor", "slice").agg(F.sum("n").alias("times"), F.min(F.struct("k1", "k2", "at", "data")).alias("one")), "suffix_distinct")
+    shared = parts.where("n = 1").join(distinct.where("times > 1").select("anchor", "slice"), ["anchor", "slice"], "left_semi")
+    shared = shared.select("k1", "k2", F.col("at").alias("a"), (F.col("at") + F.col("size")).alias("b"))
+    each = distinct.select("anchor", F.col("times").alias("n"), "one.*").mapInArrow(windows, "k1 bigint, k2 bigint, anchor bigint, n bigint, at int, window bigint")
+    each = area.table(each, "suffix_windows")
     twice = each.groupBy("anchor", "window").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "window")
     found = each.where("n = 1").join(twice, ["anchor", "window"], "left_semi")
-    return found.select("k1", "k2", F.col("at").alias("a"), (F.col("at") + 1).alias("b"))
+    return shared.unionByName(found.select("k1", "k2", F.col("at").alias("a"), (F.col("at") + 1).alias("b")))
 
 
 def twin_windows(rows: DataFrame, area) -> DataFrame:
