@@ -188,7 +188,8 @@ def group(docs: DataFrame, area) -> DataFrame:
     for turn in range(LEADER_ROUNDS + 1):
         name = f"neardup{turn}"
         if turn == 0:
-            pairs = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+            # one pair for each class: the least leader of all its buckets
+            pairs = members.where("id <> leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
         else:
             placed = area.table(members.select("key", "id").join(roots, "id"), f"{name}_placed")
             mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("root", "id")).alias("first"),
