@@ -23,7 +23,7 @@ def start_messages(facts: DataFrame, now: str) -> DataFrame:
     rows = facts.where((F.col("kind") == "start") & F.col("mode").isNotNull()).select(*ORDER, "start.*")
     stamp = F.to_json(F.struct(F.lit(now).alias("processed_at")))
     opened = F.substring(F.col("data"), F.lit(1), F.length("data") - 1)
-    data = F.concat(opened, F.lit(","), F.substring(stamp, 2, 1 << 20))
+    data = F.concat(opened, F.lit(","), F.substr(stamp, F.lit(2)))
     return rows.withColumn("data", data).withColumn("processed_at", F.lit(now))
 
 

@@ -18,7 +18,7 @@ from eventmart.operators.stats import file_stats
 from eventmart.session import Staging, staging
 from eventmart.sources import files as sources
 from eventmart.sources import fs
-from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Table, Warehouse, archive_table
+from eventmart.sources.tables import ARCHIVE_SCHEMA, EQUITY, INSTANCES, TRADES, Table, Warehouse, archive_table
 
 STATS = Table(
     "file_stats",
@@ -29,6 +29,24 @@ STATS = Table(
 )
 
 
+# Archive rows of runs that did not compact; the next run that does takes them in.
+PENDING = Table("archive_pending", ARCHIVE_SCHEMA, ("src", "block", "ord"))
+
+
+def pending_rows(warehouse: Warehouse) -> DataFrame:
+    """Archive rows that wait for a compaction."""
+    path = f"{warehouse.root}/{PENDING.name}"
+    if not fs.exists(warehouse.spark, path):
+        return warehouse.spark.createDataFrame([], PENDING.schema)
+    return warehouse.spark.read.schema(PENDING.schema).parquet(path).select(*PENDING.columns)
+
+
+def compact_pending(warehouse: Warehouse, rows: DataFrame, area: Staging, *, grain: str, mode: str = "accumulate") -> None:
+    """Compact ``rows`` and those that wait. The waiting rows go last, so a run that dies before takes them in again, to the same result."""
+    compact(warehouse, area.table(pending_rows(warehouse).unionByName(rows), "archive_rows"), area, grain=grain, mode=mode)
+    fs.delete(warehouse.spark, f"{warehouse.root}/{PENDING.name}")
+
+
 def timestamp_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
@@ -40,7 +58,7 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
     """Parse lines once and feed every table from the staged result.
 
     Returns (counters per file, equity rows of accepted lines before the on-change filter).
-    ``names`` maps file names to archive sources. Every write is an upsert, so a run that died half
+    ``names`` maps file names to archive sources. With ``grain`` None archive rows wait for the next run that compacts. Every write is an upsert, so a run that died half
     way is repaired by running it again.
     """
     messages = parse_messages(lines, mode_field=mode_field)
@@ -55,16 +73,19 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
                      .unionByName(touch_instances(instances, facts, now)), area)
     warehouse.upsert(EQUITY, kept.where(F.col("time_ns").isNotNull()), ORDER, area)
     warehouse.upsert(TRADES, trades_of_line(gated), [*ORDER, "pos"], area)
+    rows = archive_of_line(gated)
+    if names is not None:
+        rows = rows.drop("src").join(broadcast_if_small(names), "file_name", "left")
+    rows = rows.select(*PENDING.columns)
     if grain:
-        rows = archive_of_line(gated)
-        if names is not None:
-            rows = rows.drop("src").join(broadcast_if_small(names), "file_name", "left")
-        compact(warehouse, rows, area, grain=grain, mode=archive_mode)
+        compact_pending(warehouse, rows, area, grain=grain, mode=archive_mode)
+    else:
+        rows.write.mode("overwrite").parquet(f"{warehouse.root}/{PENDING.name}/run={run}")
 
     live = attach_live(kept, flags).groupBy("file_name").agg(F.count_if("live").alias("live_records"))
     stats = file_stats(gated, kept).join(live, "file_name", "left").fillna(0, ["live_records"])
     path = f"{warehouse.root}/{STATS.name}/run={run}"
-    stats.coalesce(1).write.mode("overwrite").parquet(path)
+    stats.hint("rebalance").write.mode("overwrite").parquet(path)
     return warehouse.spark.read.schema(STATS.schema).parquet(path), equity
 
 
@@ -105,7 +126,7 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
         entry = picked.join(counted, "file_name", "left").select(
             "file_name", "file_id", "length", "mtime", "n_lines", F.lit(now).alias("ingested_at")
         )
-        entry.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/ingest_manifest")
+        entry.hint("rebalance").write.mode("append").parquet(f"{warehouse.root}/ingest_manifest")
         if processed_dir:
             fs.make_dirs(spark, processed_dir)
             for row in picked.select("path").toLocalIterator():
@@ -125,12 +146,22 @@ def delete_mode(warehouse: Warehouse, mode: str, *, grains: tuple[str, ...] = ("
         one = warehouse.read(table, mode).agg(F.count("*").alias("n_rows"))
         one = one.select(F.lit(table.name).alias("table_name"), "n_rows")
         counts = one if counts is None else counts.unionByName(one)
+    waiting = pending_rows(warehouse)
+    if waiting.where(F.col("mode") == mode).limit(1).count():
+        one = waiting.where(F.col("mode") == mode).agg(F.count("*").alias("n_rows"))
+        counts = counts.unionByName(one.select(F.lit(PENDING.name).alias("table_name"), "n_rows"))
     if dry_run:
         return counts
     # one row per table, kept because the rows counted are about to go
     counted = warehouse.spark.createDataFrame(counts.collect(), "table_name string, n_rows bigint")
     for table in tables:
         warehouse.delete_mode(table, mode)
+    with staging(warehouse.spark) as area:
+        left = area.table(waiting.where(~F.col("mode").eqNullSafe(mode)), "pending")
+        left.write.mode("overwrite").parquet(f"{warehouse.root}/{PENDING.name}/run=rest")
+        for name in fs.list_names(warehouse.spark, f"{warehouse.root}/{PENDING.name}"):
+            if name != "run=rest":
+                fs.delete(warehouse.spark, f"{warehouse.root}/{PENDING.name}/{name}")
     return counted
 
 

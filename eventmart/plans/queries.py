@@ -53,8 +53,8 @@ def earlier_instances(spark: SparkSession, sf_dir: str, until: str = HALF) -> Da
     """The registry as the days before ``until`` leave it."""
     configure(spark)
     area = Staging(spark)
-    signups = load_events(spark, sf_dir).where((F.col("event_type") == "signup") & (F.col("ts") < F.lit(until).cast("timestamp")))
-    facts = line_facts(parse_messages(event_lines(signups)))
+    earlier = load_events(spark, sf_dir).where(F.col("ts") < F.lit(until).cast("timestamp"))
+    facts = area.table(line_facts(parse_messages(event_lines(earlier))), "facts")
     return area.table(registry.registrations(facts, NOW).select(*INSTANCES.columns), "instances")
 
 

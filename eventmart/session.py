@@ -56,6 +56,8 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{staging_root(spark)}/eventmart-{uuid.uuid4().hex}"
+        # what a query's result still reads cannot be dropped by the query: it goes when the driver ends
+        fs.delete_on_exit(spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -20,6 +20,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return system.delete(target, True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the driver's JVM ends, if it is still there."""
+    system, target = _open(spark, path)
+    system.mkdirs(target)
+    system.deleteOnExit(target)
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     system, target = _open(spark, path)
     system.mkdirs(target)

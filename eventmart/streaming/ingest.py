@@ -11,8 +11,6 @@ from eventmart.session import staging
 from eventmart.sources import files, fs
 from eventmart.sources.tables import Warehouse
 
-# A positive pattern: the stream must never take in the file that is still being written.
-STREAM_GLOB = "*_[0-9]*.jsnl"
 STATE = "mode string, equity double"
 
 
@@ -48,19 +46,23 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, **options)
 
 
 def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, checkpoint: str,
-                  glob: str = STREAM_GLOB, trigger: dict | None = None, max_files: int | None = None,
+                  glob: str = files.LOG_GLOB, trigger: dict | None = None, max_files: int | None = None,
                   archive_dir: str | None = None, **options) -> StreamingQuery:
     """Start the stream. ``trigger`` defaults to every ten minutes; ``max_files`` bounds a batch;
     ``archive_dir`` moves consumed files there. Files are taken in order of modification time."""
     reader = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    lines = files.with_metadata(reader.load(source), exclude="\u0000")
+    # the same files as in a batch run; lines of the file that is still being written are left out by its name
+    lines = files.with_metadata(reader.load(source))
 
     def run(batch_lines: DataFrame, batch: int) -> None:
         process_batch(warehouse, batch_lines, batch, **options)
+        if archive_dir:
+            # only files whose lines were taken in; the driver holds the names of one batch
+            fs.make_dirs(spark, archive_dir)
+            for row in batch_lines.select("file_name").distinct().toLocalIterator():
+                fs.rename(spark, f"{source.rstrip('/')}/{row.file_name}", f"{archive_dir.rstrip('/')}/{row.file_name}")
 
     return (
         lines.writeStream.foreachBatch(run)

@@ -6,6 +6,8 @@ import pytest
 from check import DATA, compare, database
 
 from __spark_entry__ import entry, oracle_sql, queries
+from eventmart.plans.oracles import ORACLES
+from eventmart.plans.queries import QUERIES
 
 SF_DIR = f"{DATA}/sf0.001"
 
@@ -16,7 +18,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert sorted(queries()) == sorted(oracle_sql())
+    assert sorted(QUERIES) == sorted(ORACLES)
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
 def test_entry(spark):
@@ -24,7 +27,7 @@ def test_entry(spark):
     assert rows.columns == ["mode", "time_ns", "equity"] and rows.count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     problem = compare(db, queries()[name](spark, SF_DIR), oracle_sql()[name])
     assert problem in (None, "no rows")
