@@ -83,20 +83,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
     so only windows laid on shared shingles are looked at.
     """
     items = area.table(items_of(benchmark), "decontam_items")
-    places = items.select("item_id", "item_words", "item_shingles", F.posexplode("item_shingles").alias("offset", "shingle"))
+    places = items.select("item_words", F.posexplode("item_shingles").alias("offset", "shingle")).distinct()
     few = items.agg(F.sum(F.size("item_shingles"))).first()[0] or 0
-    # a shingle that many items share comes once per item length, with its places in the items
+    # a shingle that many items share comes once for each item length and place in the items
     places = F.broadcast(places) if few <= BROADCAST_SHINGLES else places
-    worded = docs.select("doc_id", words_of(docs["text"]).alias("w"))
-    rows = worded.select("doc_id", shingles_of(F.col("w")).alias("s"), F.size("w").alias("n"))
-    hits = rows.select("doc_id", "s", "n", F.posexplode_outer("s").alias("at", "shingle")).join(places, "shingle")
-    # of the hits that lay the same item on the same window, the first one speaks
-    start = F.col("at") - F.col("offset")
-    first = F.filter(F.sequence(F.lit(0), F.col("offset")), lambda j: F.get("s", start + j) == F.get("item_shingles", j))
-    hits = hits.where(F.get(first, F.lit(0)) == F.col("offset"))
-    begin = F.greatest(F.lit(0), F.least(start, F.col("n") - F.col("item_words")))
-    width = F.greatest(F.col("item_words") - SHINGLE + 1, F.lit(1))
-    windows = hits.select("doc_id", "item_words", begin.alias("start"), F.slice("s", begin + 1, width).alias("w"))
+    text = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    worded = text.select("doc_id", "key", words_of(F.col("text")).alias("w"))
+    # only keys go through the join with the benchmark, one row for each item and the place it is laid on
+    hits = worded.select("doc_id", "key", F.posexplode_outer(shingles_of(F.col("w"))).alias("at", "shingle")).join(places, "shingle")
+    hits = hits.select("doc_id", "key", "item_words", (F.col("at") - F.col("offset")).alias("laid")).distinct()
+    lists = area.table(hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item_words", "laid")).alias("hits")), "decontam_hits")
+    found = text.withColumnRenamed("doc_id", "id").join(lists, (F.col("id").eqNullSafe(F.col("doc_id"))) & (text["key"] == lists["key"]))
+    found = found.select("doc_id", words_of(F.col("text")).alias("w"), "hits")
+    found = found.select("doc_id", shingles_of(F.col("w")).alias("s"), F.size("w").alias("n"), F.explode_outer("hits").alias("hit"))
+    item_words = F.col("hit.item_words")
+    begin = F.greatest(F.lit(0), F.least(F.col("hit.laid"), F.col("n") - item_words))
+    width = F.greatest(item_words - SHINGLE + 1, F.lit(1))
+    windows = found.select("doc_id", item_words.alias("item_words"), begin.alias("start"), F.slice("s", begin + 1, width).alias("w"))
     # items of fewer words than a shingle are one run of their own length
     for length in sorted(r[0] for r in items.where(F.col("item_words") < SHINGLE).select("item_words").distinct().collect()):
         runs = let(F.col("w"), lambda w: F.transform(  # noqa: B023
