@@ -55,8 +55,8 @@ def touch_instances(instances: DataFrame, facts: DataFrame, now: str) -> DataFra
     )
 
 
-def upsert_instances(warehouse, rows: DataFrame, area, *, check_existing: bool = False) -> DataFrame:
+def upsert_instances(warehouse, rows: DataFrame, *, check_existing: bool = False) -> None:
     """Store registry rows; with ``check_existing`` modes already stored stay as they are."""
     if check_existing:
         rows = rows.join(warehouse.stored(INSTANCES).select("mode"), "mode", "left_anti")
-    return warehouse.upsert(INSTANCES, rows.withColumn("turn", F.lit(0)), ["turn"], area)
+    warehouse.upsert(INSTANCES, rows.withColumn("turn", F.lit(0)), ["turn"])

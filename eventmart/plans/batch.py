@@ -70,9 +70,9 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
     flags = area.table(live_by_file(kept, facts, instances), "flags")
 
     upsert_instances(warehouse, registrations(facts, now).select(*INSTANCES.columns)
-                     .unionByName(touch_instances(instances, facts, now)), area)
-    warehouse.upsert(EQUITY, kept.where(F.col("time_ns").isNotNull()), ORDER, area)
-    warehouse.upsert(TRADES, trades_of_line(gated), [*ORDER, "pos"], area)
+                     .unionByName(touch_instances(instances, facts, now)))
+    warehouse.upsert(EQUITY, kept.where(F.col("time_ns").isNotNull()), ORDER)
+    warehouse.upsert(TRADES, trades_of_line(gated), [*ORDER, "pos"])
     rows = archive_of_line(gated)
     if names is not None:
         rows = rows.drop("src").join(broadcast_if_small(names), "file_name", "left")

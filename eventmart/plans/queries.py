@@ -144,7 +144,7 @@ def trade_table(spark, sf_dir):
     found = rows.trades_of_line(run.gated).withColumn("time_ns", _hour_of_day())
     warehouse = run.warehouse()
     for part in (found.where(before_half()), found.where(~before_half())):
-        warehouse.upsert(TRADES, part, [*ORDER, "pos"], Staging(spark))
+        warehouse.upsert(TRADES, part, [*ORDER, "pos"])
     return warehouse.read(TRADES).select(
         "mode", "time_ns", "data_type", "price", F.get_json_object("data", "$.id").alias("payload_id")
     )
@@ -160,7 +160,20 @@ def upsert_equity(spark, sf_dir):
     found = rows.equity_of_line(run.gated).withColumn("time_ns", _hour_of_day())
     warehouse = run.warehouse()
     for part in (found.where(before_half()), found.where(~before_half())):
-        warehouse.upsert(EQUITY, part, ORDER, Staging(spark))
+        warehouse.upsert(EQUITY, part, ORDER)
+    return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
+
+
+def upsert_merged(spark, sf_dir):
+    """The same two upserts, merged, then the last days once more: a merged version of all keys and one of a few above it."""
+    run = Run(spark, sf_dir)
+    found = rows.equity_of_line(run.gated).withColumn("time_ns", _hour_of_day())
+    warehouse = run.warehouse()
+    for part in (found.where(before_half()), found.where(~before_half())):
+        warehouse.upsert(EQUITY, part, ORDER)
+    warehouse.merge(EQUITY)
+    last = F.col("file_ts") >= F.unix_timestamp(F.lit(LATE), "yyyy-MM-dd")
+    warehouse.upsert(EQUITY, found.where(last), ORDER)
     return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
 
 
@@ -198,9 +211,9 @@ def known_instances(spark, sf_dir):
     """A second registration that skips the modes already stored."""
     run = Run(spark, sf_dir)
     warehouse = run.warehouse()
-    registry.upsert_instances(warehouse, earlier_instances(spark, sf_dir), Staging(spark))
+    registry.upsert_instances(warehouse, earlier_instances(spark, sf_dir))
     latest = registry.registrations(run.facts, NOW)
-    registry.upsert_instances(warehouse, latest, Staging(spark), check_existing=True)
+    registry.upsert_instances(warehouse, latest, check_existing=True)
     return warehouse.read(INSTANCES).select("mode", "component", "designator")
 
 
@@ -289,9 +302,9 @@ def partition_names(spark, sf_dir):
 def _filled(spark, sf_dir) -> Warehouse:
     run = Run(spark, sf_dir)
     warehouse = run.warehouse()
-    registry.upsert_instances(warehouse, registry.registrations(run.facts, NOW), run.area)
-    warehouse.upsert(EQUITY, rows.equity_of_line(run.gated), ORDER, run.area)
-    warehouse.upsert(TRADES, rows.trades_of_line(run.gated), [*ORDER, "pos"], run.area)
+    registry.upsert_instances(warehouse, registry.registrations(run.facts, NOW))
+    warehouse.upsert(EQUITY, rows.equity_of_line(run.gated), ORDER)
+    warehouse.upsert(TRADES, rows.trades_of_line(run.gated), [*ORDER, "pos"])
     archive.compact(warehouse, rows.archive_of_line(run.gated), run.area)
     return warehouse
 
@@ -352,6 +365,7 @@ QUERIES = {
     "trades": trades,
     "trade_table": trade_table,
     "upsert_equity": upsert_equity,
+    "upsert_merged": upsert_merged,
     "archive_rows": archive_rows,
     "registry": registered_modes,
     "registry_touch": registry_touch,

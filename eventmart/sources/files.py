@@ -10,9 +10,6 @@ from eventmart.functions.naming import epoch_seconds, file_time, output_name
 LOG_GLOB = "*.jsnl"
 UNFINISHED = "current"
 
-# Files up to this size get the md5 of their bytes; larger ones a digest computed split by split.
-MD5_LIMIT = 64 * 1024 * 1024
-
 MANIFEST = "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string"
 
 
@@ -75,22 +72,18 @@ def order_lines(lines: DataFrame) -> DataFrame:
     return lines.select("file_ts", "file_name", "block", F.monotonically_increasing_id().alias("ord"), "line")
 
 
-def with_file_ids(spark: SparkSession, listing: DataFrame, limit: int = MD5_LIMIT) -> DataFrame:
+def with_file_ids(spark: SparkSession, listing: DataFrame) -> DataFrame:
     """Add ``file_id`` to a listing: equal ids mean equal content.
 
-    Which of the two digests a file gets depends on its length alone, so the id never changes.
+    One digest for files of any size, added up split by split; with the length it also tells whether the last line is ended.
+    The driver holds the paths of the listing, as the scan's own file index does.
     """
-    small = [r.path for r in listing.where(F.col("length") <= limit).select("path").toLocalIterator()]
-    large = [r.path for r in listing.where(F.col("length") > limit).select("path").toLocalIterator()]
-    ids = spark.createDataFrame([], "file_name string, file_id string")
-    if small:
-        content = spark.read.format("binaryFile").load(small)
-        ids = ids.unionByName(content.select(F.col("_metadata.file_name").alias("file_name"),
-                                             F.md5("content").alias("file_id")))
-    if large:
-        lines = scan_lines(spark, large, glob="*", exclude="\u0000")
-        ids = ids.unionByName(line_digest(lines))
-    return listing.join(ids, "file_name", "left")
+    paths = [r.path for r in listing.select("path").toLocalIterator()]
+    if not paths:
+        return listing.withColumn("file_id", F.lit(None).cast("string"))
+    digests = line_digest(scan_lines(spark, paths, glob="*", exclude="\u0000")).withColumnRenamed("file_id", "digest")
+    file_id = F.md5(F.concat_ws(":", F.col("length").cast("string"), "digest"))
+    return listing.join(digests, "file_name", "left").withColumn("file_id", file_id).drop("digest")
 
 
 # Fixed value: the modulus of the digest; products of two residues fit a BIGINT.

@@ -1,7 +1,8 @@
-"""Parquet tables of a warehouse: fixed schemas, partition layout, keyed upsert, reads and deletes."""
+"""Parquet tables of a warehouse: fixed schemas, partition layout, keyed upsert, reads, merges and deletes."""
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,14 +10,10 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.naming import UNDATED, partition_name, period_name, period_of_ns
 from eventmart.operators.keys import latest_by_key
-from eventmart.session import Staging
 from eventmart.sources import fs
 
-# Partition columns: hash of the mode, then the period of the row's time.
-PART, PERIOD = "part", "period"
-
-# Above this many touched partitions the reader joins instead of listing them in a filter.
-TOUCHED_LIMIT = 2000
+# Partition columns: hash of the mode, then the period of the row's time; keyed tables have a version above them.
+PART, PERIOD, VERSION = "part", "period", "version"
 
 
 @dataclass(frozen=True)
@@ -26,6 +23,7 @@ class Table:
     keys: tuple[str, ...]
     time: str | None = None  # time_ns, timestamp or None (no period)
     grain: str = "month"
+    versioned: bool = True  # upserts add a version instead of rewriting partitions
 
     @property
     def partitions(self) -> list[str]:
@@ -60,12 +58,17 @@ ARCHIVE_SCHEMA = (
 
 
 def archive_table(grain: str = "week") -> Table:
-    return Table(f"archive_{grain}", ARCHIVE_SCHEMA, ("src", "block", "ord"), "timestamp", grain)
+    return Table(f"archive_{grain}", ARCHIVE_SCHEMA, ("src", "block", "ord"), "timestamp", grain, versioned=False)
 
 
 class Warehouse:
     """Where the tables live.
 
+    An upsert of a keyed table writes its rows as a new version, ``version=N/part=.../period=...``, and reads nothing
+    that is stored. Readers keep the newest row of each key. ``merge`` writes the resolved rows of the partitions that
+    occur in several versions as the next version and then drops the older copies; as a merge is a version like any
+    other, a reader sees the same rows before it, after it and after one that died half way.
+
     ``width`` hex digits of the mode's md5 name a partition: 16 ** width partitions per period
     however many modes there are. Eight digits give every mode partitions of its own.
     """
@@ -81,12 +84,49 @@ class Warehouse:
     def exists(self, table: Table) -> bool:
         return fs.exists(self.spark, self.path(table))
 
-    def stored(self, table: Table) -> DataFrame:
-        """All rows with their partition columns; an empty frame when the table is not there yet."""
-        schema = ", ".join([table.schema, *[f"{c} string" for c in table.partitions]])
-        if not self.exists(table):
+    def folder(self, table: Table, version: str) -> str:
+        return f"{self.path(table)}/{VERSION}={version}"
+
+    def versions(self, table: Table) -> list[str]:
+        """Complete versions, oldest first; what a run that died left behind is not among them."""
+        names = [n.split("=")[1] for n in fs.list_names(self.spark, self.path(table)) if n.startswith(f"{VERSION}=")]
+        return [n for n in names if fs.exists(self.spark, f"{self.folder(table, n)}/_SUCCESS")]
+
+    def layout(self, table: Table) -> list[str]:
+        return [VERSION, *table.partitions] if table.versioned else table.partitions
+
+    def raw(self, table: Table) -> DataFrame:
+        """All rows of all versions with their partition columns; an empty frame when there are none."""
+        schema = ", ".join([table.schema, *[f"{c} string" for c in self.layout(table)]])
+        if not table.versioned:
+            paths = [self.path(table)] if self.exists(table) else []
+        else:
+            paths = [self.folder(table, n) for n in self.versions(table)]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+
+    def repeated(self, table: Table, rows: DataFrame) -> list[str]:
+        """Partitions of ``raw`` rows that occur in several versions, from the file index alone."""
+        held = {tuple(file.split("/")[-len(self.layout(table)) - 1:-1]) for file in rows.inputFiles()}
+        times = Counter(below for _, *rest in held for below in ["/".join(part.split("=", 1)[1] for part in rest)])
+        return sorted(below for below, n in times.items() if n > 1)
+
+    def stored(self, table: Table) -> DataFrame:
+        """The newest row of every key with its partition columns; an empty frame when the table is not there yet.
+
+        Only partitions that occur in several versions are resolved, by one aggregate; a merged table is just read.
+        """
+        rows = self.raw(table)
+        if not table.versioned:
+            return rows
+        open_parts = self.repeated(table, rows)
+        if not open_parts:
+            return rows.drop(VERSION)
+        repeated = F.concat_ws("/", *table.partitions).isin(open_parts)
+        # the time of a key decides its period and its mode the part: rows of one key share the partition
+        newest = latest_by_key(rows.where(repeated), [*table.keys, *table.partitions], [VERSION])
+        return rows.where(~repeated).unionByName(newest).drop(VERSION)
 
     def read(self, table: Table, mode: str | None = None, *, start: float | None = None,
              end: float | None = None) -> DataFrame:
@@ -121,57 +161,81 @@ class Warehouse:
         the input tasks its rows come from: files of a hot period follow the order of the log files.
         """
         order = order or [c for c in ("mode", table.time) if c]
+        columns = self.layout(table)
         (
-            placed.hint("rebalance", *[F.col(c) for c in table.partitions])
-            .sortWithinPartitions(*table.partitions, *order)
+            placed.hint("rebalance", *[F.col(c) for c in columns])
+            .sortWithinPartitions(*columns, *order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "snappy")
-            .partitionBy(*table.partitions)
+            .partitionBy(*columns)
             .parquet(self.path(table))
         )
 
-    def touched(self, table: Table, placed: DataFrame, rows: DataFrame) -> DataFrame:
-        """Stored ``rows`` of the partitions that occur in ``placed``; only those are read."""
-        keys = placed.select(*table.partitions).distinct()
-        listed = keys.limit(TOUCHED_LIMIT + 1).collect()
-        if len(listed) > TOUCHED_LIMIT:
-            return rows.join(keys, table.partitions, "left_semi")
+    def touched(self, table: Table, keys: DataFrame, rows: DataFrame) -> DataFrame:
+        """Stored ``rows`` of the partitions that occur in ``keys``; only those are read.
+
+        The driver lists them, however many: they are no more than the folders in its file index.
+        """
+        columns = [c for c in self.layout(table) if c in keys.columns]
+        listed = ["/".join(row) for row in keys.select(*columns).distinct().collect()]
         # one membership test over the partition columns alone, so that it prunes directories
-        return rows.where(F.concat_ws("/", *table.partitions).isin(["/".join(row) for row in listed]))
+        return rows.where(F.concat_ws("/", *columns).isin(listed))
 
-    def upsert(self, table: Table, incoming: DataFrame, order: list[str], area: Staging) -> DataFrame:
+    def add_version(self, table: Table, placed: DataFrame) -> None:
+        """Write rows as the newest version; it counts once it is complete."""
+        names = [n.split("=")[1] for n in fs.list_names(self.spark, self.path(table)) if n.startswith(f"{VERSION}=")]
+        (
+            placed.hint("rebalance", *[F.col(c) for c in table.partitions])
+            .sortWithinPartitions(*table.partitions, *[c for c in ("mode", table.time) if c])
+            .write.mode("errorifexists")
+            .option("compression", "snappy")
+            .partitionBy(*table.partitions)
+            .parquet(self.folder(table, f"{max(map(int, names), default=0) + 1:012d}"))
+        )
+
+    def upsert(self, table: Table, incoming: DataFrame, order: list[str]) -> None:
         """Insert rows, replacing those with the same key; among equal incoming keys the last one wins.
 
-        Returns the rows written, staged. Running it again changes nothing.
+        No stored row is read. Running it again changes nothing that a reader sees.
+        """
+        self.add_version(table, self.place(table, latest_by_key(incoming.select(*table.columns, *order), list(table.keys), order)))
+
+    def merge(self, table: Table) -> None:
+        """Bring the partitions that occur in several versions into one; a job of its own, for when no reader is active.
+
+        Only those partitions are read and written. The older copies go after the merged version is complete.
         """
-        placed = self.place(table, latest_by_key(incoming.select(*table.columns, *order), list(table.keys), order))
-        placed = area.table(placed, f"{table.name}_incoming")
-        if not placed.take(1):
-            return placed
-        result = placed
-        if self.exists(table):
-            kept = self.touched(table, placed, self.stored(table))
-            kept = kept.join(placed.select(*table.keys), list(table.keys), "left_anti")
-            result = placed.unionByName(kept)
-        self.write(table, result)
-        return placed
+        rows = self.raw(table)
+        parts = self.repeated(table, rows) if table.versioned else []
+        old = self.versions(table) if parts else []
+        if parts:
+            self.add_version(table, self.stored(table).where(F.concat_ws("/", *table.partitions).isin(parts)))
+        for version in old:
+            for part in parts:
+                below = "/".join(f"{c}={v}" for c, v in zip(table.partitions, part.split("/")))
+                fs.delete(self.spark, f"{self.folder(table, version)}/{below}")
+        whole = self.versions(table)
+        for name in fs.list_names(self.spark, self.path(table)):  # left behind by runs that died
+            if name.startswith(f"{VERSION}=") and name.split("=")[1] not in whole:
+                fs.delete(self.spark, f"{self.path(table)}/{name}")
 
     def delete_mode(self, table: Table, mode: str) -> None:
         """Drop the rows of one mode: rewrite the partitions it shares, remove those it has alone."""
         if not self.exists(table):
             return
-        here = self.stored(table).where(F.col(PART) == self.part(F.lit(mode)))
+        columns = self.layout(table)
+        here = self.raw(table).where(F.col(PART) == self.part(F.lit(mode)))
         mine = F.col("mode") == mode
-        shared = here.groupBy(*table.partitions).agg(
+        shared = here.groupBy(*columns).agg(
             F.count_if(mine).alias("mine"), F.count_if(~mine).alias("others")
         ).where("mine > 0").collect()
         rewrite = [row for row in shared if row["others"]]
         if rewrite:
-            keys = self.spark.createDataFrame([[r[c] for c in table.partitions] for r in rewrite],
-                                              ", ".join(f"{c} string" for c in table.partitions))
+            keys = self.spark.createDataFrame([[r[c] for c in columns] for r in rewrite],
+                                              ", ".join(f"{c} string" for c in columns))
             self.write(table, self.touched(table, keys, here).where(~mine))
         for row in shared:
             if not row["others"]:
-                folder = "/".join(f"{c}={row[c]}" for c in table.partitions)
+                folder = "/".join(f"{c}={row[c]}" for c in columns)
                 fs.delete(self.spark, f"{self.path(table)}/{folder}")

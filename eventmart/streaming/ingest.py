@@ -9,7 +9,7 @@ from eventmart.operators.equity import carry_state
 from eventmart.plans.batch import ingest_lines, timestamp_now
 from eventmart.session import staging
 from eventmart.sources import files, fs
-from eventmart.sources.tables import Warehouse
+from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse
 
 STATE = "mode string, equity double"
 
@@ -47,9 +47,10 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, **options)
 
 def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, checkpoint: str,
                   glob: str = files.LOG_GLOB, trigger: dict | None = None, max_files: int | None = None,
-                  archive_dir: str | None = None, **options) -> StreamingQuery:
+                  archive_dir: str | None = None, merge_every: int | None = 144, **options) -> StreamingQuery:
     """Start the stream. ``trigger`` defaults to every ten minutes; ``max_files`` bounds a batch;
-    ``archive_dir`` moves consumed files there. Files are taken in order of modification time."""
+    ``archive_dir`` moves consumed files there; after every ``merge_every`` batches, a day of them, the keyed tables are
+    merged (None: never, when a job of its own does it). Files are taken in order of modification time."""
     reader = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -58,6 +59,9 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
 
     def run(batch_lines: DataFrame, batch: int) -> None:
         process_batch(warehouse, batch_lines, batch, **options)
+        if merge_every and batch % merge_every == merge_every - 1:
+            for table in (EQUITY, TRADES, INSTANCES):
+                warehouse.merge(table)
         if archive_dir:
             # only files whose lines were taken in; the driver holds the names of one batch
             fs.make_dirs(spark, archive_dir)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 
 import eventmart as em
@@ -71,13 +70,24 @@ def test_line_digest(spark, tmp_path):
 
 def test_content_ids(spark, tmp_path):
     write(tmp_path, "small.jsnl", "x\n")
+    write(tmp_path, "again.jsnl", "x\n")
+    write(tmp_path, "unended.jsnl", "x")
     write(tmp_path, "large.jsnl", "y\n" * 100)
     write(tmp_path, "empty.jsnl", "")
-    listed = em.with_file_ids(spark, em.list_files(spark, str(tmp_path)), limit=50)
+    listed = em.with_file_ids(spark, em.list_files(spark, str(tmp_path)))
     ids = {r.file_name: r.file_id for r in listed.collect()}
-    assert ids["small.jsnl"] == hashlib.md5(b"x\n").hexdigest()
+    assert ids["small.jsnl"] == ids["again.jsnl"] and len({*ids.values()}) == 3
     assert "empty.jsnl" not in ids  # no lines: not listed
-    assert len(ids["large.jsnl"]) == 32 and ids["large.jsnl"] != hashlib.md5(b"y\n" * 100).hexdigest()
+    assert all(len(i) == 32 for i in ids.values())
     manifest = spark.createDataFrame([("small.jsnl", ids["small.jsnl"]), ("large.jsnl", "other")],
                                      "file_name string, file_id string")
-    assert sorted(r.file_name for r in em.new_files(listed, manifest).collect()) == ["large.jsnl"]
+    assert sorted(r.file_name for r in em.new_files(listed, manifest).collect()) == ["again.jsnl", "large.jsnl", "unended.jsnl"]
+    assert em.with_file_ids(spark, listed.where("false").drop("file_id")).count() == 0
+
+
+def test_file_ids_do_not_depend_on_size(spark, tmp_path):
+    body = ("z" * 1023 + "\n") * (1 << 16)  # 64 MB, where a single task would stop reading files whole
+    for name, extra in (("a.jsnl", ""), ("b.jsnl", "1\n"), ("c.jsnl", "1\n")):
+        write(tmp_path, name, body + extra)
+    ids = {r.file_name: r.file_id for r in em.with_file_ids(spark, em.list_files(spark, str(tmp_path))).collect()}
+    assert ids["b.jsnl"] == ids["c.jsnl"] != ids["a.jsnl"]

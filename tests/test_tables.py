@@ -29,8 +29,7 @@ def stored(warehouse, table=em.EQUITY):
 
 
 def upsert(warehouse, rows):
-    with em.staging(warehouse.spark) as area:
-        warehouse.upsert(em.EQUITY, rows, ["ord"], area)
+    warehouse.upsert(em.EQUITY, rows, ["ord"])
 
 
 def files_of(tmp_path, table):
@@ -54,13 +53,47 @@ def test_upsert_last_write_wins(spark, warehouse, tmp_path):
     assert warehouse.read(em.EQUITY).count() == len(expected)
 
 
-def test_many_touched_partitions_use_a_join(spark, warehouse, monkeypatch):
+def test_upsert_reads_no_stored_row(spark, warehouse, monkeypatch):
+    upsert(warehouse, equity(spark, ("a", JAN, 1)))
+
+    def refuse(*_):
+        raise AssertionError("stored rows were read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(em.Warehouse, "raw", refuse)
+        patch.setattr(em.Warehouse, "stored", refuse)
+        upsert(warehouse, equity(spark, ("a", JAN, 2)))
+    assert stored(warehouse) == {("a", JAN): 2.0}
+
+
+def test_merge(spark, warehouse, tmp_path, monkeypatch):
     rows = [(f"m{i}", JAN + i * 86400 * 20, i) for i in range(12)]
     upsert(warehouse, equity(spark, *rows))
-    monkeypatch.setattr(tables, "TOUCHED_LIMIT", 2)
+    warehouse.merge(em.EQUITY)
+    assert len(warehouse.versions(em.EQUITY)) == 1  # nothing to merge
     upsert(warehouse, equity(spark, *[(m, t, v + 1) for m, t, v in rows[:8]], ("m11", JAN, 0)))
     expected = {(m, t): float(v + (i < 8)) for i, (m, t, v) in enumerate(rows)} | {("m11", JAN): 0.0}
     assert stored(warehouse) == expected
+    # a merge that dies before its version is complete, and one that dies before the older copies go
+    folder = tmp_path / "warehouse" / "equity" / "version=000000000003" / "part=p_0" / "period=monthly_202401"
+    folder.mkdir(parents=True)
+    (folder / "torn.parquet").write_bytes(b"PAR1")
+    assert stored(warehouse) == expected
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.fs, "delete", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            warehouse.merge(em.EQUITY)
+    assert stored(warehouse) == expected
+    before = files_of(tmp_path, "equity")
+    warehouse.merge(em.EQUITY)
+    assert stored(warehouse) == expected
+    assert not warehouse.repeated(em.EQUITY, warehouse.raw(em.EQUITY))
+    after = files_of(tmp_path, "equity")
+    assert {p for p in before if before[p] == after.get(p)}  # partitions of one version stay as they are
+    plan = warehouse.read(em.EQUITY)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan  # a merged table is just read
+    upsert(warehouse, equity(spark))
+    assert stored(warehouse) == expected
 
 
 def test_read_prunes_by_mode_and_time(spark, warehouse):
@@ -107,11 +140,9 @@ def test_touch_and_known_instances(spark, make_lines, warehouse):
                                                 "processed_at": "NOW"}
     assert (touched["used"].component, touched["used"].designator) == ("strand_live", "x")
     assert (touched["bare"].component, touched["bare"].designator) == ("strand_simulation", "")
-    with em.staging(spark) as area:
-        em.upsert_instances(warehouse, instances, area)
-    with em.staging(spark) as area:
-        em.upsert_instances(warehouse, em.registrations(start_facts(make_lines, start("used"), start("fresh")), "NOW"),
-                            area, check_existing=True)
+    em.upsert_instances(warehouse, instances)
+    em.upsert_instances(warehouse, em.registrations(start_facts(make_lines, start("used"), start("fresh")), "NOW"),
+                        check_existing=True)
     stored_rows = {r["mode"]: r.processed_at for r in warehouse.read(em.INSTANCES).collect()}
     assert stored_rows == {**{m: "old" for m in ("used", "idle", "restarted", "bare", "blank")}, "fresh": "NOW"}
 
