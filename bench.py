@@ -15,7 +15,7 @@ from eventmart.plans.queries import QUERIES
 
 HEADLINE = [
     "equity_on_change", "equity_all", "line_stats", "config_gate", "live_as_of", "item_classes", "trades",
-    "upsert_equity", "archive_rows", "registry", "compact_day", "compact_week", "archive_slice", "time_range", "mode_files",
+    "upsert_equity", "upsert_merged", "archive_rows", "registry", "compact_day", "compact_week", "archive_slice", "time_range", "mode_files",
     "distinct_ts", "equity_with_candle", "new_files", "partition_names", "batch_on_change",
 ]
 
