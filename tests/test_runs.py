@@ -111,7 +111,7 @@ def test_delete_covers_waiting_rows(spark, tmp_path, files):
 def test_stream_equals_batch(spark, tmp_path, files):
     source = write_files(tmp_path / "in", files)
     warehouse = em.Warehouse(spark, str(tmp_path / "stream"), width=1)
-    query = em.stream_ingest(spark, source, warehouse, checkpoint=str(tmp_path / "cp"), max_files=1,
+    query = em.stream_ingest(spark, source, warehouse, checkpoint=str(tmp_path / "cp"), merge_every=2, max_files=1,
                              trigger={"availableNow": True}, archive_dir=str(tmp_path / "archive"))
     query.awaitTermination()
     found = contents(warehouse)
