@@ -6,7 +6,8 @@ candidate pair is estimated from its registers, corrected for chance collisions,
 verified on the full sets. Groups are the components of the verified links.
 
 Copies never meet in pairs: rows with equal shingle sets are one class from the start. Within a band's bucket, classes are
-first held against the leading class of the bucket; only classes that are still in different groups afterwards are paired.
+first held against the leading class of the bucket; only classes that are still in different groups afterwards are paired,
+and of those only pairs that share one of their rarest shingles, which every link does.
 """
 
 from __future__ import annotations
@@ -106,7 +107,10 @@ def band_keys(classes: DataFrame) -> DataFrame:
 
 
 def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose estimate leaves the threshold within reach. Sets too different in size are out at once."""
+    """Those of ``pairs`` (a, b) that share a band and whose estimate leaves the threshold within reach.
+
+    Sets too different in size are out at once.
+    """
     side = lambda s: classes.select(F.col("id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
@@ -116,7 +120,11 @@ def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     def estimated(n_a: pa.Array, n_b: pa.Array, r_a: pa.Array, r_b: pa.Array) -> pa.Array:
         out = []
         for n, m, x, y in zip(n_a.to_pylist(), n_b.to_pylist(), r_a.to_pylist(), r_b.to_pylist()):
-            equal = np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) / REGISTERS
+            same = np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)
+            if not same.reshape(BANDS, ROWS).all(axis=1).any():
+                out.append(-1.0)
+                continue
+            equal = np.count_nonzero(same) / REGISTERS
             at = (1 << int(np.log2(n)), 1 << int(np.log2(m)))  # the correction hardly moves within a factor of two
             if at not in known:
                 known[at] = chance_collision(*at)
@@ -128,18 +136,49 @@ def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.where(estimated("n_a", "n_b", "r_a", "r_b") >= least).select("a", "b")
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area, name: str) -> DataFrame:
-    """Those of ``pairs`` (a, b: smallest doc_id of a class) that are linked by their full sets."""
+def full_sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, s): the shingle sets of the documents ``asked`` (id). An id that stands on several rows has several sets."""
     words = WordHash()
 
     @F.arrow_udf("array<bigint>")
     def sets(texts: pa.Array) -> pa.Array:
         return pa.array([shingles(t, words).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(asked, "id", "left_semi")
+    return texts.select("id", sets("text").alias("s"))
+
+
+def rare_pairs(full: DataFrame, roots: DataFrame, area, name: str) -> DataFrame:
+    """Pairs (a, b) of the sets ``full`` (id, s) in different groups of ``roots`` (id, root) that may be linked.
+
+    Shingles are ordered by how many of the sets hold them, rarest first. A link shares at least 6/7 of the smaller set and
+    3/4 of the larger one, so it shares a shingle among the first n - 6/7 n + 1 of the smaller and n - 3/4 n + 1 of the
+    larger; and from the first one that it shares on, both have as many shingles left as the link needs. A text that its
+    group's hub does not reach has about as many shingles of its own as the first of these numbers, so in a large group of
+    texts just below the threshold hardly any pair is left. No link is lost.
+    """
+    held = full.withColumn("row", F.monotonically_increasing_id())
+    held = area.table(held.select("row", "id", F.size("s").cast("bigint").alias("n"), F.explode("s").alias("e")), f"{name}_held")
+    # shingles of one set only link nothing, but they take their place in the order
+    often = area.table(held.groupBy("e").agg(F.count("*").alias("f")).where("f > 1"), f"{name}_often")
+    ordered = held.join(often, "e", "left").groupBy("row", "id", "n").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(1)).alias("f"), "e"))).alias("s"))
+    # whole numbers: n - ceil(6 n / 7) = n div 7, n - ceil(3 n / 4) = n div 4
+    first = ordered.select("id", "n", F.posexplode(F.slice("s", F.lit(1), F.expr("int(n div 4) + 1"))).alias("p", "x"))
+    first = first.where("x.f > 1").select("id", "n", F.col("x.e").alias("e"), (F.col("n") - F.col("p")).alias("left"), (F.col("p") <= F.expr("n div 7")).alias("short"))
+    first = area.table(first.join(roots, "id"), f"{name}_first")
+    side = lambda s: first.select("e", "short", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "root", "left")])
+    pairs = side("a").where("short").drop("short").join(side("b").drop("short"), "e").where(
+        f"root_a <> root_b and (n_a < n_b or n_a = n_b and id_a < id_b) and 100 * n_a >= {PERCENT} * n_b"
+        " and 7 * least(left_a, left_b) >= 3 * (n_a + n_b)")
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area, name: str) -> DataFrame:
+    """Those of ``pairs`` (a, b: smallest doc_id of a class) that are linked by their full sets."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     # an id that stands on several rows has several sets; the class was named after one of them
-    full = area.table(texts.select("id", sets("text").alias("s")), f"{name}_sets")
+    full = area.table(full_sets(docs, asked), f"{name}_sets")
     of = lambda s: full.select(F.col("id").alias(s), F.col("s").alias(f"s_{s}"))
     size = F.size(F.array_intersect("s_a", "s_b"))
     linked = pairs.join(of("b"), "b").join(of("a"), "a").where(100 * size >= PERCENT * (F.size("s_a") + F.size("s_b") - size))
@@ -199,8 +238,8 @@ def group(docs: DataFrame, area) -> DataFrame:
                 # another leader for each open bucket: a class of its last group
                 pairs = open_.where("root <> last.root").select(F.col("last.id").alias("a"), F.col("id").alias("b"))
             else:
-                left, right = open_.select("key", F.col("id").alias("a"), F.col("root").alias("x")), open_.select("key", F.col("id").alias("b"), F.col("root").alias("y"))
-                pairs = left.join(right, "key").where("x < y").select("a", "b")
+                full = full_sets(docs, open_.select("id").distinct())
+                pairs = rare_pairs(full, roots, area, name)
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = area.table(likely(classes, pairs), f"{name}_pairs")

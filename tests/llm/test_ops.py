@@ -8,6 +8,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, suffixes, tokens, warc
 
@@ -120,6 +121,22 @@ def test_neardup(spark, area, docs):
     assert neardup.group(frame.limit(0), area).count() == 0
 
 
+def test_rare_pairs_hold_every_link(spark, area, docs):
+    rng = random.Random(5)
+    base, texts = prose(7, 90).split(), []
+    for k in range(60):  # similarities on both sides of the threshold
+        w = [*base] if k % 3 else [*base, *prose(200 + k, rng.randrange(1, 40)).split()]
+        for _ in range(rng.randrange(1, 5)):
+            w[rng.randrange(len(w))] = f"own{rng.randrange(40)}"
+        texts.append(" ".join(w))
+    sets = dict(shingle_sets(list(enumerate(texts))))
+    links = {(j, k) for j in sets for k in sets if j < k and 100 * len(sets[j] & sets[k]) >= 75 * len(sets[j] | sets[k])}
+    ids = spark.range(len(texts)).select("id", F.col("id").alias("root"))
+    found = neardup.rare_pairs(neardup.full_sets(docs(*texts), ids.select("id")), ids, area, "rare").collect()
+    pairs = {(min(r), max(r)) for r in found}
+    assert 20 < len(links) < len(texts) * (len(texts) - 1) // 4 and links <= pairs
+
+
 def test_hyperminhash_estimate():
     import numpy as np
 
