@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame operations only.
 
-Windows of a document, as long as a benchmark item and laid so that a shared shingle falls on its place in the item, get a
-64-bit SimHash. Fingerprints within RADIUS bits agree on at least one of RADIUS + 1 blocks, so an equality join on blocks
+Windows of a document, as long as a benchmark item and dense enough in shingles of items of that length, get a 64-bit
+SimHash. Fingerprints within RADIUS bits agree on at least one of RADIUS + 1 blocks, so an equality join on blocks
 finds all of them. Exact similarity of the weighted shingle sets then decides.
 """
 
@@ -75,31 +75,54 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return rows.withColumn("item_hash", simhash(F.col("item_shingles")))
 
 
+def width_of(words: Column) -> Column:
+    """Shingles of a text of so many words."""
+    return F.greatest(words - SHINGLE + 1, F.lit(1))
+
+
+def starts(at: Column, n: Column, item_words: Column) -> Column:
+    """Where the windows of a document of ``n`` words begin that can be similar to an item of ``item_words`` words.
+
+    ``at`` has the places, in order, of shingles that items of that length have. A window is laid at the beginning, and so that
+    it ends in each place. It must hold the number of places that the similarity takes at least, which one look into ``at`` tells.
+    """
+
+    def of(x: Column) -> Column:
+        places, width = x["at"], x["width"]
+        least = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.least(width, x["have"]) + width) - 1e-6).cast("int")
+        # ``get`` gives null outside of the array, which is not true
+        first = F.when(F.get(places, least - 1) < width, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+        ends = F.filter(places, lambda p, j: (p >= width) & (j >= least - 1) & (F.get(places, j - least + 1) > p - width))
+        return F.concat(first, F.transform(ends, lambda p: p - width + 1))
+
+    return let(F.struct(at.alias("at"), width_of(n).alias("have"), width_of(item_words).alias("width")), of)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
     """(doc_id, item_id, start, distance, similarity): each document and item that is similar to one of its windows.
 
     The best window counts, the first of equals. A document shorter than the item is one window. Null and empty texts match
-    nothing; repeated rows match alike and are told once. A window of the wanted similarity shares a shingle with the item,
-    so only windows laid on shared shingles are looked at.
+    nothing; repeated rows match alike and are told once. The first best window for an item either begins the document or
+    ends in a shingle of the item, or else the window one word before it would be as good; so only such windows are laid.
     """
     items = area.table(items_of(benchmark), "decontam_items")
-    places = items.select("item_words", F.posexplode("item_shingles").alias("offset", "shingle")).distinct()
+    places = items.select("item_words", F.explode("item_shingles").alias("shingle")).distinct()
     few = items.agg(F.sum(F.size("item_shingles"))).first()[0] or 0
-    # a shingle that many items share comes once for each item length and place in the items
+    # a shingle that many items share comes once for each item length
     places = F.broadcast(places) if few <= BROADCAST_SHINGLES else places
     text = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     worded = text.select("doc_id", "key", words_of(F.col("text")).alias("w"))
-    # only keys go through the join with the benchmark, one row for each item and the place it is laid on
-    hits = worded.select("doc_id", "key", F.posexplode_outer(shingles_of(F.col("w"))).alias("at", "shingle")).join(places, "shingle")
-    hits = hits.select("doc_id", "key", "item_words", (F.col("at") - F.col("offset")).alias("laid")).distinct()
-    lists = area.table(hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item_words", "laid")).alias("hits")), "decontam_hits")
+    # only keys go through the join with the benchmark, one row for each item length that has the shingle
+    hits = worded.select("doc_id", "key", F.size("w").alias("n"), F.posexplode_outer(shingles_of(F.col("w"))).alias("at", "shingle")).join(places, "shingle")
+    hits = hits.groupBy("doc_id", "key", "n", "item_words").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    lists = hits.select("doc_id", "key", "item_words", starts(F.col("at"), F.col("n"), F.col("item_words")).alias("starts")).where(F.size("starts") > 0)
+    lists = area.table(lists.groupBy("doc_id", "key").agg(F.collect_list(F.struct("item_words", "starts")).alias("hits")), "decontam_hits")
     found = text.withColumnRenamed("doc_id", "id").join(lists, (F.col("id").eqNullSafe(F.col("doc_id"))) & (text["key"] == lists["key"]))
-    found = found.select("doc_id", words_of(F.col("text")).alias("w"), "hits")
-    found = found.select("doc_id", shingles_of(F.col("w")).alias("s"), F.size("w").alias("n"), F.explode_outer("hits").alias("hit"))
-    item_words = F.col("hit.item_words")
-    begin = F.greatest(F.lit(0), F.least(F.col("hit.laid"), F.col("n") - item_words))
-    width = F.greatest(item_words - SHINGLE + 1, F.lit(1))
-    windows = found.select("doc_id", item_words.alias("item_words"), begin.alias("start"), F.slice("s", begin + 1, width).alias("w"))
+    laid = F.flatten(F.transform("hits", lambda h: F.transform(h["starts"], lambda p: F.struct(h["item_words"].alias("item_words"), p.alias("start")))))
+    cut = lambda s: F.transform(laid, lambda x: F.struct(x["item_words"].alias("item_words"), x["start"].alias("start"), F.slice(s, x["start"] + 1, width_of(x["item_words"])).alias("w")))
+    # texts are cut before the explode, so that no row of a window holds the whole text
+    found = found.select("doc_id", let(shingles_of(words_of(F.col("text"))), cut).alias("windows"))
+    windows = found.select("doc_id", F.explode_outer("windows").alias("x")).select("doc_id", "x.*")
     # items of fewer words than a shingle are one run of their own length
     for length in sorted(r[0] for r in items.where(F.col("item_words") < SHINGLE).select("item_words").distinct().collect()):
         runs = let(F.col("w"), lambda w: F.transform(  # noqa: B023

@@ -303,6 +303,31 @@ def test_decontamination(spark, area, docs):
     assert decontam.matches(frame.limit(0), bench, area).count() == 0
 
 
+def test_decontamination_between_diagonals(spark, area, docs):
+    def best(w, q):  # (similarity, first start) over all windows
+        sh = lambda x: Counter(tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4)))
+        each = [(sum((sh(w[p : p + len(q)]) & sh(q)).values()), -p) for p in range(max(1, len(w) - len(q) + 1))]
+        both, p = max(each)
+        return both / (len(list(sh(w[: len(q)]).elements())) + len(list(sh(q).elements())) - both), -p
+
+    rng = random.Random(11)
+    item = [f"i{k}" for k in range(59)]
+    items = [item, [f"j{k}" for k in range(40)], prose(31, 59).split(), [rng.choice("ab") for _ in range(30)]]
+    other = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [other(30) + other(2) + item[1:29] + other(3) + item[29:57] + other(1) + other(30)]
+    for k in range(150):  # edits at both ends and insertions, deletions and changes within
+        q = [*items[k % 4]]
+        w = q[rng.randrange(4) : len(q) - rng.randrange(4)]
+        for _ in range(rng.randrange(3)):
+            p = rng.randrange(len(w))
+            w[p : p + rng.randrange(3)] = other(rng.randrange(4))
+        texts.append(other(rng.randrange(20)) + w + other(rng.randrange(20)))
+    bench = spark.createDataFrame([(k, " ".join(q)) for k, q in enumerate(items)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontam.matches(docs(*map(" ".join, texts)), bench, area).collect()}
+    want = {(k, j): b for k, w in enumerate(texts) for j, q in enumerate(items) if (b := best(w, q))[0] >= 0.75}
+    assert (0, 0) in want and 30 < len(want) < 150 and found == want
+
+
 def test_decontamination_is_native(spark, area, docs):
     plan = decontam.matches(docs("a b c d e f"), spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string"), area)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
