@@ -23,9 +23,12 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SKETCH_BITS = 7  # a value is off by less than 1 part in 64
 MIN_ROWS = 200  # a smaller group takes the sketch of its language, that of the corpus if still smaller
 FENCE = 3.0  # thresholds lie so many quartile ranges beyond the quartiles
+LOW_FENCE = 11  # the same distance for a normal distribution, from the first quartile in ranges between it and the first octile
 # rates per thousand, with the least distance of the threshold from the quartile
 RATES = {"symbol_rate": 60, "dup_line_rate": 300, "repeat_rate": 150, "word_length": 300}
 
+QUANTILES = {"e1": 1, "q1": 2, "q2": 4, "q3": 6}  # in eighths
+
 _TYPE = StructType([StructField(c, LongType()) for c in (*BASE, "n_lines")])
 
 
@@ -102,18 +105,22 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _quartiles(bins: DataFrame, *group: str) -> DataFrame:
-    """n, q1 and q3 of each group and rate from merged sketches."""
+    """n, first octile e1 and quartiles q1, q2 and q3 of each group and rate from merged sketches."""
     merged = bins.groupBy(*group, "rate", "value").agg(F.sum("n").alias("n"))
     within = Window.partitionBy(*group, "rate")
     placed = merged.withColumn("upto", F.sum("n").over(within.orderBy("value"))).withColumn("all", F.sum("n").over(within))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, F.col("value")))
-    return placed.groupBy(*group, "rate").agg(F.max("all").alias("n"), at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda q: F.min(F.when(F.col("upto") * 8 >= F.col("all") * q, F.col("value")))
+    return placed.groupBy(*group, "rate").agg(F.max("all").alias("n"), *[at(k).alias(q) for q, k in QUANTILES.items()])
 
 
 def thresholds(bins: DataFrame) -> DataFrame:
     """One row per language and source: the bounds of every rate.
 
     ``bins`` has a bounded number of rows per group (some 500 for each rate), whatever the number of texts.
+
+    Bad texts must not move the bounds. Those of shares are told from the lower quarter of a group's texts alone, so that three
+    fifths may be bad. Word lengths may be bad on either side: their fence is as wide as the narrower half of the quartile range
+    tells, and a quartile counts up to a bounded distance from the median, so that nearly half may be bad.
     """
     groups = bins.select("lang", "source").distinct()
     rate = F.explode(F.array(*map(F.lit, RATES))).alias("rate")
@@ -126,9 +133,13 @@ def thresholds(bins: DataFrame) -> DataFrame:
         lg, same(col("g"), col("l"), "lang", "rate"), "left").join(al, same(col("g"), col("a"), "rate"), "left")
     pick = lambda q: F.when(F.col("o.n") >= MIN_ROWS, F.col(f"o.{q}")).when(F.col("l.n") >= MIN_ROWS, F.col(f"l.{q}")).otherwise(F.col(f"a.{q}"))
     slack = F.element_at(F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair]), F.col("rate"))
-    picked = joined.select("g.lang", "g.source", "g.rate", pick("q1").alias("q1"), pick("q3").alias("q3"))
-    spread = F.greatest((FENCE * (F.col("q3") - F.col("q1"))).cast("bigint"), slack.cast("bigint"))
-    bounds = picked.select("lang", "source", "rate", F.struct((F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high")).alias("b"))
+    picked = joined.select("g.lang", "g.source", "g.rate", *[pick(q).alias(q) for q in QUANTILES])
+    e1, q1, q2, q3 = map(F.col, QUANTILES)
+    far = lambda width: F.greatest((FENCE * width).cast("bigint"), slack.cast("bigint"))
+    spread = far(2 * F.least(q3 - q2, q2 - q1))
+    low = F.greatest(q1, q2 - far(q3 - q2)) - spread
+    high = F.when(F.col("rate") == "word_length", F.least(q3, q2 + far(q2 - q1)) + spread).otherwise(q1 + F.greatest(LOW_FENCE * (q1 - e1), slack.cast("bigint")))
+    bounds = picked.select("lang", "source", "rate", F.struct(low.alias("low"), high.alias("high")).alias("b"))
     found = bounds.groupBy("lang", "source").agg(*[F.first(F.when(F.col("rate") == k, F.col("b")), ignorenulls=True).alias(k) for k in RATES])
     return found.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*RATES).alias("bounds"))
 

@@ -216,6 +216,17 @@ def test_quality(spark, area, docs):
     assert quality.quality(frame.limit(0), area).count() == 0
 
 
+@pytest.mark.parametrize("bad", [8, 30, 45, 60])
+def test_quality_of_a_source_full_of_junk(spark, area, docs, bad):
+    rng = random.Random(bad)
+    junk = lambda k: prose(k, 40) + " " + " ".join(rng.choice("#*$%&|<>") * 4 for _ in range(rng.randint(4, 14)))
+    code = lambda k: prose(k, 40) + " #" * rng.randint(12, 16)  # rich in symbols, but all alike
+    frame = docs(*[(k, junk(k) if k % 100 < bad else prose(k, 50)) for k in range(400)], source="hot")
+    frame = frame.union(docs(*[(k, code(k)) for k in range(1000, 1300)], source="code"))
+    kept = {r.doc_id for r in quality.quality(frame, area).where("kept").collect()}
+    assert kept == {k for k in range(400) if k % 100 >= bad} | {*range(1000, 1300)}
+
+
 @pytest.mark.parametrize("bucket", [suffixes.BUCKET, 1])
 def test_suffix_dedup(spark, area, docs, monkeypatch, bucket):
     monkeypatch.setattr(suffixes, "BUCKET", bucket)
