@@ -18,13 +18,23 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import M1, WordHash, mix, split_words
 
-ORDER = 2
+ORDER = 2  # unless asked for another; the query takes 3
 ALPHA = 0.4
 BLOCK_BYTES = 4 << 20  # text in a block; a longer document is a block of its own
 PART_GRAMS = 1_000_000  # n-grams of a partition of the count table, about
 BEGIN = np.uint64(0x5851F42D4C957F2D)  # stands before the first word
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes each as the largest takes."""
+    return a.astype(np.min_scalar_type(int(a.max()))) if len(a) else a.astype(np.uint8)
+
+
+def numbers(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of a narrow array."""
+    return np.frombuffer(data, f"u{len(data) // n}") if n else np.empty(0, np.uint8)
+
+
 def block_rows(docs: DataFrame) -> DataFrame:
     """(block, doc_ids, texts, n_words): neighbouring rows packed together."""
 
@@ -88,7 +98,7 @@ def gathered(blocks: DataFrame, bits: int, order: int) -> DataFrame:
                 for n, (grams, counts) in enumerate(block_counts(texts, words, order), 1):
                     edges = np.searchsorted(grams, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.array([0])
                     edges = [*edges.tolist(), len(grams)]
-                    rows = [(k, grams[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+                    rows = [(k, grams[a:b].tobytes(), narrow(counts[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
                     if rows:
                         k, g, c = zip(*rows)
                         yield pa.RecordBatch.from_arrays(
@@ -99,20 +109,20 @@ def gathered(blocks: DataFrame, bits: int, order: int) -> DataFrame:
 
 
 def joined(parts: DataFrame) -> DataFrame:
-    """(block, n, part, totals): each partition's count table, joined to the n-grams of every block.
+    """(block, n, part, size, totals): each partition's count table, joined to the n-grams of every block.
 
     A group is one partition of the table, about PART_GRAMS n-grams, and once more for each block they occur in.
     """
 
     def join(table: pa.Table) -> pa.Table:
         grams = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
-        counts = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
+        counts = [numbers(c, len(g)) for g, c in zip(grams, table["counts"].to_pylist())]
         names, at = np.unique(np.concatenate(grams), return_inverse=True)
         totals = np.bincount(at, weights=np.concatenate(counts), minlength=len(names)).astype(np.uint64)[at]
         cuts = np.cumsum([len(g) for g in grams])[:-1]
-        return pa.table({"block": table["block"], "n": table["n"], "part": table["part"], "totals": pa.array([t.tobytes() for t in np.split(totals, cuts)], pa.binary())})
+        return pa.table({"block": table["block"], "n": table["n"], "part": table["part"], "size": pa.array([*map(len, grams)], pa.int32()), "totals": pa.array([narrow(t).tobytes() for t in np.split(totals, cuts)], pa.binary())})
 
-    return parts.groupBy("n", "part").applyInArrow(join, "block bigint, n int, part int, totals binary")
+    return parts.groupBy("n", "part").applyInArrow(join, "block bigint, n int, part int, size int, totals binary")
 
 
 def score_block(texts: list[str], totals: list[np.ndarray], n_words: int, words: WordHash, order: int) -> Iterator[tuple[int, float]]:
@@ -137,12 +147,13 @@ def score_block(texts: list[str], totals: list[np.ndarray], n_words: int, words:
                 break
             context = context_of(grams, n)
             c, c_at, c_own = np.unique(context[1:], return_inverse=True, return_counts=True)
-            # the n-gram was seen elsewhere, and so was its context; a text's first word has no context, and backs off
+            # the n-gram was seen elsewhere, and so was its context; a text's first words have no whole context, and back off
             held = np.zeros(size)
             if len(c):
                 last = np.unique(grams[n - 2], return_counts=True)
                 held[1:] = (look(n - 2, c) - last[1][np.searchsorted(last[0], c)])[c_at]
             hit &= held > 0
+            hit[: n - 1] = False  # fewer words than the context takes stand before these
             score[hit] = math.log(ALPHA) * (order - n) + np.log(left[hit] / held[hit])
             seen |= hit
         yield size, float(score.sum())
@@ -159,13 +170,13 @@ def scores(docs: DataFrame, area, order: int = ORDER) -> DataFrame:
     n_words = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, n_words * order / PART_GRAMS))))
     totals = area.table(joined(gathered(blocks, bits, order)), "backoff_totals")
-    answers = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("n", "part", "totals"))).alias("answers"))
+    answers = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("n", "part", "size", "totals"))).alias("answers"))
     words = WordHash()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                held = [np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(a["totals"], np.uint64) for a in row["answers"] or [] if a["n"] == n)]) for n in range(1, order + 1)]
+                held = [np.concatenate([np.empty(0, np.uint64), *(numbers(a["totals"], a["size"]) for a in row["answers"] or [] if a["n"] == n)]) for n in range(1, order + 1)]
                 n, s = zip(*score_block(row["texts"], held, n_words, words, order))
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["doc_id", "n_words", "log_score"])
 

@@ -65,8 +65,8 @@ def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score of every document under the bigram counts of all others."""
-    return backoff.scores(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark))
+    """Score of every document under the trigram counts of all others."""
+    return backoff.scores(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark), order=3)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

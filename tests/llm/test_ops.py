@@ -174,6 +174,26 @@ def test_backoff(spark, area, docs):
     assert backoff.scores(docs(*texts).limit(0), area).count() == 0
 
 
+def test_backoff_query_has_order_3(spark, area, docs, tmp_path):
+    from eventmart.llm.queries import QUERIES
+
+    pool, rng = prose(21, 200).split(), random.Random(6)
+    texts = ["a b c d", "a b c e", "x b c d", "", "a", "a " * 300]
+    texts += [" ".join(w for p in [rng.randrange(190) for _ in range(12)] for w in pool[p : p + rng.randrange(1, 6)]) for _ in range(25)]
+    docs(*texts).write.parquet(str(tmp_path / "documents.parquet"))
+    split = [t.split() for t in texts]
+    grams = lambda w, n: Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    all_ = [sum((grams(w, n) for w in split), Counter()) for n in (1, 2, 3)]
+    found = {r.doc_id: r for r in QUERIES["op4_backoff"](spark, str(tmp_path)).collect()}
+    for k, w in enumerate(split):
+        left, score = [a - grams(w, n) for n, a in enumerate(all_, 1)], 0.0
+        for i in range(len(w)):
+            n = next((n for n in (3, 2) if i >= n - 1 and left[n - 1][tuple(w[i - n + 1 : i + 1])]), 1)
+            held = left[n - 2][tuple(w[i - n + 1 : i])] if n > 1 else sum(map(len, split)) - len(w)
+            score += (3 - n) * math.log(0.4) + math.log(max(left[n - 1][tuple(w[i - n + 1 : i + 1])], 1) / held)
+        assert found[k].log_score == pytest.approx(score), k
+
+
 def test_mixing(spark, area, docs):
     fine = [(k, prose(k, 60)) for k in range(200)]
     toxic = [(k, prose(k, 40) + " insult slur insult") for k in range(200, 300)]
