@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,7 +103,8 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
     """Ingest the new log files of a directory, or the given files, in the order of their names.
 
     A file ingested before with the same content is skipped; files unchanged since then are not even
-    read. ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards
+    read. Files are told apart by path: where several folders have files of one name, the folder follows the name
+    in the counters and order columns. ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards
     (unset: they stay). Further options as for ``ingest_lines``. Returns the counters of each file read.
     """
     now = now or timestamp_now()
@@ -110,27 +112,33 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
         known = manifest(warehouse)
         changed = sources.changed_files(sources.list_files(spark, source, glob=glob), known)
         picked = area.table(sources.with_file_ids(spark, area.table(sources.pick_files(changed, limit), "picked")), "files")
-        fresh = area.table(sources.output_names(sources.new_files(picked, known)), "fresh")
+        fresh = area.table(sources.output_names(sources.once(sources.new_files(picked, known))), "fresh")
         # the driver holds one path per file, as the scan's own file index does
         paths = [row.path for row in fresh.select("path").toLocalIterator()]
         stats = spark.createDataFrame([], STATS.schema)
-        counted = spark.createDataFrame([], "file_name string, n_lines bigint")
+        counted = spark.createDataFrame([], "_key string, n_lines bigint")
+        repeated = sources.repeated_names(fresh)
+        key = sources.file_key(F.col("file_name"), F.col("uri"), repeated)
         if paths:
-            lines = sources.scan_lines(spark, paths, glob="*")
+            lines = sources.scan_lines(spark, paths, glob="*", repeated=repeated)
             run = "".join(c for c in now if c.isalnum())
             stats, _ = ingest_lines(warehouse, lines, area, now=now, run=run,
-                                    names=fresh.select("file_name", "src"), **options)
+                                    names=fresh.select(key.alias("file_name"), "src"), **options)
             facts = spark.read.parquet(area.path("facts"))
-            counted = facts.groupBy("file_name").agg(F.count("*").alias("n_lines"))
+            counted = facts.groupBy(F.col("file_name").alias("_key")).agg(F.count("*").alias("n_lines"))
         # a file seen before that only looks changed is entered again, without a line count
-        entry = picked.join(counted, "file_name", "left").select(
-            "file_name", "file_id", "length", "mtime", "n_lines", F.lit(now).alias("ingested_at")
+        entry = picked.withColumn("_key", key).join(counted, "_key", "left").select(
+            "file_name", "file_id", "length", "mtime", "n_lines", F.lit(now).alias("ingested_at"), "path"
         )
         entry.hint("rebalance").write.mode("append").parquet(f"{warehouse.root}/ingest_manifest")
         if processed_dir:
             fs.make_dirs(spark, processed_dir)
             for row in picked.select("path").toLocalIterator():
-                fs.rename(spark, row.path, f"{processed_dir.rstrip('/')}/{row.path.rsplit('/', 1)[-1]}")
+                target = f"{processed_dir.rstrip('/')}/{row.path.rsplit('/', 1)[-1]}"
+                if fs.exists(spark, target):  # a file of another folder, or an earlier one
+                    stem, dot, ending = target.rpartition(".")
+                    target = f"{stem}_{hashlib.md5(f'{now} {row.path}'.encode()).hexdigest()}{dot}{ending}" if dot else f"{target}_{now}"
+                fs.rename(spark, row.path, target)
         return stats
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.naming import epoch_seconds, file_time, output_name
@@ -10,19 +10,20 @@ from eventmart.functions.naming import epoch_seconds, file_time, output_name
 LOG_GLOB = "*.jsnl"
 UNFINISHED = "current"
 
-MANIFEST = "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string"
+MANIFEST = "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string, path string"
 
 
 def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GLOB,
                exclude: str = UNFINISHED) -> DataFrame:
-    """(path, file_name, mtime, length, file_ts); reads no content. ``path``: a directory, or single files.
+    """(path, file_name, mtime, length, uri, file_ts); reads no content. ``path``: a directory, or single files.
 
     Files of length zero hold no lines and are not listed.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     name = F.col("_metadata.file_name")
     listing = files.where(~F.contains(name, F.lit(exclude))).select(
-        "path", name.alias("file_name"), epoch_seconds(F.col("modificationTime")).alias("mtime"), "length"
+        "path", name.alias("file_name"), epoch_seconds(F.col("modificationTime")).alias("mtime"), "length",
+        F.col("_metadata.file_path").alias("uri"),
     )
     return with_file_ts(listing)
 
@@ -34,34 +35,53 @@ def with_file_ts(listing: DataFrame) -> DataFrame:
 
 def pick_files(listing: DataFrame, n: int | None = None) -> DataFrame:
     """The first ``n`` files by the time in their name, else by modification time; 0 or None: all."""
-    ordered = listing.orderBy("file_ts", "file_name")
+    ordered = listing.orderBy("file_ts", "file_name", *[c for c in ("path",) if c in listing.columns])
     return ordered.limit(n) if n else ordered
 
 
 def changed_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files not known by name, length and modification time: only their content needs a look."""
-    same = ["file_name", "length", "mtime"]
+    """Files not known by path, length and modification time: only their content needs a look.
+
+    A manifest or listing without paths is compared by name.
+    """
+    by_path = "path" in manifest.columns and "path" in listing.columns
+    same = ["path" if by_path else "file_name", "length", "mtime"]
     return listing.join(manifest.select(*same), same, "left_anti")
 
 
+def once(files: DataFrame) -> DataFrame:
+    """Of files with the same name and content, in several folders, the one with the least path."""
+    first = files.groupBy("file_name", "file_id").agg(F.min("path").alias("path")).select("path")
+    return files.join(first, "path", "left_semi")
+
+
+def file_key(name: Column, uri: Column, repeated: list[str]) -> Column:
+    """The name, with its folder where files of several folders have that name."""
+    folder = F.regexp_replace(uri, "/[^/]*$", "")
+    return F.when(name.isin(repeated), F.concat(name, F.lit("@"), folder)).otherwise(name) if repeated else name
+
+
 def new_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files whose name and content were not ingested before."""
     return listing.join(manifest.select("file_name", "file_id"), ["file_name", "file_id"], "left_anti")
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str], *, glob: str = LOG_GLOB,
-               exclude: str = UNFINISHED) -> DataFrame:
-    """Lines of a directory or of given files with their place in the run: (file, split, line)."""
+               exclude: str = UNFINISHED, repeated: list[str] | None = None) -> DataFrame:
+    """Lines of a directory or of given files with their place in the run: (file, split, line).
+
+    Files whose names are in ``repeated`` are told apart by their folders, which then follow the name in ``file_name``.
+    """
     text = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(paths)
-    return order_lines(with_metadata(text, exclude))
+    return order_lines(with_metadata(text, exclude, repeated))
 
 
-def with_metadata(text: DataFrame, exclude: str = UNFINISHED) -> DataFrame:
+def with_metadata(text: DataFrame, exclude: str = UNFINISHED, repeated: list[str] | None = None) -> DataFrame:
     """File name, time and split of each line; the name filter comes first so that it prunes files."""
     name = F.col("_metadata.file_name")
     return text.where(~F.contains(name, F.lit(exclude))).select(
         F.coalesce(file_time(name), epoch_seconds(F.col("_metadata.file_modification_time"))).alias("file_ts"),
-        name.alias("file_name"),
+        file_key(name, F.col("_metadata.file_path"), repeated or []).alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
     )
@@ -72,6 +92,11 @@ def order_lines(lines: DataFrame) -> DataFrame:
     return lines.select("file_ts", "file_name", "block", F.monotonically_increasing_id().alias("ord"), "line")
 
 
+def repeated_names(listing: DataFrame) -> list[str]:
+    """The names that several files of a listing have."""
+    return sorted(r.file_name for r in listing.groupBy("file_name").agg(F.count("*").alias("n")).where("n > 1").collect())
+
+
 def with_file_ids(spark: SparkSession, listing: DataFrame) -> DataFrame:
     """Add ``file_id`` to a listing: equal ids mean equal content.
 
@@ -81,9 +106,11 @@ def with_file_ids(spark: SparkSession, listing: DataFrame) -> DataFrame:
     paths = [r.path for r in listing.select("path").toLocalIterator()]
     if not paths:
         return listing.withColumn("file_id", F.lit(None).cast("string"))
-    digests = line_digest(scan_lines(spark, paths, glob="*", exclude="\u0000")).withColumnRenamed("file_id", "digest")
+    repeated = repeated_names(listing)
+    lines = scan_lines(spark, paths, glob="*", exclude="\u0000", repeated=repeated)
+    digests = line_digest(lines).select(F.col("file_name").alias("_key"), F.col("file_id").alias("digest"))
     file_id = F.md5(F.concat_ws(":", F.col("length").cast("string"), "digest"))
-    return listing.join(digests, "file_name", "left").withColumn("file_id", file_id).drop("digest")
+    return listing.withColumn("_key", file_key(F.col("file_name"), F.col("uri"), repeated)).join(digests, "_key", "left").withColumn("file_id", file_id).drop("digest", "_key")
 
 
 # Fixed value: the modulus of the digest; products of two residues fit a BIGINT.
