@@ -6,6 +6,8 @@ rates are then fitted by projected gradient so that the expected tokens of each
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,14 +17,17 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 from eventmart.llm.common import WordHash
 from eventmart.llm.linear import Softmax, train
 
+log = logging.getLogger(__name__)
+
 FEATURES = 1 << 16  # hashed words
 PER_DOMAIN = 1_500  # labelled texts of each domain that the classifier is fitted on
 STEPS, TOLERANCE = 20, 1e-3
+SHARE_OFF = 0.01  # a share that is further off its weight is warned of
 DOMAINS = ("fine", "poor", "toxic")
 #: Target shares of expected tokens. A domain of weight 0 is to vanish.
 WEIGHTS = {"fine": 0.97, "poor": 0.03, "toxic": 0.0}
-MAX_REPEAT = 1.2  # no domain is asked for more than this multiple of its own tokens; the others make up for it
-HEADROOM = 1.1  # target total, as a multiple of the tokens that the wanted domains have
+MAX_REPEAT = 1.2  # no domain is asked for more than this multiple of its own tokens
+HEADROOM = 1.1  # target total at most, as a multiple of the tokens that the wanted domains have
 
 
 def domain(quality: Column, toxic: Column) -> Column:
@@ -109,6 +114,9 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] | None = None, headroom
     Least squares over the domains: expected tokens sum(rate x n_tokens x p) against targets, in the metric of the memberships' spread.
     A document's gradient is scaled by its length, so that equal memberships get equal rates. Each step is one
     aggregation that returns a number per domain; rates are never stored, since they follow from the steps.
+
+    Where the heaviest domain that has tokens is too scarce for its target, the whole mix gets smaller, so that the weights hold. A
+    lighter domain that is short gets what MAX_REPEAT allows; no other one makes up for it, and the outcome tells.
     """
     weights = weights or WEIGHTS
     w = np.array([weights[k] for k in DOMAINS], float) / sum(weights.values())
@@ -118,14 +126,12 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] | None = None, headroom
                      *[F.sum(F.col("n_tokens") * col(k) * col(j)).alias(f"m{k}_{j}") for k in k_all for j in k_all]).first()
     now = np.array([first[f"s{k}"] or 0.0 for k in k_all])
     if not now.sum():
-        return [], {"expected": now, "target": now}
+        return [], {"weights": w, "supply": now, "expected": now, "target": now}
     total = headroom * sum(now[k] for k in k_all if w[k] > 0)
-    target, full = w * total, np.zeros(len(DOMAINS), bool)
-    while (over := ~full & (target > MAX_REPEAT * now)).any():
-        full |= over
-        target[full] = MAX_REPEAT * now[full]
-        if w[~full].sum() > 0:
-            target[~full] = (total - target[full].sum()) * w[~full] / w[~full].sum()
+    supply, heaviest = now, int(np.argmax(np.where(now > 0, w, -1.0)))
+    if w[heaviest] > 0:
+        total = min(total, MAX_REPEAT * supply[heaviest] / w[heaviest])
+    target = np.minimum(w * total, MAX_REPEAT * supply)
     # the metric in which all directions are equally steep, so that the step is 1 and a few passes do
     spread = np.array([[first[f"m{k}_{j}"] for j in k_all] for k in k_all])
     metric = np.linalg.inv(spread + 1e-6 * np.trace(spread) * np.eye(len(DOMAINS)))
@@ -137,7 +143,7 @@ def fit_rates(soft: DataFrame, weights: dict[str, float] | None = None, headroom
         before, now = now, np.array([row[f"s{k}"] for k in k_all])
         if np.abs(now - before).max() < TOLERANCE * total / 2:
             break  # as near as nonnegative rates come
-    return steps, {"expected": now, "target": target}
+    return steps, {"weights": w, "supply": supply, "expected": now, "target": target}
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -150,11 +156,12 @@ def mix(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | No
     """Tokens, memberships, rate and copies of every row of ``docs`` (doc_id, text).
 
     A null or empty text has no tokens and counts as of the first domain. Repeated rows get equal results. Without labelled texts all lie in the
-    first domain. Empty tables give an empty result.
+    first domain. Empty tables give an empty result. The metadata of ``rate`` tell for each domain its weight, the tokens that it
+    has, those asked for and those expected at the rates.
     """
-    soft, model, steps = _solve(docs, labels, area, weights)
+    soft, _, steps, reached = _solve(docs, labels, area, weights)
     rate = rate_of(F.col("p"), steps)
-    found = soft.withColumn("rate", rate)
+    found = soft.withColumn("rate", rate).withMetadata("rate", {"domains": [*DOMAINS], **{k: [float(x) for x in v] for k, v in reached.items()}})
     return found.select("doc_id", "n_tokens", *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate",
                         copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
@@ -162,13 +169,16 @@ def mix(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | No
 def _solve(docs: DataFrame, labels: DataFrame, area, weights):
     model = fit(docs, labels)
     soft = area.table(docs.select("doc_id", n_tokens(F.col("text")).alias("n_tokens"), memberships(F.col("text"), model, docs).alias("p")), "mixing_soft")
-    steps, _ = fit_rates(soft, weights)
-    return soft, model, steps
+    steps, reached = fit_rates(soft, weights)
+    shares = reached["expected"] / max(reached["expected"].sum(), 1e-9)
+    if np.abs(shares - reached["weights"]).max() > SHARE_OFF and reached["supply"].sum():
+        log.warning("shares %s of %s are off their weights %s", shares.round(4).tolist(), [*DOMAINS], reached["weights"].round(4).tolist())
+    return soft, model, steps, reached
 
 
 def mixed(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` in their copies: none, one or more. Memberships are computed again, so texts are not shuffled."""
-    _, model, steps = _solve(docs, labels, area, weights)
+    _, model, steps, _ = _solve(docs, labels, area, weights)
     p = memberships(docs["text"], model, docs)
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), p.alias("p"))
     n = copies(rate_of(F.col("p"), steps), F.col("row.doc_id"))

@@ -213,6 +213,20 @@ def test_mixing(spark, area, docs):
     assert mixing.mix(frame, labels.limit(0), area).where("p_fine < 1").count() == 0
 
 
+def test_mixing_keeps_its_weights(spark, area, docs):
+    fine = [(k, prose(k, 60)) for k in range(240)]
+    poor = [(k, " ".join(f"p{x}" for x in prose(k, 60).split())) for k in range(240, 400)]
+    labels = spark.createDataFrame([(k, int(k < 240), 0) for k in range(400)], "doc_id bigint, quality int, toxic int")
+    found = mixing.mix(docs(*fine, *poor), labels, area)
+    reached, rows = found.schema["rate"].metadata, found.collect()
+    tokens = [sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rows) for d in mixing.DOMAINS]
+    supply = [sum(r.n_tokens * r[f"p_{d}"] for r in rows) for d in mixing.DOMAINS]
+    # fine is three fifths of the text, far too little for 97 percent of 1.1 times all of it
+    assert tokens[0] / sum(tokens) == pytest.approx(0.97, abs=0.01) and tokens[0] <= 1.21 * supply[0]
+    assert reached["expected"] == pytest.approx(tokens) and reached["supply"] == pytest.approx(supply)
+    assert reached["target"][0] / sum(reached["target"]) == pytest.approx(0.97)
+
+
 def test_quality(spark, area, docs):
     texts = awkward() + ["#$% " * 50 + prose(7, 60), prose(8, 30) + "\n" + "\n".join(["same line"] * 9)]
     rows = [t if isinstance(t, tuple) else (k, t) for k, t in enumerate(texts)]
