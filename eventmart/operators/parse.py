@@ -22,8 +22,6 @@ BAD_JSON, NOT_OBJECT, MISSING, NO_CONFIG = "bad_json", "not_object", "missing",
 BAD_TIMESTAMP, BAD_VALUE = "bad_timestamp", "bad_value"
 UNREADABLE = [BAD_JSON, NOT_OBJECT, MISSING]
 
-_FALSY_TEXTS = ["0", "0.0", "-0.0", "false", "[]", "{}"]
-
 # Texts that a falsy value other than "" prints as: 0, false, [] and {} look the same as their quoted forms.
 _AMBIGUOUS = ["0", "0.0", "-0.0", "false", "[]", "{}"]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from conftest import line, start
+from helpers import line, start
 
 import eventmart as em
 

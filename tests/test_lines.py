@@ -8,7 +8,7 @@ import random
 
 import model
 import pytest
-from conftest import line, start
+from helpers import line, start
 from pyspark.sql import functions as F
 
 import eventmart as em
