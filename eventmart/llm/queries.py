@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, suffixes, tokens, warc
+from eventmart.llm import backoff, bytebpe, decontam, langid, mixing, neardup, quality, search, sharding, suffixes, tokens, variants, warc
 from eventmart.llm.common import load, prepare
 
 
@@ -74,6 +75,28 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark)).drop("kept")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a vocabulary for many languages, and decoded again."""
+    import public_tokenizers
+
+    area = prepare(spark)
+    path = str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bytebpe.encode(load(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN, area)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(bytebpe.little_endian("ids"), 256).alias("ids_sha256"),
+        F.sha2(bytebpe.decoder(path)("ids"), 256).alias("decoded_sha256"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the form it is a variant of."""
+    return variants.group_variants(load(spark, sf_dir, "documents", "doc_id", "text"), prepare(spark))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return search.search(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark", "item_id", "text"), prepare(spark))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_warc": op2_warc,
@@ -85,6 +108,9 @@ QUERIES = {
     "op3_neardup": op3_neardup,
     "op4_backoff": op4_backoff,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_variants": op12_variants,
+    "op13_search": op13_search,
 }
 
 ORACLES = {
@@ -162,4 +188,65 @@ ORACLES = {
                NOT base_failed AND coalesce(symbol_rate <= s_high AND dup_line_rate <= d_high AND repeat_rate <= r_high
                                             AND word_length <= l_high AND word_length >= l_low, false) AS kept
         FROM j LEFT JOIN f ON j.lang IS NOT DISTINCT FROM f.lang AND j.source IS NOT DISTINCT FROM f.source""",
+    "op12_variants": r"""
+        WITH RECURSIVE bits AS (
+            SELECT i, 0 AS k, CAST(i AS BIGINT) AS v FROM range(256) t(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+        ), crc AS (
+            SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+        ), runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents
+        ), counted AS (
+            SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY id, run
+        ), hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+            FROM counted, crc
+        ), words AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+        ), gaps AS (
+            SELECT word, length(word) AS size, p, substr(word, 1, p) || substr(word, p + 2) AS rest FROM words, range(200) r(p) WHERE p < length(word)
+        ), pairs AS (
+            SELECT a.word AS word, b.word AS near FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.p = b.p AND a.size = b.size AND a.word <> b.word
+            UNION SELECT a.word, b.rest FROM words a JOIN gaps b ON a.word = b.word SEMI JOIN words w ON b.rest = w.word
+            UNION SELECT b.rest, a.word FROM words a JOIN gaps b ON a.word = b.word SEMI JOIN words w ON b.rest = w.word
+        ), ranked AS (
+            SELECT p.word, near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near, row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, encode(near)) AS place
+            FROM pairs p JOIN words v ON p.near = v.word
+        ), judged AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form, CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+            FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r ON w.word = r.word
+        ), steps AS (
+            SELECT word, word AS root, form AS next FROM judged
+            UNION ALL
+            SELECT s.word, j.word, j.form FROM steps s JOIN judged j ON s.next = j.word
+        )
+        SELECT j.word, form, s.root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM judged j JOIN steps s ON s.word = j.word AND s.next IS NULL""",
+    "op13_search": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), d AS (
+            SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY doc_id
+        ), s AS (
+            SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d
+        ), tf AS (
+            SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM t GROUP BY doc_id, term
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s GROUP BY term
+        ), q AS (
+            SELECT item_id, term, count(*) AS k
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY item_id, term
+        ), scored AS (
+            SELECT item_id, doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+            FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d USING (doc_id), s GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 20""",
 }
