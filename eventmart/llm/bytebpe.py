@@ -1,15 +1,13 @@
 """Byte-level BPE encoding and decoding under a file of ranks.
 
-Texts are packed into blocks of bounded size that name each distinct word once. The distinct words of all blocks are encoded by
-a fold in Spark's higher-order functions, over a literal map of ranks; their identifiers go back to the blocks, where each text
-is put together from those of its words. So a word is merged once however often it occurs, and no text is shuffled.
+Texts are packed into blocks of bounded size that name each distinct word once. The distinct words of a block are encoded by a
+fold in Spark's higher-order functions, over a literal map of ranks, and the block's texts are put together from those of their
+words. All this is one pass over the rows of a task: nothing is shuffled, and no key can be hot.
 """
 
 from __future__ import annotations
 
 import base64
-import math
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-BLOCK_BYTES = 4 << 20  # UTF-8 bytes of text in a block; a longer document is a block of its own
-TASK_WORDS = 50_000  # words of blocks that one task encodes, about
-BUCKETS = 1 << 16  # of the rank map: Spark goes through the keys of a map one by one
+BLOCK_BYTES = 16 << 20  # UTF-8 bytes of text in a block; a longer document is a block of its own
+LONG = 64  # bytes of a word that is merged place by place
+BUCKETS, SPREAD = 1 << 14, 40503  # maps that the pairs are dealt to, and how: Spark goes through the keys of a map one by one
 SLICE = 1 << 16  # identifiers that are decoded at once
 # Letters and numbers that Unicode has taken in since version 16, which the vocabularies' own library goes by.
 NEW_LETTERS = (
@@ -56,19 +54,40 @@ def cutter(pattern: str) -> Callable[[str], list[str]]:
     return cut
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one literal: an array of maps, the pieces in hex dealt out by CRC-32.
+def count_pieces(piece: bytes, ranks: dict[bytes, int]) -> int:
+    """Pieces that merging leaves of a piece."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        rank, k = min((ranks.get(x + y, len(ranks)), k) for k, (x, y) in enumerate(zip(parts, parts[1:])))
+        if rank == len(ranks):
+            break
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return len(parts)
 
-    A value is twice the rank; one more where the piece and a piece that it begins with make one of lower rank. Merging every
-    place of such a rank at once could differ from merging one after the other.
+
+class RankMaps:
+    """The ranks as literals; their size depends on the vocabulary alone.
+
+    ``pairs`` is an array of maps, dealt out by the pair: key left * 2^17 + right, both as ranks, value twice the rank of the two
+    together. The value is odd where the piece and a piece that it begins with make one of lower rank: merging every place of such
+    a pair at once could differ from merging one after the other. ``bytes`` has the rank of each byte. ``whole`` are the pieces
+    that merging their bytes does not lead to, but a word that is one is one identifier all the same.
     """
-    maps: list[list[str]] = [[] for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        odd = any(piece[:i] in ranks and ranks.get(piece + piece[:i], rank) < rank for i in range(1, len(piece)))
-        text = piece.hex().upper()
-        maps[zlib.crc32(text.encode()) % BUCKETS].append(f'"{text}":{2 * rank + odd}')
-    # constant folding makes a literal of it
-    return F.from_json(F.lit("[" + ",".join("{" + ",".join(m) + "}" for m in maps) + "]"), "array<map<string,int>>")
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        maps: list[list[str]] = [[] for _ in range(BUCKETS)]
+        for piece, rank in ranks.items():
+            odd = any(piece[:i] in ranks and ranks.get(piece + piece[:i], rank) < rank for i in range(1, len(piece)))
+            for i in range(1, len(piece)):
+                left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if left is not None and right is not None:
+                    maps[(left * SPREAD + right) % BUCKETS].append(f'"{left << 17 | right}":{2 * rank + odd}')
+        # constant folding makes literals of these
+        of = "array<map<{},int>>".format
+        self.pairs = F.from_json(F.lit("[" + ",".join("{" + ",".join(m) + "}" for m in maps) + "]"), of("string")).cast(of("bigint"))
+        self.bytes = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<int>")
+        self.whole = {piece: rank for piece, rank in ranks.items() if count_pieces(piece, ranks) > 1}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -76,79 +95,92 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, table: Column) -> Column:
-    """The identifiers of a word (binary): its bytes, merged by the lowest rank, the leftmost first.
+def encode_word(word: Column, maps: RankMaps) -> Column:
+    """The identifiers of a word, an array of its bytes: two adjacent pieces are merged, lowest rank and leftmost first, while any can be.
 
-    A turn of the fold merges the lowest rank at all its places, from the left; where that makes a pair of still lower rank, it
-    merges only the first place, so the result is that of single merges. A word of n bytes takes as many turns as it has ranks
-    that are merged, at most n - 1.
+    A turn of the fold makes one merge. In words of over LONG bytes it merges the lowest rank at all its places, from the left, so
+    that there are only as many turns as ranks; where that makes a pair of still lower rank, or may, the turn merges the first place
+    alone. Both ways give the result of single merges.
     """
 
-    def fold(table: Column) -> Column:
-        def value(piece: Column) -> Column:
-            bucket = F.pmod(F.crc32(piece.cast("binary")), F.lit(BUCKETS)).cast("int")
-            return F.try_element_at(F.get(table, bucket), piece)
+    def fold(pairs: Column) -> Column:
+        def value(left: Column, right: Column) -> Column:
+            bucket = (F.pmod(left * SPREAD + right, F.lit(BUCKETS))).cast("int")
+            return F.try_element_at(F.get(pairs, bucket), F.shiftleft(left.cast("bigint"), 17).bitwiseOR(right))
 
         def state(pieces: Column) -> Column:
-            """Pieces, the value of each adjacent pair, and the least value."""
-            n = F.size(pieces) - 1
-            pairs = lambda p: F.zip_with(F.slice(p, F.lit(1), n), F.slice(p, F.lit(2), n), lambda x, y: value(F.concat(x, y)))
-            return _let(pairs(pieces), lambda r: F.struct(pieces.alias("p"), r.alias("r"), F.array_min(r).alias("m")))
+            """Pieces as ranks, and for each the value of it and the next one."""
+            values = F.transform(pieces, lambda x, j: value(x, F.get(pieces, j + 1)))
+            return F.struct(pieces.alias("p"), values.alias("r"))
 
-        def merged(s: Column, at: Column) -> Column:
-            """The state after merging the pairs marked "1" in the array ``at``."""
-            p = s["p"]
+        # below, a fold of one turn names a value that is used several times; it does not copy its state as a transform does
 
-            def pieces(at: Column) -> Column:
-                joined = lambda x, j: F.when(F.get(at, j) == "1", F.concat(x, F.get(p, j + 1)))
-                return F.transform(p, lambda x, j: joined(x, j).when(F.get(at, j - 1) == "1", F.lit(None)).otherwise(x))
+        def merge_first(s: Column, least: Column) -> Column:
+            """The state after merging the leftmost pair of the ``least`` value, or as it is without one: two pairs get a new value."""
 
-            return _let(F.array_compact(_let(at, pieces)), state)
+            def at(s: Column, k: Column) -> Column:
+                p, r, n = s["p"], s["r"], F.size(s["p"])
+                new = F.shiftright(F.get(r, k - 1), 1)
+                before = F.when(k > 1, F.array(value(F.get(p, k - 2), new))).otherwise(F.slice(r, 1, 0))
+                pieces = F.flatten(F.array(F.slice(p, F.lit(1), k - 1), F.array(new), F.slice(p, k + 2, n)))
+                values = F.flatten(F.array(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), before, F.array(value(new, F.get(p, k + 1))), F.slice(r, k + 2, n)))
+                return F.when(k.isNull(), s).otherwise(F.struct(pieces.alias("p"), values.alias("r")))
 
-        def turn(s: Column, _: Column) -> Column:
-            marks = F.array_join(F.transform(s["r"], lambda v: F.when(v == s["m"], "1").otherwise("0")), "")
-            all_places = F.split(F.replace(marks, F.lit("11"), F.lit("10")), "")
-            first = F.array_position(s["r"], s["m"])
-            one_place = _let(first, lambda k: F.transform(s["r"], lambda _, j: F.when(j + 1 == k, "1").otherwise("0")))
+            return F.aggregate(F.array(F.array_position(s["r"], least).cast("int")), s, at)
 
-            def checked(whole: Column) -> Column:
-                unsafe = (s["m"] % 2 == 1) | F.coalesce(whole["m"] < s["m"], F.lit(False))
-                return F.when(unsafe, merged(s, one_place)).otherwise(whole)
+        def merge_all(s: Column, least: Column) -> Column:
+            """The state after merging all pairs of the ``least`` value that do not overlap, from the left."""
+            marks = F.array_join(F.transform(s["r"], lambda v: F.when(v == least, "1").otherwise("0")), "")
 
-            return F.when(s["m"].isNull(), s).otherwise(_let(merged(s, all_places), checked))
+            def pieces(at: Column) -> Column:
+                new = lambda j: F.when(F.get(at, j) == "1", F.shiftright(least, 1))
+                return F.transform(s["p"], lambda x, j: new(j).when(F.get(at, j - 1) == "1", F.lit(None)).otherwise(x))
 
-        start = _let(F.regexp_extract_all(F.hex(word), F.lit("(..)")), state)
-        turns = F.slice(F.sequence(F.lit(0), F.octet_length(word)), F.lit(2), F.greatest(F.octet_length(word) - 1, F.lit(0)))
-        pieces = F.aggregate(turns, start, turn, lambda s: s["p"])
-        return F.transform(pieces, lambda x: F.shiftright(value(x), 1))
+            return _let(F.array_compact(_let(F.split(F.replace(marks, F.lit("11"), F.lit("10")), ""), pieces)), state)
 
-    return _let(table, fold)
+        def merge_checked(s: Column, least: Column) -> Column:
+            safe = lambda whole: (least % 2 == 0) & F.coalesce(F.array_min(whole["r"]) >= least, F.lit(True))
+            return _let(merge_all(s, least), lambda whole: F.when(safe(whole), whole).otherwise(merge_first(s, least)))
+
+        def merged(turn: Callable[[Column], Column]) -> Column:
+            start = _let(F.transform(word, lambda b: F.get(maps.bytes, b)), state)
+            return F.aggregate(F.slice(word, F.lit(2), F.size(word)), start, lambda s, _: turn(s), lambda s: s["p"])
+
+        one = merged(lambda s: merge_first(s, F.array_min(s["r"])))
+        many = merged(lambda s: _let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(merge_checked(s, m))))
+        return F.when(F.size(word) <= LONG, one).otherwise(many)
+
+    found = _let(maps.pairs, fold)
+    for piece, rank in maps.whole.items():
+        found = F.when(word == F.array(*map(F.lit, piece)), F.array(F.lit(rank))).otherwise(found)
+    return found
 
 
 def block_rows(docs: DataFrame, pattern: str) -> DataFrame:
-    """(block, rows, sizes, places, words): neighbouring rows packed together.
+    """(rows, sizes, places, words): neighbouring rows packed together; a word is an array of its bytes.
 
     ``rows`` are the doc_ids, ``sizes`` their numbers of words, ``places`` (32-bit) the place of each word in the distinct ``words``.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, number, cut = TaskContext.get().partitionId(), 0, cutter(pattern)
+        cut = cutter(pattern)
         ids, sizes, places, words, size = [], [], [], {}, 0
 
         def flush():
             packed = np.concatenate([np.empty(0, np.uint32), *places]).tobytes()
+            spelled = [w.encode() for w in words]
+            flat = pa.array(np.frombuffer(b"".join(spelled), np.uint8).astype(np.int32))
+            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, spelled)], dtype=np.int32), flat)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([packed], pa.binary()), pa.array([[w.encode() for w in words]], pa.list_(pa.binary()))],
-                ["block", "rows", "sizes", "places", "words"])
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+                 pa.array([packed], pa.binary()), pa.ListArray.from_arrays([0, len(lists)], lists)],
+                ["rows", "sizes", "places", "words"])
 
         for batch in batches:
             for doc_id, n_bytes, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if ids and size + n_bytes > BLOCK_BYTES:
                     yield flush()
-                    number, ids, sizes, places, words, size = number + 1, [], [], [], {}, 0
+                    ids, sizes, places, words, size = [], [], [], {}, 0
                 found = cut(text)
                 ids.append(doc_id)
                 sizes.append(len(found))
@@ -159,20 +191,17 @@ def block_rows(docs: DataFrame, pattern: str) -> DataFrame:
 
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.octet_length(text).alias("n_bytes"), text.alias("text"))
-    return rows.mapInArrow(pack, "block bigint, rows array<bigint>, sizes array<int>, places binary, words array<binary>")
+    return rows.mapInArrow(pack, "rows array<bigint>, sizes array<int>, places binary, words array<array<int>>")
 
 
 def put_together(blocks: DataFrame) -> DataFrame:
-    """(doc_id, ids): the texts of blocks (rows, sizes, places, answers); ``answers`` has the place and identifiers of each word."""
+    """(doc_id, ids): the texts of blocks (rows, sizes, places, ids), where ``ids`` has the identifiers of each distinct word."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows, sizes, places, answers = (batch.column(c)[k] for c in ("rows", "sizes", "places", "answers"))
-                answers = answers.values if answers.is_valid else pa.array([], pa.struct([("place", pa.int32()), ("ids", pa.list_(pa.int32()))]))
-                order = np.argsort(answers.field("place").to_numpy(zero_copy_only=False))
-                lists = answers.field("ids").take(pa.array(order))
-                flat, length = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                rows, sizes, places, lists = (batch.column(c)[k] for c in ("rows", "sizes", "places", "ids"))
+                flat, length = lists.values.flatten().to_numpy(), lists.values.value_lengths().to_numpy().astype(np.int64)
                 begin = np.cumsum(length) - length
                 at, done = np.frombuffer(places.as_py(), np.uint32), 0
                 for doc_id, size in zip(rows.as_py(), sizes.as_py()):
@@ -180,28 +209,22 @@ def put_together(blocks: DataFrame) -> DataFrame:
                     done += size
                     n = length[mine]
                     # the identifiers of a word lie next to each other
-                    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    ids = flat[np.repeat(begin[mine], n) + inside]
+                    ids = flat[np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
                     yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
     return blocks.mapInArrow(join, "doc_id bigint, ids array<int>")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, area) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of each row of ``docs`` (doc_id, text) under the ranks at ``path``, each match of ``pattern`` for itself.
 
     Null and empty texts, and texts without a match, have no identifiers. Rows that repeat an id, and rows without one, are
     encoded each. Very long texts are blocks of their own. Other columns are ignored; an empty table gives an empty result. Every
     single byte must have a rank. The ranks travel as a literal: their size does not depend on the data.
     """
-    blocks = area.table(block_rows(docs, pattern), "bpe_blocks")
-    n_words = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
-    asked = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    words = asked.select("word").repartition(max(1, math.ceil(n_words / TASK_WORDS)), "word").distinct()
-    known = area.table(words.select("word", encode_word(F.col("word"), rank_map(read_ranks(path))).alias("ids")), "bpe_words")
-    # a word is one row of a block, and a block has a bounded number of words: no key is hot
-    answers = asked.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("place", "ids")).alias("answers"))
-    return put_together(blocks.join(answers, "block", "left").select("rows", "sizes", "places", "answers"))
+    maps = RankMaps(path)
+    blocks = block_rows(docs, pattern).select("rows", "sizes", "places", F.transform("words", lambda w: encode_word(w, maps)).alias("ids"))
+    return put_together(blocks)
 
 
 def decoder(path: str) -> Callable[[Column], Column]:

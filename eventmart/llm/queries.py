@@ -79,9 +79,9 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by a vocabulary for many languages, and decoded again."""
     import public_tokenizers
 
-    area = prepare(spark)
+    prepare(spark)
     path = str(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bytebpe.encode(load(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN, area)
+    encoded = bytebpe.encode(load(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
     return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(bytebpe.little_endian("ids"), 256).alias("ids_sha256"),
         F.sha2(bytebpe.decoder(path)("ids"), 256).alias("decoded_sha256"))
