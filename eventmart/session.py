@@ -67,6 +67,11 @@ class Staging:
         df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def forget(self, *names: str) -> None:
+        """Delete tables that nothing reads any more, so that a long job does not hold all its steps on disk."""
+        for name in names:
+            fs.delete(self.spark, self.path(name))
+
     def drop(self) -> None:
         fs.delete(self.spark, self.root)
 
