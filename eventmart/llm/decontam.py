@@ -147,5 +147,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, area) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item; a row without doc_id that matches goes with all such rows that match."""
-    leaks = matches(docs, benchmark, area).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")
+    leaks = matches(docs, benchmark, area).select("doc_id").distinct()
+    return docs.alias("d").join(leaks.alias("l"), F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")), "left_anti")

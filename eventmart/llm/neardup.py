@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import M1, WordHash, mix, split_words, windows_of
+from eventmart.session import staging
 
 SHINGLE = 5  # words
 PERCENT = 75  # linked from this Jaccard similarity on
@@ -182,7 +183,9 @@ def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area, name: st
     of = lambda s: full.select(F.col("id").alias(s), F.col("s").alias(f"s_{s}"))
     size = F.size(F.array_intersect("s_a", "s_b"))
     linked = pairs.join(of("b"), "b").join(of("a"), "a").where(100 * size >= PERCENT * (F.size("s_a") + F.size("s_b") - size))
-    return area.table(linked.select("a", "b").distinct(), f"{name}_links")
+    links = area.table(linked.select("a", "b").distinct(), f"{name}_links")
+    area.forget(f"{name}_sets")
+    return links
 
 
 def components(nodes: DataFrame, links: DataFrame, area, name: str) -> DataFrame:
@@ -203,9 +206,10 @@ def components(nodes: DataFrame, links: DataFrame, area, name: str) -> DataFrame
         hook = low.groupBy("root").agg(F.min("low").alias("hook"))
         moved = low.join(hook, "root").select("id", F.col("root").alias("before"), F.least("low", "hook").alias("root"))
         moved = area.table(moved, f"{name}_roots{turn}")
+        area.forget(f"{name}_roots{turn - 1}")
+        roots = moved.select("id", "root")
         if moved.where("root <> before").limit(1).count() == 0:
             break
-        roots = moved.select("id", "root")
     return nodes.select("id").join(roots.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
 
 
@@ -220,9 +224,13 @@ def group(docs: DataFrame, area) -> DataFrame:
     # one row per distinct set; counted before the shuffle, so thousands of copies are no hot key
     classes = area.table(filled.groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "neardup_classes")
+    # registers are kept once for each class; a step's tables go as soon as the next one is written
+    rows = area.table(rows.drop("registers"), "neardup_docs")
+    area.forget("neardup_rows")
     keys = area.table(band_keys(classes), "neardup_keys")
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
     members = area.table(keys.join(buckets.select("key", "leader"), "key"), "neardup_members")
+    area.forget("neardup_keys")
     links, roots, tried = None, None, None
     for turn in range(LEADER_ROUNDS + 1):
         name = f"neardup{turn}"
@@ -245,8 +253,10 @@ def group(docs: DataFrame, area) -> DataFrame:
         pairs = area.table(likely(classes, pairs), f"{name}_pairs")
         found = verify(docs, classes, pairs, area, name)
         links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
+        area.forget(*[f"{name}_{step}" for step in ("placed", "open", "held", "often", "first")])
         if turn == 0 or found.limit(1).count():
             roots = area.table(components(classes, links, area, name), f"{name}_components")
+    area.forget("neardup_members")
     sets = classes.select("set_a", "set_b", "id").join(roots, "id").select("set_a", "set_b", "root")
     own = rows.join(sets, ["set_a", "set_b"], "left")
     own = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
@@ -258,12 +268,13 @@ def keep_one(docs: DataFrame, area) -> DataFrame:
 
     Where an id stands on several rows, one of them stays.
     """
-    verdict = area.table(group(docs, area), "neardup_verdict")
-    gone = verdict.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    repeated = verdict.where("kept").groupBy(F.col("doc_id").alias("_again")).agg(F.count("*").alias("n")).where("n > 1").select("_again")
+    with staging(docs.sparkSession) as work:
+        verdict = area.table(group(docs, work), "neardup_verdict")
+    gone = verdict.where("not kept and doc_id is not null").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    repeated = verdict.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if repeated.limit(1).count() == 0:
         return left
     repeated = area.table(repeated, "neardup_repeated")
-    once = left.join(repeated, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, left["doc_id"] == F.col("_again"), "left_anti").unionByName(once)
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)

@@ -60,10 +60,9 @@ def place(docs: DataFrame, shards: list[str], key: str = "doc_id", size: int = T
 
     Equal keys, repeated rows among them, meet on one shard.
     """
-    table = lookup(docs.sparkSession, shards, size).select(F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
-    rest = docs.drop("slot", "shard").withColumn("_at", slot_of(docs[key], size))
-    placed = rest.join(F.broadcast(table), F.col("_at") == F.col("_slot"))
-    return placed.select(*[rest[c] for c in rest.columns if c != "_at"], F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
+    placed = docs.drop("shard").withColumn("slot", slot_of(docs[key], size))
+    placed = placed.join(F.broadcast(lookup(docs.sparkSession, shards, size)), "slot")
+    return placed.select(*[c for c in docs.columns if c not in ("slot", "shard")], "slot", "shard")
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
