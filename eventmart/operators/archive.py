@@ -6,28 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.naming import period_name
-from eventmart.operators.keys import ORDER, broadcast_if_small
+from eventmart.operators.keys import ORDER
 from eventmart.sources.tables import PERIOD, Warehouse, archive_table
 
 
-def compact(warehouse: Warehouse, rows: DataFrame, area, *, grain: str = "week", mode: str = "accumulate") -> None:
+def compact(warehouse: Warehouse, rows: DataFrame, *, grain: str = "week", mode: str = "accumulate", gone: DataFrame | None = None) -> None:
     """Write archive rows into their periods, sorted by mode and time inside each file.
 
-    ``accumulate`` keeps what earlier runs stored in the same periods; rows of a file that is archived
-    again replace those stored from it. ``replace`` leaves only this run's rows in the periods it
-    touches. ``rows`` should come from a staged table: they are read once for the keys of the periods
-    they touch and once for the write.
+    ``accumulate`` keeps what earlier runs stored in the same periods; rows of a file that is archived again replace those
+    stored from it. ``replace`` leaves only this run's rows in the periods it touches. ``gone`` (src) names files whose earlier
+    rows go as well. Nothing stored is read or rewritten: readers resolve the versions, and ``Warehouse.merge`` brings those of
+    a period into one, as a job of its own. ``rows`` should come from a staged table: they are read once for the sources and once
+    for the write.
     """
     if mode not in ("accumulate", "replace"):
         raise ValueError(f"mode must be accumulate or replace, not {mode!r}")
     table = archive_table(grain)
-    placed = warehouse.place(table, rows)
-    result = placed
-    if mode == "accumulate" and warehouse.exists(table):
-        again = area.table(placed.select("src").distinct(), f"{table.name}_sources")
-        kept = warehouse.touched(table, placed, warehouse.stored(table))
-        result = placed.unionByName(kept.join(broadcast_if_small(again), "src", "left_anti"))
-    warehouse.write(table, result, ["mode", "timestamp", *ORDER])
+    warehouse.add_sources(table, warehouse.place(table, rows), ["mode", "timestamp", *ORDER], whole=mode == "replace", gone=gone)
 
 
 def read_archive(warehouse: Warehouse, mode: str | None = None, *, start: float | None = None,

@@ -42,9 +42,10 @@ def pending_rows(warehouse: Warehouse) -> DataFrame:
     return warehouse.spark.read.schema(PENDING.schema).parquet(path).select(*PENDING.columns)
 
 
-def compact_pending(warehouse: Warehouse, rows: DataFrame, area: Staging, *, grain: str, mode: str = "accumulate") -> None:
+def compact_pending(warehouse: Warehouse, rows: DataFrame, area: Staging, *, grain: str, mode: str = "accumulate",
+                    gone: DataFrame | None = None) -> None:
     """Compact ``rows`` and those that wait. The waiting rows go last, so a run that dies before takes them in again, to the same result."""
-    compact(warehouse, area.table(pending_rows(warehouse).unionByName(rows), "archive_rows"), area, grain=grain, mode=mode)
+    compact(warehouse, area.table(pending_rows(warehouse).unionByName(rows), "archive_rows"), grain=grain, mode=mode, gone=gone)
     fs.delete(warehouse.spark, f"{warehouse.root}/{PENDING.name}")
 
 

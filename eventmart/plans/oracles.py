@@ -245,5 +245,6 @@ UNION ALL SELECT 'trades', count(*) FROM good WHERE event_type = 'purchase' AND
 UNION ALL SELECT 'instances', count(DISTINCT mode) FROM ev WHERE event_type = 'signup' AND mode = 'u1'
 UNION ALL SELECT 'archive_week', count(*) FROM good WHERE event_type = 'view' AND mode = 'u1'""",
 }
+ORACLES["compact_merged"] = ORACLES["compact_week"]
 # taking the last days in once more changes nothing
 ORACLES["upsert_merged"] = ORACLES["upsert_equity"]

@@ -217,21 +217,23 @@ def known_instances(spark, sf_dir):
     return warehouse.read(INSTANCES).select("mode", "component", "designator")
 
 
-def compacted(spark, sf_dir, grain: str = "week"):
+def compacted(spark, sf_dir, grain: str = "week", merged: bool = False):
     """The archive written by two runs, read back and summed up per mode and period."""
     run = Run(spark, sf_dir)
     warehouse = run.warehouse(width=1 if grain in ("week", "month") else 0)
     found = rows.archive_of_line(run.gated)
     # a period cut by HALF must keep the rows of both runs
     for part in (found.where(before_half()), found.where(~before_half())):
-        archive.compact(warehouse, part, Staging(spark), grain=grain)
+        archive.compact(warehouse, part, grain=grain)
+    if merged:
+        warehouse.merge(archive_table(grain))
     return archive.compaction_summary(archive.read_archive(warehouse, grain=grain), grain)
 
 
 def archive_slice(spark, sf_dir):
     run = Run(spark, sf_dir)
     warehouse = run.warehouse()
-    archive.compact(warehouse, rows.archive_of_line(run.gated), run.area)
+    archive.compact(warehouse, rows.archive_of_line(run.gated))
     mode, start, end = SLICE
     return archive.read_archive(warehouse, mode, start=start, end=end).select("timestamp", "mode", "src")
 
@@ -305,7 +307,7 @@ def _filled(spark, sf_dir) -> Warehouse:
     registry.upsert_instances(warehouse, registry.registrations(run.facts, NOW))
     warehouse.upsert(EQUITY, rows.equity_of_line(run.gated), ORDER)
     warehouse.upsert(TRADES, rows.trades_of_line(run.gated), [*ORDER, "pos"])
-    archive.compact(warehouse, rows.archive_of_line(run.gated), run.area)
+    archive.compact(warehouse, rows.archive_of_line(run.gated))
     return warehouse
 
 
@@ -374,6 +376,7 @@ QUERIES = {
     "compact_day": partial(compacted, grain="day"),
     "compact_week": partial(compacted, grain="week"),
     "compact_month": partial(compacted, grain="month"),
+    "compact_merged": partial(compacted, merged=True),
     "archive_slice": archive_slice,
     "time_range": archive_time_range,
     "modes": archive_modes,

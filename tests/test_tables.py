@@ -152,9 +152,7 @@ def archive_rows(spark, *rows):
     return spark.createDataFrame(made, tables.ARCHIVE_SCHEMA)
 
 
-def compact(warehouse, rows, **options):
-    with em.staging(warehouse.spark) as area:
-        em.compact(warehouse, rows, area, **options)
+compact = em.compact
 
 
 def test_compaction_accumulates_and_replaces(spark, warehouse):
@@ -172,6 +170,45 @@ def test_compaction_accumulates_and_replaces(spark, warehouse):
     assert ("a", float(monday)) in left and ("a", monday + 5.0) not in left and ("a", sunday + 1.0) in left
 
 
+def archived(warehouse):
+    return sorted((r["mode"], r.timestamp, r.src) for r in em.read_archive(warehouse).collect())
+
+
+def test_archive_by_versions(spark, warehouse, tmp_path, monkeypatch):
+    week = 7 * 86400
+    compact(warehouse, archive_rows(spark, ("a", JAN, "f1"), ("a", JAN + week, "f1"), ("b", JAN, "f2")))
+
+    def refuse(*_, **__):
+        raise AssertionError("stored rows were read")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(em.Warehouse, "raw", refuse)
+        patch.setattr(em.Warehouse, "stored", refuse)
+        compact(warehouse, archive_rows(spark, ("a", JAN + 1, "f1"), ("b", JAN + 2, "f3")))  # f1 again, without its second week
+    expected = [("a", JAN + 1.0, "f1"), ("b", float(JAN), "f2"), ("b", JAN + 2.0, "f3")]
+    assert archived(warehouse) == expected
+    # a version that died: index and rows without the mark of completeness
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.Warehouse, "folder", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            compact(warehouse, archive_rows(spark, ("b", JAN, "f2")), mode="replace")
+    assert archived(warehouse) == expected
+    table = em.archive_table()
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.fs, "delete", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            warehouse.merge(table)
+    assert archived(warehouse) == expected
+    warehouse.merge(table)
+    assert archived(warehouse) == expected and warehouse.raw(table).count() == 3
+    compact(warehouse, archive_rows(spark), gone=spark.createDataFrame([("f2",)], "src string"))
+    assert archived(warehouse) == [expected[0], expected[2]]
+    warehouse.merge(table)
+    assert archived(warehouse) == [expected[0], expected[2]] and warehouse.raw(table).count() == 2
+    compact(warehouse, archive_rows(spark, ("b", JAN + 3, "f2")))
+    assert archived(warehouse) == sorted([expected[0], expected[2], ("b", JAN + 3.0, "f2")])
+
+
 def test_compaction_keeps_rows_without_a_date(spark, warehouse):
     compact(warehouse, archive_rows(spark, ("a", "nan", "f"), ("a", "inf", "f"), ("a", 1e300, "f"), ("a", JAN, "f")))
     assert em.read_archive(warehouse).count() == 4
@@ -183,7 +220,7 @@ def test_compacted_files_are_sorted(spark, warehouse, tmp_path):
     compact(warehouse, archive_rows(spark, *[("hot" if i % 3 else "b", JAN + (i * 7919) % 600000, "f") for i in range(3000)]))
     import pyarrow.parquet as pq
 
-    for path in (tmp_path / "warehouse").rglob("*.parquet"):
+    for path in (tmp_path / "warehouse" / "archive_week").rglob("*.parquet"):
         table = pq.ParquetFile(path).read(["mode", "timestamp"]).to_pylist()
         keys = [(r["mode"], r["timestamp"]) for r in table]
         assert keys == sorted(keys)
