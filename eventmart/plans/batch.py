@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.functions.naming import output_name
 from eventmart.operators.archive import compact
 from eventmart.operators.equity import equity_changes
 from eventmart.operators.gate import attach_live, gate_configs, live_by_file, open_modes
@@ -16,6 +17,8 @@ from eventmart.operators.parse import line_facts, parse_messages
 from eventmart.operators.registry import registrations, touch_instances, upsert_instances
 from eventmart.operators.rows import archive_of_line, equity_of_line, trades_of_line
 from eventmart.operators.stats import file_stats
+from eventmart.plans import runs
+from eventmart.plans.runs import manifest  # noqa: F401
 from eventmart.session import Staging, staging
 from eventmart.sources import files as sources
 from eventmart.sources import fs
@@ -56,16 +59,19 @@ def timestamp_now() -> str:
 def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now: str, run: str,
                  on_change: bool = True, require_equity: bool = True, mode_field: str = "mode",
                  grain: str | None = "week", archive_mode: str = "accumulate", state: DataFrame | None = None,
-                 names: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                 names: DataFrame | None = None, registry: str | None = None,
+                 gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Parse lines once and feed every table from the staged result.
 
     Returns (counters per file, equity rows of accepted lines before the on-change filter).
-    ``names`` maps file names to archive sources. With ``grain`` None archive rows wait for the next run that compacts. Every write is an upsert, so a run that died half
-    way is repaired by running it again.
+    ``names`` maps file names to archive sources; what the archive holds of the sources ``gone`` (src) goes. With ``grain`` None
+    archive rows wait for the next run that compacts, and sources do not go. ``run`` is a name that no other run has. Every write
+    is an upsert, so a run that died half way is repaired by running it again under its name, with ``registry``, the version of the
+    registry that it began with: lines are then judged by what was known before the run.
     """
     messages = parse_messages(lines, mode_field=mode_field)
     facts = area.table(line_facts(messages, require_equity=require_equity), "facts")
-    instances = area.table(warehouse.stored(INSTANCES).select(*INSTANCES.columns), "instances_before")
+    instances = area.table(warehouse.stored(INSTANCES, as_of=registry).select(*INSTANCES.columns), "instances_before")
     gated = gate_configs(facts, area.table(open_modes(facts, instances), "gates"))
     equity = equity_of_line(gated)
     kept = area.table(equity_changes(equity, on_change=on_change, state=state), "kept")
@@ -80,7 +86,7 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
         rows = rows.drop("src").join(broadcast_if_small(names), "file_name", "left")
     rows = rows.select(*PENDING.columns)
     if grain:
-        compact_pending(warehouse, rows, area, grain=grain, mode=archive_mode)
+        compact_pending(warehouse, rows, area, grain=grain, mode=archive_mode, gone=gone)
     else:
         rows.write.mode("overwrite").parquet(f"{warehouse.root}/{PENDING.name}/run={run}")
 
@@ -91,56 +97,96 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
     return warehouse.spark.read.schema(STATS.schema).parquet(path), equity
 
 
-def manifest(warehouse: Warehouse) -> DataFrame:
-    path = f"{warehouse.root}/ingest_manifest"
-    if not fs.exists(warehouse.spark, path):
-        return warehouse.spark.createDataFrame([], sources.MANIFEST)
-    return warehouse.spark.read.schema(sources.MANIFEST).parquet(path)
-
-
 def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse, *, limit: int | None = None,
               glob: str = sources.LOG_GLOB, processed_dir: str | None = None, now: str | None = None,
               **options) -> DataFrame:
     """Ingest the new log files of a directory, or the given files, in the order of their names.
 
-    A file ingested before with the same content is skipped; files unchanged since then are not even
-    read. Files are told apart by path: where several folders have files of one name, the folder follows the name
-    in the counters and order columns. ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards
-    (unset: they stay). Further options as for ``ingest_lines``. Returns the counters of each file read.
+    A file ingested before with the same content is skipped; files unchanged since then are not even read. Of a file that has
+    grown only the new lines are taken in; a file that changed otherwise replaces what the archive holds of it. Files are told
+    apart by path: where several folders have files of one name, the folder follows the name in the counters and order columns.
+    ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards (unset: they stay). A run that died
+    is finished first, with the files, the stamp and the registry that it began with. Further options as for ``ingest_lines``.
+    Returns the counters of each file read.
     """
     now = now or timestamp_now()
+    stats = None
+    for run in runs.unfinished(warehouse):
+        with staging(spark) as area:
+            held = [r.path for r in runs.files_of(warehouse, run).select("path").toLocalIterator() if fs.exists(spark, r.path)]
+            same = sources.list_files(spark, held, glob="*", exclude="\u0000").select("uri", "length", "mtime") if held else None
+            fresh = runs.files_of(warehouse, run)
+            # files that changed or went since are left to a later run
+            fresh = fresh.join(same, ["uri", "length", "mtime"], "left_semi") if held else fresh.limit(0)
+            found = take_in(warehouse, run, area.table(fresh, "fresh"), area, processed_dir=processed_dir, **options)
+            stats = found if stats is None else stats.unionByName(found)
     with staging(spark) as area:
-        known = manifest(warehouse)
+        known = runs.manifest(warehouse)
         changed = sources.changed_files(sources.list_files(spark, source, glob=glob), known)
         picked = area.table(sources.with_file_ids(spark, area.table(sources.pick_files(changed, limit), "picked")), "files")
-        fresh = area.table(sources.output_names(sources.once(sources.new_files(picked, known))), "fresh")
+        picked = picked if "lines_id" in picked.columns else picked.selectExpr("*", "string(null) AS lines_id", "bigint(null) AS line_count")
+        fresh = area.table(sources.output_names(sources.once(sources.new_files(picked, known))), "new")
+        fresh = fresh.select("path", F.lit(True).alias("fresh"), "src").join(area.table(with_earlier(spark, fresh, known), "earlier"), "path", "left")
+        # a file seen before that only looks changed is entered again
+        run = runs.begin(warehouse, runs.new_name(now), now, picked.join(fresh, "path", "left"))
+        found = take_in(warehouse, run, area.table(runs.files_of(warehouse, run), "fresh"), area, processed_dir=processed_dir, **options)
+        return found if stats is None else stats.unionByName(found)
+
+
+def with_earlier(spark: SparkSession, fresh: DataFrame, known: DataFrame) -> DataFrame:
+    """(path, skip, gone): how many lines of a file are known already, or else the source under which its place was archived."""
+    last = sources.last_entries(known).select("uri", output_name(F.col("file_name"), F.col("seen.file_id")).alias("gone"))
+    # the same content may lie in another place as well
+    kept = last.join(fresh, "uri", "left_anti").select("gone")
+    grown = sources.grown(spark, fresh, known)
+    found = fresh.select("path", "uri").join(grown, "uri", "left").join(last.join(kept, "gone", "left_anti"), "uri", "left")
+    return found.select("path", F.coalesce("skip", F.lit(0)).alias("skip"), F.when(F.col("skip").isNull(), F.col("gone")).alias("gone"))
+
+
+def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging, *, processed_dir: str | None = None, **options) -> DataFrame:
+    """Ingest the fresh ones of ``files``, enter all of them in the manifest, move them and end the run."""
+    spark = warehouse.spark
+    fresh = files.where("fresh")
+    repeated = sources.repeated_names(fresh)
+    key = sources.file_key(F.col("file_name"), F.col("uri"), repeated)
+    stats = spark.createDataFrame([], STATS.schema)
+    if not runs.entered(warehouse, run):
         # the driver holds one path per file, as the scan's own file index does
         paths = [row.path for row in fresh.select("path").toLocalIterator()]
-        stats = spark.createDataFrame([], STATS.schema)
         counted = spark.createDataFrame([], "_key string, n_lines bigint")
-        repeated = sources.repeated_names(fresh)
-        key = sources.file_key(F.col("file_name"), F.col("uri"), repeated)
         if paths:
             lines = sources.scan_lines(spark, paths, glob="*", repeated=repeated)
-            run = "".join(c for c in now if c.isalnum())
-            stats, _ = ingest_lines(warehouse, lines, area, now=now, run=run,
-                                    names=fresh.select(key.alias("file_name"), "src"), **options)
+            skip = fresh.select(key.alias("file_name"), "skip").where("skip > 0")
+            if skip.limit(1).count():
+                tails = sources.numbered(lines).join(broadcast_if_small(skip), "file_name", "left")
+                lines = tails.where(F.col("skip").isNull() | (F.col("number") >= F.col("skip"))).select(*lines.columns)
+            stats, _ = ingest_lines(warehouse, lines, area, now=run.now, run=run.name, registry=run.registry,
+                                    names=fresh.select(key.alias("file_name"), "src"), gone=gone_sources(area, fresh), **options)
             facts = spark.read.parquet(area.path("facts"))
             counted = facts.groupBy(F.col("file_name").alias("_key")).agg(F.count("*").alias("n_lines"))
-        # a file seen before that only looks changed is entered again, without a line count
-        entry = picked.withColumn("_key", key).join(counted, "_key", "left").select(
-            "file_name", "file_id", "length", "mtime", "n_lines", F.lit(now).alias("ingested_at"), "path"
-        )
-        entry.hint("rebalance").write.mode("append").parquet(f"{warehouse.root}/ingest_manifest")
-        if processed_dir:
-            fs.make_dirs(spark, processed_dir)
-            for row in picked.select("path").toLocalIterator():
-                target = f"{processed_dir.rstrip('/')}/{row.path.rsplit('/', 1)[-1]}"
-                if fs.exists(spark, target):  # a file of another folder, or an earlier one
-                    stem, dot, ending = target.rpartition(".")
-                    target = f"{stem}_{hashlib.md5(f'{now} {row.path}'.encode()).hexdigest()}{dot}{ending}" if dot else f"{target}_{now}"
-                fs.rename(spark, row.path, target)
-        return stats
+        entry = files.withColumn("_key", key).join(counted, "_key", "left").withColumn("ingested_at", F.lit(run.now))
+        runs.enter(warehouse, run, entry.select(*[field.split()[0] for field in sources.MANIFEST.split(", ")]))
+    if processed_dir:
+        move_files(spark, [row.path for row in files.select("path").toLocalIterator()], processed_dir, run.now)
+    runs.finish(warehouse, run)
+    return stats
+
+
+def gone_sources(area: Staging, fresh: DataFrame) -> DataFrame | None:
+    gone = fresh.where("gone is not null").select(F.col("gone").alias("src"))
+    return area.table(gone, "gone") if gone.limit(1).count() else None
+
+
+def move_files(spark: SparkSession, paths: list[str], processed_dir: str, now: str) -> None:
+    fs.make_dirs(spark, processed_dir)
+    for path in paths:
+        if not fs.exists(spark, path):  # moved before the run died
+            continue
+        target = f"{processed_dir.rstrip('/')}/{path.rsplit('/', 1)[-1]}"
+        if fs.exists(spark, target):  # a file of another folder, or an earlier one
+            stem, dot, ending = target.rpartition(".")
+            target = f"{stem}_{hashlib.md5(f'{now} {path}'.encode()).hexdigest()}{dot}{ending}" if dot else f"{target}_{now}"
+        fs.rename(spark, path, target)
 
 
 def delete_mode(warehouse: Warehouse, mode: str, *, grains: tuple[str, ...] = ("hour", "day", "week", "month"),

@@ -245,6 +245,13 @@ UNION ALL SELECT 'trades', count(*) FROM good WHERE event_type = 'purchase' AND
 UNION ALL SELECT 'instances', count(DISTINCT mode) FROM ev WHERE event_type = 'signup' AND mode = 'u1'
 UNION ALL SELECT 'archive_week', count(*) FROM good WHERE event_type = 'view' AND mode = 'u1'""",
 }
+ORACLES["batch_repeat"] = ORACLES["stream_repeat"] = ORACLES["batch_on_change"]
+ORACLES["grown_files"] = f"WITH {_GATED} SELECT t AS timestamp, mode FROM ({_VIEWS})"
+ORACLES["stream_then_batch"] = f"""WITH {_GATED}
+SELECT 'files' AS table_name, CAST(0 AS BIGINT) AS n_rows
+UNION ALL SELECT 'trades', count(*) FROM good WHERE event_type = 'purchase'
+UNION ALL SELECT 'instances', count(DISTINCT mode) FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT 'archive_week', count(*) FROM ({_VIEWS})"""
 ORACLES["compact_merged"] = ORACLES["compact_week"]
 # taking the last days in once more changes nothing
 ORACLES["upsert_merged"] = ORACLES["upsert_equity"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import partial, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +17,13 @@ from eventmart.operators.stats import file_stats
 from eventmart.plans.batch import delete_mode, run_batch
 from eventmart.plans.synth import event_lines, load_events, write_log_files
 from eventmart.session import Staging, configure
-from eventmart.sources import files
+from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse, archive_table
 from eventmart.streaming.ingest import stream_ingest
 
 HALF = "2024-01-16"  # the run is cut here where a query needs an earlier and a later one
 LATE = "2024-01-29"  # a short later run, in which many modes use their earlier registration
-NOW = "2024-02-01T00:00:00"
+NOW, LATER = "2024-02-01T00:00:00", "2024-02-02T00:00:00"
 SLICE = ("u1", 1704412800.0, 1706140800.0)  # mode, [from, to) in epoch seconds
 FIRST_FILES = 7
 
@@ -352,6 +353,91 @@ def stream_on_change(spark, sf_dir):
     return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
 
 
+class Death(Exception):
+    """A run that is cut off."""
+
+
+class DyingWarehouse(Warehouse):
+    """Dies once after each of its tables was written, in the order in which a run writes them."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.left = {INSTANCES.name, EQUITY.name, TRADES.name, archive_table().name}
+
+    def add_version(self, table, *args, **options):
+        super().add_version(table, *args, **options)
+        if table.name in self.left:
+            self.left.remove(table.name)
+            raise Death(table.name)
+
+
+def batch_repeat(spark, sf_dir):
+    """The whole run, cut off after every sink in turn and started again: registered modes must not be known earlier than at first."""
+    area = Staging(spark)
+    warehouse = DyingWarehouse(spark, area.path("warehouse"), 1)
+    logs = _log_directory(spark, sf_dir, area)
+    while True:
+        try:
+            run_batch(spark, logs, warehouse, now=NOW)
+            break
+        except Death:
+            continue
+    return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
+
+
+def stream_repeat(spark, sf_dir):
+    """The same for the first micro-batch of a stream that is started again from its checkpoint."""
+    area = Staging(spark)
+    warehouse = DyingWarehouse(spark, area.path("warehouse"), 1)
+    logs = _log_directory(spark, sf_dir, area)
+    while True:
+        query = stream_ingest(spark, logs, warehouse, checkpoint=area.path("checkpoint"), max_files=12, trigger={"availableNow": True}, now=NOW)
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException:
+            if query.exception() and "Death" not in str(query.exception()):
+                raise
+    return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
+
+
+def stream_then_batch(spark, sf_dir):
+    """A batch run after the stream finds nothing new: rows per table afterwards, and files that it read."""
+    area = Staging(spark)
+    warehouse = Warehouse(spark, area.path("warehouse"), 1)
+    logs = _log_directory(spark, sf_dir, area)
+    stream_ingest(spark, logs, warehouse, checkpoint=area.path("checkpoint"), max_files=12, trigger={"availableNow": True}, now=NOW).awaitTermination()
+    again = run_batch(spark, logs, warehouse, now=LATER).groupBy().agg(F.count("*").alias("n_rows")).select(F.lit("files").alias("table_name"), "n_rows")
+    counts = [warehouse.read(t).groupBy().agg(F.count("*").alias("n_rows")).select(F.lit(t.name).alias("table_name"), "n_rows")
+              for t in (TRADES, INSTANCES, archive_table())]
+    return reduce(DataFrame.unionByName, counts, again)
+
+
+def grown_files(spark, sf_dir):
+    """Files that grow between two runs: the archive holds each line once."""
+    area = Staging(spark)
+    warehouse = Warehouse(spark, area.path("warehouse"), 1)
+    configure(spark)
+    lines = event_lines(load_events(spark, sf_dir))
+    # at first each day's file ends at noon
+    stamp = F.get_json_object("line", "$.timestamp").cast("double")
+    morning = F.coalesce(stamp - F.col("file_ts") < 43200, F.lit(False))
+    write_log_files(spark, _begin_of_files(lines, morning), area.path("morning"))
+    run_batch(spark, area.path("morning/logs"), warehouse, now=NOW)
+    write_log_files(spark, lines, area.path("evening"))
+    for name in fs.list_names(spark, area.path("evening/logs")):
+        fs.delete(spark, area.path(f"morning/logs/{name}"))
+        fs.rename(spark, area.path(f"evening/logs/{name}"), area.path(f"morning/logs/{name}"))
+    run_batch(spark, area.path("morning/logs"), warehouse, now=LATER)
+    return archive.read_archive(warehouse).select("timestamp", "mode")
+
+
+def _begin_of_files(lines: DataFrame, early: Column) -> DataFrame:
+    """The lines of each file up to its last ``early`` one."""
+    last = lines.where(early).groupBy("file_name").agg(F.max("ord").alias("last"))
+    return lines.join(F.broadcast(last), "file_name").where("ord <= last").select(*lines.columns)
+
+
 QUERIES = {
     "equity_on_change": equity_on_change,
     "equity_all": equity_all,
@@ -390,4 +476,8 @@ QUERIES = {
     "delete_mode_dry": delete_dry_run,
     "batch_on_change": batch_on_change,
     "stream_on_change": stream_on_change,
+    "batch_repeat": batch_repeat,
+    "stream_repeat": stream_repeat,
+    "stream_then_batch": stream_then_batch,
+    "grown_files": grown_files,
 }

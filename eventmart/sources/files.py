@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.naming import epoch_seconds, file_time, output_name
+from eventmart.operators.keys import broadcast_if_small
 
 LOG_GLOB = "*.jsnl"
 UNFINISHED = "current"
 
-MANIFEST = "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string, path string"
+# n_lines: lines that a run took in; line_count and lines_id: all lines of the file then, and their digest
+MANIFEST = (
+    "file_name string, file_id string, length bigint, mtime double, n_lines bigint, ingested_at string, path string, "
+    "uri string, line_count bigint, lines_id string"
+)
 
 
 def list_files(spark: SparkSession, path: str | list[str], *, glob: str = LOG_GLOB,
@@ -40,12 +45,12 @@ def pick_files(listing: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def changed_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files not known by path, length and modification time: only their content needs a look.
+    """Files not known by place, length and modification time: only their content needs a look.
 
-    A manifest or listing without paths is compared by name.
+    A manifest or listing without places is compared by name.
     """
-    by_path = "path" in manifest.columns and "path" in listing.columns
-    same = ["path" if by_path else "file_name", "length", "mtime"]
+    shared = [c for c in ("uri", "path", "file_name") if c in manifest.columns and c in listing.columns]
+    same = [shared[0], "length", "mtime"]
     return listing.join(manifest.select(*same), same, "left_anti")
 
 
@@ -84,6 +89,9 @@ def with_metadata(text: DataFrame, exclude: str = UNFINISHED, repeated: list[str
         file_key(name, F.col("_metadata.file_path"), repeated or []).alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_size").alias("length"),
+        epoch_seconds(F.col("_metadata.file_modification_time")).alias("mtime"),
     )
 
 
@@ -92,6 +100,12 @@ def order_lines(lines: DataFrame) -> DataFrame:
     return lines.select("file_ts", "file_name", "block", F.monotonically_increasing_id().alias("ord"), "line")
 
 
+def files_of_lines(lines: DataFrame) -> DataFrame:
+    """The listing of the files that lines of ``with_metadata`` come from."""
+    listing = lines.select("uri", "file_name", "length", "mtime").distinct()
+    return with_file_ts(listing.withColumn("path", F.col("uri")))
+
+
 def repeated_names(listing: DataFrame) -> list[str]:
     """The names that several files of a listing have."""
     return sorted(r.file_name for r in listing.groupBy("file_name").agg(F.count("*").alias("n")).where("n > 1").collect())
@@ -108,9 +122,46 @@ def with_file_ids(spark: SparkSession, listing: DataFrame) -> DataFrame:
         return listing.withColumn("file_id", F.lit(None).cast("string"))
     repeated = repeated_names(listing)
     lines = scan_lines(spark, paths, glob="*", exclude="\u0000", repeated=repeated)
-    digests = line_digest(lines).select(F.col("file_name").alias("_key"), F.col("file_id").alias("digest"))
-    file_id = F.md5(F.concat_ws(":", F.col("length").cast("string"), "digest"))
-    return listing.withColumn("_key", file_key(F.col("file_name"), F.col("uri"), repeated)).join(digests, "_key", "left").withColumn("file_id", file_id).drop("digest", "_key")
+    digests = line_digest(lines).select(F.col("file_name").alias("_key"), F.col("file_id").alias("lines_id"), "line_count")
+    keyed = listing.withColumn("_key", file_key(F.col("file_name"), F.col("uri"), repeated))
+    return keyed.join(digests, "_key", "left").withColumn("file_id", content_id()).drop("_key")
+
+
+def content_id() -> Column:
+    """Equal ids mean equal content: the length beside the digest tells whether the last line is ended."""
+    return F.md5(F.concat_ws(":", F.col("length").cast("string"), "lines_id"))
+
+
+def last_entries(manifest: DataFrame) -> DataFrame:
+    """(uri, file_name, seen): each place as it was last taken in."""
+    seen = F.struct("ingested_at", "file_id", "line_count", "lines_id")
+    return manifest.where("uri is not null").groupBy("uri", "file_name").agg(F.max(seen).alias("seen"))
+
+
+def grown(spark: SparkSession, files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(uri, skip): those of ``files`` that begin with all the lines that were taken in from their place before.
+
+    The digest of a file's lines is made of sums, so the one of its first lines is that of the shorter file it was.
+    """
+    before = last_entries(manifest).select("uri", F.col("seen.line_count").alias("skip"), F.col("seen.lines_id").alias("begin"))
+    longer = files.join(before, "uri").where("line_count > skip").select("uri", "path", "file_name", "skip", "begin")
+    paths = [r.path for r in longer.select("path").toLocalIterator()]  # one path per file of the run
+    if not paths:
+        return files.select("uri", F.lit(0).cast("bigint").alias("skip")).limit(0)
+    again = repeated_names(longer)
+    key = longer.select(file_key(F.col("file_name"), F.col("uri"), again).alias("file_name"), "uri", "skip", "begin")
+    lines = numbered(scan_lines(spark, paths, glob="*", exclude="\u0000", repeated=again))
+    first = lines.join(broadcast_if_small(key.select("file_name", "skip")), "file_name").where("number < skip")
+    return line_digest(first).join(key, "file_name").where("file_id = begin").select("uri", "skip")
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Add ``number``: the place of each line in its file, from 0, whatever the splits. One row per split goes through a window."""
+    splits = lines.groupBy("file_name", "block").agg(F.count("*").alias("n"), F.min("ord").alias("low"))
+    earlier = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file_name", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("low")).alias("shift"))
+    joined = lines.join(broadcast_if_small(splits), ["file_name", "block"])
+    return joined.select(*lines.columns, (F.col("ord") + F.col("shift")).alias("number"))
 
 
 # Fixed value: the modulus of the digest; products of two residues fit a BIGINT.
@@ -118,7 +169,7 @@ _PRIME = 2147483647
 
 
 def line_digest(lines: DataFrame) -> DataFrame:
-    """(file_name, file_id) from all lines and their numbers, whatever the splits.
+    """(file_name, file_id, line_count) from all lines and their numbers, whatever the splits.
 
     With h the hash and i the number of a line, the sums of h and of h * i (mod a prime) describe a
     file. Each split adds up h and h * row id; the number of lines before the split and its lowest
@@ -140,7 +191,8 @@ def line_digest(lines: DataFrame) -> DataFrame:
     ]
     residues = [F.pmod(p, F.lit(_PRIME)).cast("string") for p in parts]
     return splits.groupBy("file_name").agg(
-        F.md5(F.concat_ws(":", F.sum("n").cast("string"), F.sum("bytes").cast("string"), *residues)).alias("file_id")
+        F.md5(F.concat_ws(":", F.sum("n").cast("string"), F.sum("bytes").cast("string"), *residues)).alias("file_id"),
+        F.sum("n").alias("line_count"),
     )
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from eventmart.operators.equity import carry_state
+from eventmart.operators.keys import broadcast_if_small
+from eventmart.plans import runs
 from eventmart.plans.batch import ingest_lines, timestamp_now
 from eventmart.session import staging
 from eventmart.sources import files, fs
-from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse
+from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse, archive_table
 
 STATE = "mode string, equity double"
 
@@ -31,18 +34,43 @@ def state_before(warehouse: Warehouse, batch: int) -> DataFrame:
     return spark.read.schema(STATE).parquet(state_path(warehouse, max(done)))
 
 
-def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, **options) -> None:
-    """One micro-batch: the registry and the state are read anew, every write is an upsert."""
-    with staging(warehouse.spark) as area:
+def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream: str = "", **options) -> None:
+    """One micro-batch: the registry and the state are those that it began with, every write is an upsert.
+
+    Files that a batch run or an earlier batch has taken in are left out, by the one manifest of all runs; ``lines`` without
+    the columns of ``with_metadata`` are taken as they are. A batch that is run again after a failure judges as the first time.
+    """
+    spark = warehouse.spark
+    options = {"now": timestamp_now(), **options}
+    run = runs.begin(warehouse, f"stream{stream}{batch:010d}", options.pop("now"))
+    with staging(spark) as area:
         before = state_before(warehouse, batch)
+        ordered, taken, names = files.order_lines(lines), None, None
+        if "uri" in lines.columns:
+            known = runs.manifest(warehouse, but=run.name)
+            listed = area.table(files.changed_files(files.files_of_lines(lines), known), "listed")
+            digests = files.line_digest(ordered).withColumnRenamed("file_id", "lines_id")
+            taken = area.table(listed.join(digests, "file_name").withColumn("file_id", files.content_id()), "taken")
+            names = area.table(files.output_names(files.new_files(taken, known)).select("file_name", "src"), "names")
+            ordered = ordered.join(broadcast_if_small(names.select("file_name")), "file_name", "left_semi").select(*ordered.columns)
         _, equity = ingest_lines(
-            warehouse, files.order_lines(lines), area, run=f"stream{batch}", state=before,
-            **{"now": timestamp_now(), **options},
+            warehouse, ordered, area, run=run.name, now=run.now, registry=run.registry, state=before, names=names, **options,
         )
+        if taken is not None:
+            lines_read = spark.read.parquet(area.path("facts")).groupBy("file_name").agg(F.count("*").alias("n_lines"))
+            entry = taken.join(lines_read, "file_name", "left").withColumn("ingested_at", F.lit(run.now))
+            runs.enter(warehouse, run, entry.select(*[field.split()[0] for field in files.MANIFEST.split(", ")]))
         carry_state(before, equity).write.mode("overwrite").parquet(state_path(warehouse, batch))
-        # the two newest states cover a repeated batch
+        # the two newest states, and the records of the two newest batches, cover a repeated batch
         for old in range(max(0, batch - 3), batch - 1):
-            fs.delete(warehouse.spark, state_path(warehouse, old))
+            fs.delete(spark, state_path(warehouse, old))
+            fs.delete(spark, runs.run_path(warehouse, f"stream{stream}{old:010d}"))
+
+
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps for its stream: batches of another checkpoint have the same numbers."""
+    found = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id").alias("id")).first()
+    return found.id
 
 
 def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, checkpoint: str,
@@ -58,9 +86,10 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
     lines = files.with_metadata(reader.load(source))
 
     def run(batch_lines: DataFrame, batch: int) -> None:
-        process_batch(warehouse, batch_lines, batch, **options)
+        process_batch(warehouse, batch_lines, batch, stream=f"-{stream_name(spark, checkpoint)}-", **options)
         if merge_every and batch % merge_every == merge_every - 1:
-            for table in (EQUITY, TRADES, INSTANCES):
+            grain = options.get("grain", "week")
+            for table in (EQUITY, TRADES, INSTANCES, *([archive_table(grain)] if grain else [])):
                 warehouse.merge(table)
         if archive_dir:
             # only files whose lines were taken in; the driver holds the names of one batch
