@@ -246,7 +246,20 @@ UNION ALL SELECT 'instances', count(DISTINCT mode) FROM ev WHERE event_type = 's
 UNION ALL SELECT 'archive_week', count(*) FROM good WHERE event_type = 'view' AND mode = 'u1'""",
 }
 ORACLES["batch_repeat"] = ORACLES["stream_repeat"] = ORACLES["batch_on_change"]
-ORACLES["grown_files"] = f"WITH {_GATED} SELECT t AS timestamp, mode FROM ({_VIEWS})"
+# the files up to their last line before noon, then the rest of them
+ORACLES["grown_files"] = f"""WITH {_EVENTS},
+noon AS (SELECT day, max(event_id) AS last FROM ev WHERE event_type <> 'signup' AND t - epoch(day) < 43200 GROUP BY day),
+runs AS (
+  SELECT ev.*, event_id <= coalesce(last, -1) AS early, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS opens
+  FROM ev LEFT JOIN noon USING (day)
+),
+judged AS (
+  SELECT *, coalesce(max(opens) OVER (PARTITION BY user_id, early ORDER BY day, event_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS in_run,
+         NOT early AND max(CASE WHEN early THEN opens ELSE 0 END) OVER (PARTITION BY user_id) = 1 AS known
+  FROM runs
+)
+SELECT t AS timestamp, mode FROM judged WHERE event_type = 'view' AND (in_run OR known)"""
 ORACLES["stream_then_batch"] = f"""WITH {_GATED}
 SELECT 'files' AS table_name, CAST(0 AS BIGINT) AS n_rows
 UNION ALL SELECT 'trades', count(*) FROM good WHERE event_type = 'purchase'
