@@ -126,7 +126,11 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
         picked = area.table(sources.with_file_ids(spark, area.table(sources.pick_files(changed, limit), "picked")), "files")
         picked = picked if "lines_id" in picked.columns else picked.selectExpr("*", "string(null) AS lines_id", "bigint(null) AS line_count")
         fresh = area.table(sources.output_names(sources.once(sources.new_files(picked, known))), "new")
-        fresh = fresh.select("path", F.lit(True).alias("fresh"), "src").join(area.table(with_earlier(spark, fresh, known), "earlier"), "path", "left")
+        if fs.exists(spark, runs.manifest_path(warehouse)):
+            earlier = area.table(with_earlier(spark, fresh, known), "earlier")
+        else:
+            earlier = fresh.selectExpr("path", "bigint(0) AS skip", "string(null) AS gone")
+        fresh = fresh.select("path", F.lit(True).alias("fresh"), "src").join(earlier, "path", "left")
         # a file seen before that only looks changed is entered again
         run = runs.begin(warehouse, runs.new_name(now), now, picked.join(fresh, "path", "left"))
         found = take_in(warehouse, run, area.table(runs.files_of(warehouse, run), "fresh"), area, processed_dir=processed_dir, **options)
