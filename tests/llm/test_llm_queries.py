@@ -14,7 +14,7 @@ SF_DIR = f"{DATA}/sf0.001"
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= queries().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11)]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
