@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.naming import output_name
 from eventmart.operators.archive import compact
 from eventmart.operators.equity import equity_changes
 from eventmart.operators.gate import attach_live, gate_configs, live_by_file, open_modes
@@ -22,34 +21,41 @@ from eventmart.plans.runs import manifest  # noqa: F401
 from eventmart.session import Staging, staging
 from eventmart.sources import files as sources
 from eventmart.sources import fs
-from eventmart.sources.tables import ARCHIVE_SCHEMA, EQUITY, INSTANCES, TRADES, Table, Warehouse, archive_table
+from eventmart.sources.tables import ARCHIVE_SCHEMA, EQUITY, INSTANCES, STREAM_STATE, TRADES, Table, Warehouse, archive_table
 
 STATS = Table(
     "file_stats",
     "file_name string, total_records bigint, invalid_records bigint, missing_fields bigint, equity_records bigint, "
     "trade_records bigint, skipped_db_only_records bigint, skipped_equity_records bigint, empty_lines bigint, "
-    "archived_rows bigint, processed bigint, live_records bigint",
+    "archived_rows bigint, processed bigint, undated_records bigint, live_records bigint",
     ("file_name",),
 )
 
 
 # Archive rows of runs that did not compact; the next run that does takes them in.
 PENDING = Table("archive_pending", ARCHIVE_SCHEMA, ("src", "block", "ord"))
+REST = "rest"  # how the names of folders begin that hold what a deletion left
+
+
+def pending_path(warehouse: Warehouse, run: str = "") -> str:
+    return f"{warehouse.root}/{PENDING.name}" + (f"/run={run}" if run else "")
 
 
 def pending_rows(warehouse: Warehouse) -> DataFrame:
-    """Archive rows that wait for a compaction."""
-    path = f"{warehouse.root}/{PENDING.name}"
-    if not fs.exists(warehouse.spark, path):
-        return warehouse.spark.createDataFrame([], PENDING.schema)
-    return warehouse.spark.read.schema(PENDING.schema).parquet(path).select(*PENDING.columns)
+    """Archive rows that wait for a compaction; a row that a deletion was copying when it died counts once."""
+    spark, path = warehouse.spark, pending_path(warehouse)
+    folders = [n for n in fs.list_names(spark, path) if fs.exists(spark, f"{path}/{n}/_SUCCESS")]
+    if not folders:
+        return spark.createDataFrame([], PENDING.schema)
+    rows = spark.read.schema(PENDING.schema).option("recursiveFileLookup", "true").parquet(*[f"{path}/{n}" for n in folders]).select(*PENDING.columns)
+    copying = len(folders) > 1 and any(n.startswith(f"run={REST}") for n in folders)
+    return rows.dropDuplicates(list(PENDING.keys)) if copying else rows
 
 
-def compact_pending(warehouse: Warehouse, rows: DataFrame, area: Staging, *, grain: str, mode: str = "accumulate",
-                    gone: DataFrame | None = None) -> None:
+def compact_pending(warehouse: Warehouse, rows: DataFrame, area: Staging, *, grain: str, mode: str = "accumulate") -> None:
     """Compact ``rows`` and those that wait. The waiting rows go last, so a run that dies before takes them in again, to the same result."""
-    compact(warehouse, area.table(pending_rows(warehouse).unionByName(rows), "archive_rows"), grain=grain, mode=mode, gone=gone)
-    fs.delete(warehouse.spark, f"{warehouse.root}/{PENDING.name}")
+    compact(warehouse, area.table(pending_rows(warehouse).unionByName(rows), "archive_rows"), grain=grain, mode=mode)
+    fs.delete(warehouse.spark, pending_path(warehouse))
 
 
 def timestamp_now() -> str:
@@ -59,14 +65,12 @@ def timestamp_now() -> str:
 def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now: str, run: str,
                  on_change: bool = True, require_equity: bool = True, mode_field: str = "mode",
                  grain: str | None = "week", archive_mode: str = "accumulate", state: DataFrame | None = None,
-                 names: DataFrame | None = None, registry: str | None = None,
-                 gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                 names: DataFrame | None = None, registry: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Parse lines once and feed every table from the staged result.
 
     Returns (counters per file, equity rows of accepted lines before the on-change filter).
-    ``names`` maps file names to archive sources; what the archive holds of the sources ``gone`` (src) goes. With ``grain`` None
-    archive rows wait for the next run that compacts, and sources do not go. ``run`` is a name that no other run has. Every write
-    is an upsert, so a run that died half way is repaired by running it again under its name, with ``registry``, the version of the
+    ``names`` maps file names to archive sources. With ``grain`` None archive rows wait for the next run that compacts. ``run`` is a
+    name that no other run has. Every write is an upsert, so a run that died half way is repaired by running it again under its name, with ``registry``, the version of the
     registry that it began with: lines are then judged by what was known before the run.
     """
     messages = parse_messages(lines, mode_field=mode_field)
@@ -86,9 +90,9 @@ def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now:
         rows = rows.drop("src").join(broadcast_if_small(names), "file_name", "left")
     rows = rows.select(*PENDING.columns)
     if grain:
-        compact_pending(warehouse, rows, area, grain=grain, mode=archive_mode, gone=gone)
+        compact_pending(warehouse, rows, area, grain=grain, mode=archive_mode)
     else:
-        rows.write.mode("overwrite").parquet(f"{warehouse.root}/{PENDING.name}/run={run}")
+        rows.write.mode("overwrite").parquet(pending_path(warehouse, run))
 
     live = attach_live(kept, flags).groupBy("file_name").agg(F.count_if("live").alias("live_records"))
     stats = file_stats(gated, kept).join(live, "file_name", "left").fillna(0, ["live_records"])
@@ -103,8 +107,7 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
     """Ingest the new log files of a directory, or the given files, in the order of their names.
 
     A file ingested before with the same content is skipped; files unchanged since then are not even read. Of a file that has
-    grown only the new lines are taken in; a file that changed otherwise replaces what the archive holds of it. Files are told
-    apart by path: where several folders have files of one name, the folder follows the name in the counters and order columns.
+    grown only the new lines are taken in; one that changed otherwise is taken in whole, beside what it held. Files are told apart by path: where several folders have files of one name, the folder follows the name in the counters and order columns.
     ``limit`` takes the first n of the others; ``processed_dir`` moves files there afterwards (unset: they stay). A run that died
     is finished first, with the files, the stamp and the registry that it began with. Further options as for ``ingest_lines``.
     Returns the counters of each file read.
@@ -126,27 +129,15 @@ def run_batch(spark: SparkSession, source: str | list[str], warehouse: Warehouse
         picked = area.table(sources.with_file_ids(spark, area.table(sources.pick_files(changed, limit), "picked")), "files")
         picked = picked if "lines_id" in picked.columns else picked.selectExpr("*", "string(null) AS lines_id", "bigint(null) AS line_count")
         fresh = area.table(sources.output_names(sources.once(sources.new_files(picked, known))), "new")
-        if fs.exists(spark, runs.manifest_path(warehouse)):
-            earlier = area.table(with_earlier(spark, fresh, known), "earlier")
-        else:
-            earlier = fresh.selectExpr("path", "bigint(0) AS skip", "string(null) AS gone")
-        fresh = fresh.select("path", F.lit(True).alias("fresh"), "src").join(earlier, "path", "left")
+        skip = area.table(sources.grown(spark, fresh, known), "grown") if fs.exists(spark, runs.manifest_path(warehouse)) else None
+        fresh = fresh.join(skip, "uri", "left") if skip is not None else fresh.withColumn("skip", F.lit(None).cast("bigint"))
+        fresh = fresh.select("path", F.lit(True).alias("fresh"), "src", F.coalesce("skip", F.lit(0)).alias("skip"))
         # a file seen before that only looks changed is entered again
         run = runs.begin(warehouse, runs.new_name(now), now, picked.join(fresh, "path", "left"))
         found = take_in(warehouse, run, area.table(runs.files_of(warehouse, run), "fresh"), area, processed_dir=processed_dir, **options)
         return found if stats is None else stats.unionByName(found)
 
 
-def with_earlier(spark: SparkSession, fresh: DataFrame, known: DataFrame) -> DataFrame:
-    """(path, skip, gone): how many lines of a file are known already, or else the source under which its place was archived."""
-    last = sources.last_entries(known).select("uri", output_name(F.col("file_name"), F.col("seen.file_id")).alias("gone"))
-    # the same content may lie in another place as well
-    kept = last.join(fresh, "uri", "left_anti").select("gone")
-    grown = sources.grown(spark, fresh, known)
-    found = fresh.select("path", "uri").join(grown, "uri", "left").join(last.join(kept, "gone", "left_anti"), "uri", "left")
-    return found.select("path", F.coalesce("skip", F.lit(0)).alias("skip"), F.when(F.col("skip").isNull(), F.col("gone")).alias("gone"))
-
-
 def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging, *, processed_dir: str | None = None, **options) -> DataFrame:
     """Ingest the fresh ones of ``files``, enter all of them in the manifest, move them and end the run."""
     spark = warehouse.spark
@@ -165,7 +156,7 @@ def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging
                 tails = sources.numbered(lines).join(broadcast_if_small(skip), "file_name", "left")
                 lines = tails.where(F.col("skip").isNull() | (F.col("number") >= F.col("skip"))).select(*lines.columns)
             stats, _ = ingest_lines(warehouse, lines, area, now=run.now, run=run.name, registry=run.registry,
-                                    names=fresh.select(key.alias("file_name"), "src"), gone=gone_sources(area, fresh), **options)
+                                    names=fresh.select(key.alias("file_name"), "src"), **options)
             facts = spark.read.parquet(area.path("facts"))
             counted = facts.groupBy(F.col("file_name").alias("_key")).agg(F.count("*").alias("n_lines"))
         entry = files.withColumn("_key", key).join(counted, "_key", "left").withColumn("ingested_at", F.lit(run.now))
@@ -176,11 +167,6 @@ def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging
     return stats
 
 
-def gone_sources(area: Staging, fresh: DataFrame) -> DataFrame | None:
-    gone = fresh.where("gone is not null").select(F.col("gone").alias("src"))
-    return area.table(gone, "gone") if gone.limit(1).count() else None
-
-
 def move_files(spark: SparkSession, paths: list[str], processed_dir: str, now: str) -> None:
     fs.make_dirs(spark, processed_dir)
     for path in paths:
@@ -199,7 +185,7 @@ def delete_mode(warehouse: Warehouse, mode: str, *, grains: tuple[str, ...] = ("
 
     Returns (table_name, n_rows) as counted before the removal.
     """
-    tables = [TRADES, INSTANCES, EQUITY, *[archive_table(grain) for grain in grains]]
+    tables = [TRADES, INSTANCES, EQUITY, *[archive_table(grain) for grain in grains]]  # counted in the answer
     counts = None
     for table in tables:
         one = warehouse.read(table, mode).agg(F.count("*").alias("n_rows"))
@@ -213,7 +199,7 @@ def delete_mode(warehouse: Warehouse, mode: str, *, grains: tuple[str, ...] = ("
         return counts
     # one row per table, kept because the rows counted are about to go
     counted = warehouse.spark.createDataFrame(counts.collect(), "table_name string, n_rows bigint")
-    for table in tables:
+    for table in (*tables, STREAM_STATE):
         warehouse.delete_mode(table, mode)
     with staging(warehouse.spark) as area:
         left = area.table(waiting.where(~F.col("mode").eqNullSafe(mode)), "pending")

@@ -112,7 +112,8 @@ counts AS (
 )
 SELECT file_name, total_records, invalid_records, missing_fields, coalesce(n, 0) AS equity_records, trade_records,
        skipped_db_only_records, with_equity - coalesce(n, 0) AS skipped_equity_records, empty_lines, archived_rows,
-       total_records - invalid_records - missing_fields - skipped_db_only_records AS processed
+       total_records - invalid_records - missing_fields - skipped_db_only_records AS processed,
+       CAST(0 AS BIGINT) AS undated_records
 FROM counts LEFT JOIN changes USING (file_name)""",
     "line_reasons": f"WITH {_NOISY} SELECT kind, reason, count(*) AS n FROM lined GROUP BY 1, 2",
     "config_gate": f"""WITH {_GATED}

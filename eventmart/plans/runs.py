@@ -8,17 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from eventmart.sources import files, fs
-from eventmart.sources.tables import INSTANCES, Warehouse
+from eventmart.sources.tables import INSTANCES, STREAM_STATE, Warehouse
 
-RECORD = "registry string, now string"
+RECORD = "registry string, state string, now string"
 
 
 @dataclass(frozen=True)
 class Run:
-    """``registry`` is the version of the registry that the run began with, ``now`` its stamp."""
+    """``registry`` and ``state`` are the versions of the registry and the stream's state that the run began with, ``now`` its stamp."""
 
     name: str
     registry: str
+    state: str
     now: str
 
 
@@ -37,7 +38,7 @@ def recorded(warehouse: Warehouse, name: str) -> Run | None:
     if not fs.exists(warehouse.spark, f"{path}/_SUCCESS"):
         return None
     row = warehouse.spark.read.schema(RECORD).parquet(path).first()
-    return Run(name, row.registry, row.now)
+    return Run(name, row.registry, row.state, row.now)
 
 
 def begin(warehouse: Warehouse, name: str, now: str, fresh: DataFrame | None = None) -> Run:
@@ -47,10 +48,10 @@ def begin(warehouse: Warehouse, name: str, now: str, fresh: DataFrame | None = N
         return run
     if fresh is not None:
         fresh.write.mode("overwrite").parquet(f"{run_path(warehouse, name)}/files")
-    registry = warehouse.newest(INSTANCES)
-    record = warehouse.spark.createDataFrame([(registry, now)], RECORD).coalesce(1)
+    run = Run(name, warehouse.newest(INSTANCES), warehouse.newest(STREAM_STATE), now)
+    record = warehouse.spark.createDataFrame([(run.registry, run.state, now)], RECORD).coalesce(1)
     record.write.mode("overwrite").parquet(f"{run_path(warehouse, name)}/record")
-    return Run(name, registry, now)
+    return run
 
 
 def files_of(warehouse: Warehouse, run: Run) -> DataFrame:

@@ -51,6 +51,8 @@ INSTANCES = Table(
     "mode string, component string, designator string, live boolean, data string, processed_at string",
     ("mode",),
 )
+# The last equity of each mode as the stream left it; a batch adds the modes it saw.
+STREAM_STATE = Table("stream_state", "mode string, equity double", ("mode",))
 ARCHIVE_SCHEMA = (
     "timestamp double, mode string, component string, value string, src string, file_ts double, "
     "file_name string, block bigint, ord bigint"

@@ -6,33 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from eventmart.operators.equity import carry_state
+from eventmart.operators.equity import last_equity
 from eventmart.operators.keys import broadcast_if_small
 from eventmart.plans import runs
 from eventmart.plans.batch import ingest_lines, timestamp_now
 from eventmart.session import staging
 from eventmart.sources import files, fs
-from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse, archive_table
-
-STATE = "mode string, equity double"
-
-
-def state_path(warehouse: Warehouse, batch: int) -> str:
-    return f"{warehouse.root}/stream_state/batch={batch:010d}"
-
-
-def state_before(warehouse: Warehouse, batch: int) -> DataFrame:
-    """Last equity per mode as left by the newest batch before this one.
-
-    A batch that is run again after a failure starts from the same state as the first time.
-    """
-    spark = warehouse.spark
-    done = [int(n.split("=")[1]) for n in fs.list_names(spark, f"{warehouse.root}/stream_state") if "=" in n]
-    done = [n for n in done if n < batch and fs.exists(spark, f"{state_path(warehouse, n)}/_SUCCESS")]
-    if not done:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(state_path(warehouse, max(done)))
-
+from eventmart.sources.tables import EQUITY, INSTANCES, STREAM_STATE, TRADES, Warehouse, archive_table
 
 def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream: str = "", **options) -> None:
     """One micro-batch: the registry and the state are those that it began with, every write is an upsert.
@@ -44,7 +24,7 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream:
     options = {"now": timestamp_now(), **options}
     run = runs.begin(warehouse, f"stream{stream}{batch:010d}", options.pop("now"))
     with staging(spark) as area:
-        before = state_before(warehouse, batch)
+        before = area.table(warehouse.stored(STREAM_STATE, as_of=run.state).select("mode", "equity"), "state_before")
         ordered, taken, names = files.order_lines(lines), None, None
         if "uri" in lines.columns:
             known = runs.manifest(warehouse, but=run.name)
@@ -60,10 +40,10 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream:
             lines_read = spark.read.parquet(area.path("facts")).groupBy("file_name").agg(F.count("*").alias("n_lines"))
             entry = taken.join(lines_read, "file_name", "left").withColumn("ingested_at", F.lit(run.now))
             runs.enter(warehouse, run, entry.select(*[field.split()[0] for field in files.MANIFEST.split(", ")]))
-        carry_state(before, equity).write.mode("overwrite").parquet(state_path(warehouse, batch))
-        # the two newest states, and the records of the two newest batches, cover a repeated batch
+        # only modes that the batch saw: the state is not rewritten
+        warehouse.upsert(STREAM_STATE, last_equity(equity).withColumn("turn", F.lit(0)), ["turn"])
+        # the records of the two newest batches cover a repeated one
         for old in range(max(0, batch - 3), batch - 1):
-            fs.delete(spark, state_path(warehouse, old))
             fs.delete(spark, runs.run_path(warehouse, f"stream{stream}{old:010d}"))
 
 
@@ -89,7 +69,7 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
         process_batch(warehouse, batch_lines, batch, stream=f"-{stream_name(spark, checkpoint)}-", **options)
         if merge_every and batch % merge_every == merge_every - 1:
             grain = options.get("grain", "week")
-            for table in (EQUITY, TRADES, INSTANCES, *([archive_table(grain)] if grain else [])):
+            for table in (EQUITY, TRADES, INSTANCES, STREAM_STATE, *([archive_table(grain)] if grain else [])):
                 warehouse.merge(table)
         if archive_dir:
             # only files whose lines were taken in; the driver holds the names of one batch
