@@ -21,7 +21,7 @@ BROADCAST_SHINGLES = 1_000_000  # benchmark shingles up to this count are broadc
 
 
 def words_of(text: Column) -> Column:
-    """Hashes of the lower-cased words between ASCII white space; none for null."""
+    """Hashes of the words between ASCII white space, all letters lower-cased and not only A-Z; none for null."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
@@ -43,15 +43,31 @@ def shingles_of(words: Column) -> Column:
     return let(words, runs)
 
 
+def numbered(shingles: Column) -> Column:
+    """The multiset as a set, in any order: a shingle's repeats become hashes of their own, by its hash and their number."""
+
+    def each(s: Column) -> Column:
+        # equal hashes lie together once sorted, so the first one's place tells a repeat's number
+        repeats = let(F.array_sort(s), lambda x: F.transform(x, lambda h, i: let(
+            i + 1 - F.array_position(x, h), lambda k: F.when(k > 0, F.xxhash64(h, k)).otherwise(h))))
+        return F.when(F.size(F.array_distinct(s)) == F.size(s), s).otherwise(repeats)
+
+    return let(shingles, each)
+
+
 def simhash(shingles: Column) -> Column:
-    """Bit b is set where more than half of the shingles, by weight, have it set. Repeated shingles count each time."""
+    """Bit b is set where more than half of the shingles have it set.
+
+    Repeated shingles are numbered first. One hash with a great weight would move many bits at once; so each unit of weight moves
+    them by itself, and distances tell of the weighted similarity as they do for sets.
+    """
 
     def bits(s: Column) -> Column:
         ones = lambda b: F.aggregate(s, F.lit(0), lambda n, h: n + F.call_function("shiftright", h, b).bitwiseAND(F.lit(1)).cast("int"))
         bit = lambda b: F.when(ones(b) * 2 > F.size(s), F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint"))
         return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(bit(b)))
 
-    return let(shingles, bits)
+    return let(numbered(shingles), bits)
 
 
 def block_masks() -> list[int]:
