@@ -21,7 +21,7 @@ WINDOW = 8  # words
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 SKETCH_BITS = 7  # a value is off by less than 1 part in 64
-MIN_ROWS = 200  # a smaller group takes the sketch of its language, that of the corpus if still smaller
+PRIOR = 30  # a group's quantiles are drawn towards those of its language, and these towards the corpus's, with the weight of so many rows
 FENCE = 3.0  # thresholds lie so many quartile ranges beyond the quartiles
 LOW_FENCE = 11  # the same distance for a normal distribution, from the first quartile in ranges between it and the first octile
 # rates per thousand, with the least distance of the threshold from the quartile
@@ -116,7 +116,8 @@ def _quartiles(bins: DataFrame, *group: str) -> DataFrame:
 def thresholds(bins: DataFrame) -> DataFrame:
     """One row per language and source: the bounds of every rate.
 
-    ``bins`` has a bounded number of rows per group (some 500 for each rate), whatever the number of texts.
+    ``bins`` has a bounded number of rows per group (some 500 for each rate), whatever the number of texts. A group's quantiles are
+    its own and those of its language, weighted by its rows and PRIOR, so that a few rows decide little and many nearly all.
 
     Bad texts must not move the bounds. Those of shares are told from the lower quarter of a group's texts alone, so that three
     fifths may be bad. Word lengths may be bad on either side: their fence is as wide as the narrower half of the quartile range
@@ -131,7 +132,8 @@ def thresholds(bins: DataFrame) -> DataFrame:
     col = lambda t: {k: F.col(f"{t}.{k}") for k in ("lang", "source", "rate")}
     joined = g.join(o, same(col("g"), col("o"), "lang", "source", "rate"), "left").join(
         lg, same(col("g"), col("l"), "lang", "rate"), "left").join(al, same(col("g"), col("a"), "rate"), "left")
-    pick = lambda q: F.when(F.col("o.n") >= MIN_ROWS, F.col(f"o.{q}")).when(F.col("l.n") >= MIN_ROWS, F.col(f"l.{q}")).otherwise(F.col(f"a.{q}"))
+    drawn = lambda t, q, to: F.call_function("div", F.col(f"{t}.n") * F.col(f"{t}.{q}") + PRIOR * to, F.col(f"{t}.n") + PRIOR)
+    pick = lambda q: drawn("o", q, drawn("l", q, F.col(f"a.{q}")))
     slack = F.element_at(F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair]), F.col("rate"))
     picked = joined.select("g.lang", "g.source", "g.rate", *[pick(q).alias(q) for q in QUANTILES])
     e1, q1, q2, q3 = map(F.col, QUANTILES)

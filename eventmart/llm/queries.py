@@ -166,22 +166,24 @@ ORACLES = {
                    (x.v >> greatest(length(bin(x.v)) - 7, 0)) << greatest(length(bin(x.v)) - 7, 0) AS v FROM v
         ), q AS (
             SELECT lang, source, rate, GROUPING(source) + GROUPING(lang) AS up, count(*) AS n,
-                   quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
+                   quantile_disc(v, 0.125) AS e1, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2, quantile_disc(v, 0.75) AS q3
             FROM b GROUP BY GROUPING SETS ((lang, source, rate), (lang, rate), (rate))
-        ), t AS (
-            SELECT g.lang, g.source, g.rate,
-                   CASE WHEN g.n >= 200 THEN g.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-                   CASE WHEN g.n >= 200 THEN g.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3
-            FROM (SELECT * FROM q WHERE up = 0) g
-            JOIN (SELECT * FROM q WHERE up = 1) l ON g.rate = l.rate AND g.lang IS NOT DISTINCT FROM l.lang
-            JOIN (SELECT * FROM q WHERE up = 2) a ON g.rate = a.rate
+        ), l AS (
+            SELECT l.lang, l.rate, (l.n * l.e1 + 30 * a.e1) // (l.n + 30) AS e1, (l.n * l.q1 + 30 * a.q1) // (l.n + 30) AS q1,
+                   (l.n * l.q2 + 30 * a.q2) // (l.n + 30) AS q2, (l.n * l.q3 + 30 * a.q3) // (l.n + 30) AS q3
+            FROM (SELECT * FROM q WHERE up = 1) l JOIN (SELECT * FROM q WHERE up = 2) a ON l.rate = a.rate
+        ), g AS (
+            SELECT g.lang, g.source, g.rate, (g.n * g.e1 + 30 * l.e1) // (g.n + 30) AS e1, (g.n * g.q1 + 30 * l.q1) // (g.n + 30) AS q1,
+                   (g.n * g.q2 + 30 * l.q2) // (g.n + 30) AS q2, (g.n * g.q3 + 30 * l.q3) // (g.n + 30) AS q3,
+                   CASE g.rate WHEN 'symbol_rate' THEN 60 WHEN 'dup_line_rate' THEN 300 WHEN 'repeat_rate' THEN 150 ELSE 300 END AS slack
+            FROM (SELECT * FROM q WHERE up = 0) g JOIN l ON g.rate = l.rate AND g.lang IS NOT DISTINCT FROM l.lang
         ), s AS (
-            SELECT lang, source, rate, q1, q3, greatest(3 * (q3 - q1), CASE rate
-                WHEN 'symbol_rate' THEN 60 WHEN 'dup_line_rate' THEN 300 WHEN 'repeat_rate' THEN 150 ELSE 300 END) AS d FROM t
+            SELECT *, q1 + greatest(11 * (q1 - e1), slack) AS high, greatest(6 * least(q3 - q2, q2 - q1), slack) AS spread FROM g
         ), f AS (
-            SELECT lang, source, max(q3 + d) FILTER (rate = 'symbol_rate') AS s_high,
-                   max(q3 + d) FILTER (rate = 'dup_line_rate') AS d_high, max(q3 + d) FILTER (rate = 'repeat_rate') AS r_high,
-                   max(q3 + d) FILTER (rate = 'word_length') AS l_high, max(q1 - d) FILTER (rate = 'word_length') AS l_low
+            SELECT lang, source, max(high) FILTER (rate = 'symbol_rate') AS s_high,
+                   max(high) FILTER (rate = 'dup_line_rate') AS d_high, max(high) FILTER (rate = 'repeat_rate') AS r_high,
+                   max(least(q3, q2 + greatest(3 * (q2 - q1), slack)) + spread) FILTER (rate = 'word_length') AS l_high,
+                   max(greatest(q1, q2 - greatest(3 * (q3 - q2), slack)) - spread) FILTER (rate = 'word_length') AS l_low
             FROM s GROUP BY lang, source
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
