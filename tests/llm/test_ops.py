@@ -6,11 +6,15 @@ import hashlib
 import math
 import random
 from collections import Counter
+from functools import reduce
 
+import duckdb
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, suffixes, tokens, warc
+from eventmart.llm.queries import ORACLES
 
 WORDS = [f"w{k}" for k in range(400)]
 
@@ -257,8 +261,18 @@ def test_quality_of_a_source_full_of_junk(spark, area, docs, bad):
     code = lambda k: prose(k, 40) + " #" * rng.randint(12, 16)  # rich in symbols, but all alike
     frame = docs(*[(k, junk(k) if k % 100 < bad else prose(k, 50)) for k in range(400)], source="hot")
     frame = frame.union(docs(*[(k, code(k)) for k in range(1000, 1300)], source="code"))
-    kept = {r.doc_id for r in quality.quality(frame, area).where("kept").collect()}
+    found = quality.quality(frame, area)
+    kept = {r.doc_id for r in found.where("kept").collect()}
     assert kept == {k for k in range(400) if k % 100 >= bad} | {*range(1000, 1300)}
+    area.drop()
+    # the SQL states the same rule, with groups of a few rows and awkward texts besides
+    few = [docs(*[(2000 + 10 * g + k, code(k) if g % 2 else prose(k, 30 + 5 * g)) for k in range(1 + 3 * g)], source=f"few{g}") for g in range(4)]
+    frame = reduce(DataFrame.union, [frame, *few, docs(*[(3000 + k, t[1] if isinstance(t, tuple) else t) for k, t in enumerate(awkward())], source="odd")])
+    found = quality.quality(frame, area)
+    with duckdb.connect() as con:
+        con.register("documents", frame.select("doc_id", "text", "lang", "source").toArrow())
+        want = con.sql(f"SELECT {', '.join(found.columns)} FROM ({ORACLES['op6_quality']})").fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(want)
 
 
 @pytest.mark.parametrize("bucket", [suffixes.BUCKET, 1])
@@ -373,6 +387,25 @@ def test_decontamination_between_diagonals(spark, area, docs):
     assert (0, 0) in want and 30 < len(want) < 150 and found == want
 
 
+def test_decontamination_of_texts_of_few_shingles(spark, area, docs):
+    items = ["a b " * 15 + "a", "c d e " * 9 + "c d", "f " * 40, "a b a b c " * 6]
+    texts = ["b a " * 15 + "b", "d e c " * 9 + "d e", "f " * 39, "f " * 31 + "g " * 9, "a b " * 9 + "a c " * 9, "b a b c a " * 6, "e d c " * 9]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontam.matches(docs(*texts), bench, area).collect()}
+    sh = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    want = {}
+    for k, w in enumerate(map(str.split, texts)):
+        for j, q in enumerate(map(str.split, items)):
+            for p in range(max(1, len(w) - len(q) + 1)):
+                a, b = sh(w[p : p + len(q)]), sh(q)
+                both = sum((a & b).values())
+                value = both / (sum(a.values()) + sum(b.values()) - both)
+                if value >= 0.75:
+                    want[k, j] = max(want.get((k, j), 0), value)
+    assert want[0, 0] == 26 / 28 and len(want) >= 4
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_decontamination_is_native(spark, area, docs):
     plan = decontam.matches(docs("a b c d e f"), spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string"), area)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
