@@ -21,7 +21,10 @@ log = logging.getLogger(__name__)
 
 FEATURES = 1 << 16  # hashed words
 PER_DOMAIN = 1_500  # labelled texts of each domain that the classifier is fitted on
-STEPS, TOLERANCE = 20, 1e-3
+GRID = 1024  # documents whose memberships agree to one part in so many share a rate: at most (GRID + 1) * (GRID + 2) / 2 rates
+TOLERANCE = 1e-3  # the fit ends when each domain is within this share of the whole target
+SMALL = 1e-4  # or when the projected gradient would change a token's rate by less than this on average
+REPLAY = 25  # steps between tables of rates
 SHARE_OFF = 0.01  # a share that is further off its weight is warned of
 DOMAINS = ("fine", "poor", "toxic")
 #: Target shares of expected tokens. A domain of weight 0 is to vanish.
@@ -72,7 +75,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_domain: int = PER_DOMAIN) -> Sof
     if not found:
         return None
     rows = [(np.array(r["at"], np.int64), np.ones(len(r["at"]))) for r in found]
-    return train(rows, [DOMAINS.index(r["domain"]) for r in found], [*DOMAINS], FEATURES, epochs=6, rate=0.1, l1=1.0, l2=1.0)
+    return train(rows, [DOMAINS.index(r["domain"]) for r in found], [*DOMAINS], FEATURES, epochs=6, rate=1.0, l1=9.0, l2=0.01)
 
 
 def memberships(text: Column, model: Softmax | None, df: DataFrame) -> Column:
@@ -99,51 +102,88 @@ def n_tokens(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).cast("bigint")
 
 
-def rate_of(p: Column, steps: list[np.ndarray]) -> Column:
-    """A document's rate after ``steps``: from 1, each step takes off its product with the memberships, never below 0."""
+def cell_of(p: Column) -> Column:
+    """The number of the grid cell that the memberships lie in, all but the first domain's rounded."""
+    return sum((F.round(F.get(p, F.lit(k)) * GRID).cast("int") * (GRID + 1) ** (k - 1) for k in range(1, len(DOMAINS))), F.lit(0))
+
+
+def _stepped(steps: list[list[float]]) -> Column:
+    """(ahead, rate, before) of a cell after ``steps``, each the momentum and a number per domain.
+
+    A step goes ahead by the momentum, takes off the product with the cell's mean memberships, and never ends below 0.
+    """
+    start = F.struct(F.col("rate").alias("ahead"), F.col("rate"), F.col("before"))
     if not steps:
-        return F.lit(1.0)
-    rows = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    taken = lambda s: sum((F.get(p, F.lit(k)) * s[k] for k in range(1, len(DOMAINS))), F.get(p, F.lit(0)) * s[0])
-    return F.aggregate(rows, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - taken(s)))
+        return start
+    mean = [F.col(f"s{k}") / F.col("weight") for k in range(len(DOMAINS))]
+
+    def step(x: Column, s: Column) -> Column:
+        ahead = x["rate"] + s[0] * (x["rate"] - x["before"])
+        less = sum((mean[k] * s[k + 1] for k in range(1, len(DOMAINS))), mean[0] * s[1])
+        return F.struct(ahead.alias("ahead"), F.greatest(F.lit(0.0), ahead - less).alias("rate"), x["rate"].alias("before"))
 
+    return F.aggregate(F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps]), start, step)
 
-def fit_rates(soft: DataFrame, weights: dict[str, float] | None = None, headroom: float = HEADROOM) -> tuple[list[np.ndarray], dict]:
-    """Steps of the projected gradient over ``soft`` (n_tokens, p), and what they reach.
 
-    Least squares over the domains: expected tokens sum(rate x n_tokens x p) against targets, in the metric of the memberships' spread.
-    A document's gradient is scaled by its length, so that equal memberships get equal rates. Each step is one
-    aggregation that returns a number per domain; rates are never stored, since they follow from the steps.
+def fit_rates(soft: DataFrame, area, weights: dict[str, float] | None = None, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
+    """(cell, rate) for ``soft`` (n_tokens, p), and what the rates reach.
+
+    Least squares over the domains by accelerated projected gradient: expected tokens sum(rate x n_tokens x p) against targets, in the
+    metric of the memberships' spread. A gradient is scaled by length, so that equal memberships get equal rates; documents of one cell
+    of a fine grid share theirs. A cell keeps the exact sum of its documents' tokens by domain, so the totals are exact too.
+    Each step is one aggregation over the cells, whose number has a bound that no input changes. Momentum starts again where it
+    points uphill.
 
     Where the heaviest domain that has tokens is too scarce for its target, the whole mix gets smaller, so that the weights hold. A
     lighter domain that is short gets what MAX_REPEAT allows; no other one makes up for it, and the outcome tells.
     """
     weights = weights or WEIGHTS
     w = np.array([weights[k] for k in DOMAINS], float) / sum(weights.values())
-    col = lambda k: F.coalesce(F.get("p", F.lit(k)), F.lit(0.0))
     k_all = range(len(DOMAINS))
-    first = soft.agg(*[F.sum(F.col("n_tokens") * col(k)).alias(f"s{k}") for k in k_all],
-                     *[F.sum(F.col("n_tokens") * col(k) * col(j)).alias(f"m{k}_{j}") for k in k_all for j in k_all]).first()
-    now = np.array([first[f"s{k}"] or 0.0 for k in k_all])
+    part = [F.sum(F.col("n_tokens") * F.coalesce(F.get("p", F.lit(k)), F.lit(0.0))).alias(f"s{k}") for k in k_all]
+    cells = area.table(soft.where("n_tokens > 0").groupBy(cell_of(F.col("p")).alias("cell")).agg(F.sum("n_tokens").alias("weight"), *part), "mixing_cells")
+    # so few rows need few files
+    rates = area.table(cells.select("*", F.lit(1.0).alias("rate"), F.lit(1.0).alias("before")).coalesce(4), "mixing_rates0")
+    first = rates.agg(F.sum("weight").alias("n"), *[F.sum(f"s{k}").alias(f"s{k}") for k in k_all],
+                      *[F.sum(F.col(f"s{k}") * F.col(f"s{j}") / F.col("weight")).alias(f"m{k}_{j}") for k in k_all for j in k_all]).first()
+    now = supply = np.array([first[f"s{k}"] or 0.0 for k in k_all])
     if not now.sum():
-        return [], {"weights": w, "supply": now, "expected": now, "target": now}
+        return rates.select("cell", "rate"), {"weights": w, "supply": now, "expected": now, "target": now}
     total = headroom * sum(now[k] for k in k_all if w[k] > 0)
-    supply, heaviest = now, int(np.argmax(np.where(now > 0, w, -1.0)))
+    heaviest = int(np.argmax(np.where(now > 0, w, -1.0)))
     if w[heaviest] > 0:
         total = min(total, MAX_REPEAT * supply[heaviest] / w[heaviest])
     target = np.minimum(w * total, MAX_REPEAT * supply)
-    # the metric in which all directions are equally steep, so that the step is 1 and a few passes do
+    # the metric in which all directions are equally steep, so that the step is 1
     spread = np.array([[first[f"m{k}_{j}"] for j in k_all] for k in k_all])
     metric = np.linalg.inv(spread + 1e-6 * np.trace(spread) * np.eye(len(DOMAINS)))
-    steps: list[np.ndarray] = []
-    while np.abs(now - target).max() > TOLERANCE * total and len(steps) < STEPS:
-        steps.append(metric @ (now - target))
-        row = soft.select("n_tokens", "p", rate_of(F.col("p"), steps).alias("r")).agg(
-            *[F.sum(F.col("r") * F.col("n_tokens") * col(k)).alias(f"s{k}") for k in k_all]).first()
+    before, run, tables, move, steps = now, 1, 1, 1.0, []
+    down = F.col("x.ahead") - F.col("x.rate")
+    while np.abs(now - target).max() > TOLERANCE * total and move > SMALL:
+        momentum = (run - 1) / (run + 2)
+        steps.append([momentum, *(metric @ (now + momentum * (now - before) - target))])
+        row = rates.select("*", _stepped(steps).alias("x")).agg(
+            *[F.sum(F.col("x.rate") * F.col(f"s{k}")).alias(f"s{k}") for k in k_all], F.sum(F.col("weight") * down * down).alias("move"),
+            F.sum(F.col("weight") * down * (F.col("x.rate") - F.col("x.before"))).alias("uphill")).first()
         before, now = now, np.array([row[f"s{k}"] for k in k_all])
-        if np.abs(now - before).max() < TOLERANCE * total / 2:
-            break  # as near as nonnegative rates come
-    return steps, {"weights": w, "supply": supply, "expected": now, "target": target}
+        move, run = np.sqrt(row["move"] / first["n"]), 1 if row["uphill"] > 0 else run + 1
+        if len(steps) == REPLAY:
+            rates, steps, tables = _kept(rates, steps, area, tables), [], tables + 1
+    return _kept(rates, steps, area, tables).select("cell", "rate"), {"weights": w, "supply": supply, "expected": now, "target": target}
+
+
+def _kept(rates: DataFrame, steps: list[list[float]], area, number: int) -> DataFrame:
+    """The cells with their rates after ``steps`` as a table, in place of the one before."""
+    sums = [c for c in rates.columns if c not in ("rate", "before")]
+    found = area.table(rates.select(*sums, _stepped(steps).alias("x")).select(*sums, "x.rate", "x.before"), f"mixing_rates{number}")
+    area.forget(f"mixing_rates{number - 1}")
+    return found
+
+
+def with_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
+    """``df`` (p, ...) with the rate of its cell. The table is broadcast: GRID bounds its rows. A cell without tokens has rate 1."""
+    found = df.withColumn("cell", cell_of(F.col("p"))).join(F.broadcast(rates), "cell", "left")
+    return found.withColumn("rate", F.coalesce("rate", F.lit(1.0))).drop("cell")
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -159,9 +199,8 @@ def mix(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | No
     first domain. Empty tables give an empty result. The metadata of ``rate`` tell for each domain its weight, the tokens that it
     has, those asked for and those expected at the rates.
     """
-    soft, _, steps, reached = _solve(docs, labels, area, weights)
-    rate = rate_of(F.col("p"), steps)
-    found = soft.withColumn("rate", rate).withMetadata("rate", {"domains": [*DOMAINS], **{k: [float(x) for x in v] for k, v in reached.items()}})
+    soft, _, rates, reached = _solve(docs, labels, area, weights)
+    found = with_rate(soft, rates).withMetadata("rate", {"domains": [*DOMAINS], **{k: [float(x) for x in v] for k, v in reached.items()}})
     return found.select("doc_id", "n_tokens", *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate",
                         copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
@@ -169,18 +208,17 @@ def mix(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | No
 def _solve(docs: DataFrame, labels: DataFrame, area, weights):
     model = fit(docs, labels)
     soft = area.table(docs.select("doc_id", n_tokens(F.col("text")).alias("n_tokens"), memberships(F.col("text"), model, docs).alias("p")), "mixing_soft")
-    steps, reached = fit_rates(soft, weights)
+    rates, reached = fit_rates(soft, area, weights)
     shares = reached["expected"] / max(reached["expected"].sum(), 1e-9)
     if np.abs(shares - reached["weights"]).max() > SHARE_OFF and reached["supply"].sum():
         log.warning("shares %s of %s are off their weights %s", shares.round(4).tolist(), [*DOMAINS], reached["weights"].round(4).tolist())
-    return soft, model, steps, reached
+    return soft, model, rates, reached
 
 
 def mixed(docs: DataFrame, labels: DataFrame, area, weights: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` in their copies: none, one or more. Memberships are computed again, so texts are not shuffled."""
-    _, model, steps, _ = _solve(docs, labels, area, weights)
-    p = memberships(docs["text"], model, docs)
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), p.alias("p"))
-    n = copies(rate_of(F.col("p"), steps), F.col("row.doc_id"))
+    _, model, rates, _ = _solve(docs, labels, area, weights)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), memberships(docs["text"], model, docs).alias("p"))
+    n = copies(F.col("rate"), F.col("row.doc_id"))
     times = F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<bigint>")))
-    return packed.select("row", times.alias("n")).select("row.*")
+    return with_rate(packed, rates).select("row", times.alias("n")).select("row.*")
