@@ -9,6 +9,7 @@ from collections import Counter
 from functools import reduce
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,8 +143,6 @@ def test_rare_pairs_hold_every_link(spark, area, docs):
 
 
 def test_hyperminhash_estimate():
-    import numpy as np
-
     from eventmart.llm.common import WordHash
 
     words = WordHash()
@@ -217,6 +216,34 @@ def test_mixing(spark, area, docs):
     assert mixing.mix(frame, labels.limit(0), area).where("p_fine < 1").count() == 0
 
 
+def test_mixing_against_a_plain_gradient(spark, area, docs):
+    """Targets are met as well as by many plain steps on every document's own memberships."""
+    rng = random.Random(4)
+    words = {"fine": [f"f{k}" for k in range(60)], "poor": [f"p{k}" for k in range(60)], "toxic": [f"t{k}" for k in range(60)]}
+    texts, kinds = [], []
+    for k in range(500):  # words of all domains in every text, so that no text is surely of one
+        kind = rng.choices(["fine", "poor", "toxic"], [6, 2, 2])[0]
+        pick = lambda: rng.choice(words[kind if rng.random() < 0.5 else rng.choice(list(words))])  # noqa: B023, E731
+        texts.append(" ".join(pick() for _ in range(rng.randrange(5, 80))))
+        kinds.append(kind)
+    labels = spark.createDataFrame([(k, int(d == "fine"), int(d == "toxic")) for k, d in enumerate(kinds) if k % 3], "doc_id bigint, quality int, toxic int")
+    frame = docs(*texts, None, "")
+    weights = {"fine": 0.8, "poor": 0.15, "toxic": 0.05}  # within the supply, so that MAX_REPEAT stops none
+    found = mixing.mix(frame, labels, area, weights)
+    reached, rows = found.schema["rate"].metadata, found.collect()
+    n, rate = np.array([r.n_tokens for r in rows], float), np.array([r.rate for r in rows])
+    p, target = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in rows]), np.array(reached["target"])
+    assert (rate >= 0).all() and reached["expected"] == pytest.approx(list((rate * n) @ p))
+    metric = np.linalg.inv((p * n[:, None]).T @ p)
+    plain = np.ones(len(n))
+    for _ in range(3000):
+        plain = np.maximum(0, plain - p @ metric @ ((plain * n) @ p - target))
+    gap = lambda r: np.abs((r * n) @ p - target).max() / target.sum()
+    assert gap(rate) <= max(gap(plain), mixing.TOLERANCE) and gap(np.ones(len(n))) > 0.05
+    shares = (rate * n) @ p / (rate * n).sum()
+    assert np.abs(shares - list(weights.values())).max() < 0.002
+
+
 def test_mixing_keeps_its_weights(spark, area, docs):
     fine = [(k, prose(k, 60)) for k in range(240)]
     poor = [(k, " ".join(f"p{x}" for x in prose(k, 60).split())) for k in range(240, 400)]
