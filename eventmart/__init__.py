@@ -7,6 +7,7 @@ from eventmart.operators.archive import (
     files_by_mode,
     modes,
     read_archive,
+    stored_periods,
     time_range,
 )
 from eventmart.operators.equity import carry_state, equity_changes, last_equity
@@ -35,6 +36,6 @@ __all__ = [
     "equity_changes", "equity_of_line", "equity_with_candle", "explode_items", "export_jdbc", "file_stats",
     "files_by_mode", "gate_configs", "ingest_lines", "last_equity", "latest_by_key", "line_digest", "line_facts",
     "list_files", "live_by_file", "modes", "new_files", "open_modes", "parse_messages", "pick_files",
-    "read_archive", "registrations", "run_batch", "scan_lines", "staging", "start_messages", "stream_ingest",
+    "read_archive", "registrations", "run_batch", "scan_lines", "staging", "start_messages", "stored_periods", "stream_ingest",
     "time_range", "touch_instances", "trades_of_line", "upsert_instances", "with_file_ids",
 ]

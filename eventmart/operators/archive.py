@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.naming import period_name
+from eventmart.functions.naming import UNDATED, period_name
 from eventmart.operators.keys import ORDER
+from eventmart.session import footer_session
 from eventmart.sources.tables import PERIOD, Warehouse, archive_table
 
 
@@ -30,6 +33,25 @@ def read_archive(warehouse: Warehouse, mode: str | None = None, *, start: float
     return warehouse.read(archive_table(grain), mode, start=start, end=end)
 
 
+def stored_periods(warehouse: Warehouse, grain: str = "week") -> DataFrame:
+    """Rows and time span of each stored period, as far as they can be told from the file footers alone.
+
+    Versions from which nothing was taken back give their counts, minima and maxima by their footers, one row group at a time;
+    of older versions two columns are read. So are undated rows: NaN leaves a file without a minimum. The result belongs to a session
+    beside the warehouse's. After ``Warehouse.merge`` all periods that several runs wrote come from footers.
+    """
+    table = archive_table(grain)
+    beside = Warehouse(footer_session(warehouse.spark), warehouse.root, warehouse.width)
+    whole, rest = beside.settled(table)
+    dated = F.col(PERIOD) != UNDATED
+    span = [F.count("*").alias("n_rows"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")]
+    # an aggregate is pushed only if it goes by all partition columns, so the others go by the period alone
+    found = [whole.where(dated).groupBy(*beside.layout(table)).agg(*span).drop(*beside.layout(table)[:-1])]
+    found += [df.groupBy(PERIOD).agg(*span) for df in (whole.where(~dated), rest)]
+    return reduce(DataFrame.unionByName, found).groupBy(PERIOD).agg(
+        F.sum("n_rows").alias("n_rows"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+
 def compaction_summary(rows: DataFrame, grain: str = "week") -> DataFrame:
     """Rows and time span per mode and period."""
     return rows.groupBy("mode", period_name(F.col("timestamp"), grain).alias(PERIOD)).agg(

@@ -211,6 +211,9 @@ SELECT mode, {_DESIGNATOR} AS component, CAST(event_id AS VARCHAR) AS designator
     "compact_month": _compact("month", "monthly", "%Y%m"),
     "archive_slice": f"""WITH {_GATED}
 SELECT t AS timestamp, mode, src FROM ({_VIEWS}) WHERE mode = 'u1' AND t >= 1704412800.0 AND t < 1706140800.0""",
+    "stored_time_range": f"""WITH {_GATED}
+SELECT 'weekly_' || strftime(date_trunc('week', ts), '%Y%m%d') AS period, CAST(count(*) AS BIGINT) AS n_rows, min(t) AS first_ts, max(t) AS last_ts
+FROM good WHERE event_type = 'view' GROUP BY 1""",
     "time_range": f"WITH {_GATED} SELECT min(t) AS first_ts, max(t) AS last_ts FROM ({_VIEWS})",
     "modes": f"WITH {_GATED} SELECT DISTINCT mode FROM ({_VIEWS})",
     "mode_files": f"WITH {_GATED} SELECT mode, src, count(*) AS n_rows FROM ({_VIEWS}) GROUP BY 1, 2",

@@ -231,6 +231,16 @@ def compacted(spark, sf_dir, grain: str = "week", merged: bool = False):
     return archive.compaction_summary(archive.read_archive(warehouse, grain=grain), grain)
 
 
+def stored_time_range(spark, sf_dir):
+    """The archive of two runs, the second one's rows summed up from the footers of its files."""
+    run = Run(spark, sf_dir)
+    warehouse = run.warehouse(width=1)
+    found = rows.archive_of_line(run.gated)
+    for part in (found.where(before_half()), found.where(~before_half())):
+        archive.compact(warehouse, part)
+    return archive.stored_periods(warehouse)
+
+
 def archive_slice(spark, sf_dir):
     run = Run(spark, sf_dir)
     warehouse = run.warehouse()
@@ -463,6 +473,7 @@ QUERIES = {
     "compact_week": partial(compacted, grain="week"),
     "compact_month": partial(compacted, grain="month"),
     "compact_merged": partial(compacted, merged=True),
+    "stored_time_range": stored_time_range,
     "archive_slice": archive_slice,
     "time_range": archive_time_range,
     "modes": archive_modes,

@@ -30,6 +30,18 @@ def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     return spark
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` whose counts, minima and maxima of Parquet columns come from the file footers.
+
+    Spark pushes aggregates only into the newer kind of file source, and both settings hold for all that a session reads.
+    """
+    beside = configure(spark.newSession(), spark.conf.get("spark.sql.session.timeZone"))
+    older = [name for name in beside.conf.get("spark.sql.sources.useV1SourceList").split(",") if name.strip() != "parquet"]
+    beside.conf.set("spark.sql.sources.useV1SourceList", ",".join(older))
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return beside
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -108,10 +108,10 @@ class Warehouse:
     def layout(self, table: Table) -> list[str]:
         return [VERSION, *table.partitions]
 
-    def raw(self, table: Table, as_of: str | None = None) -> DataFrame:
-        """All rows of all versions, up to ``as_of``, with their partition columns; an empty frame when there are none."""
+    def raw(self, table: Table, as_of: str | None = None, since: str = "") -> DataFrame:
+        """All rows of all versions, from ``since`` up to ``as_of``, with their partition columns; an empty frame when there are none."""
         schema = ", ".join([table.schema, *[f"{c} string" for c in self.layout(table)]])
-        paths = [self.folder(table, n) for n in self.versions(table) if as_of is None or n <= as_of]
+        paths = [self.folder(table, n) for n in self.versions(table) if n >= since and (as_of is None or n <= as_of)]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
@@ -160,6 +160,16 @@ class Warehouse:
                 found.append((keys, back))
         return found
 
+    def settled(self, table: Table) -> tuple[DataFrame, DataFrame]:
+        """The stored rows of an archive in two parts: whole versions from which nothing was taken back, and what is left of older ones.
+
+        The first part is read without a join or a condition, so that aggregates can be pushed into it.
+        """
+        since = max([back.agg(F.max("since")).first()[0] for _, back in self.taken_back(table)], default="")
+        older = [n for n in self.versions(table) if n < since]
+        rest = self.newest_of_sources(table, self.raw(table, older[-1])) if older else self.raw(table, "")
+        return self.raw(table, since=since), rest
+
     def newest_of_sources(self, table: Table, rows: DataFrame, as_of: str | None = None) -> DataFrame:
         """``raw`` rows less those that a later version has taken back: by their source, or with their whole partition."""
         for keys, back in self.taken_back(table, as_of):
@@ -228,9 +238,10 @@ class Warehouse:
             # of a version that died before it was complete there may be one already
             index.hint("rebalance").write.mode("overwrite").parquet(self.index_path(table, version))
         order = order or [c for c in ("mode", table.time) if c]
-        # a hot partition is split by the input tasks its rows come from: its files follow the order of the log files
+        # a hot partition is split by the input tasks its rows come from: its files follow the order of the log files; all files
+        # have the columns in one order, since Spark takes footers' statistics by position
         (
-            placed.hint("rebalance", *[F.col(c) for c in table.partitions])
+            placed.select(*table.columns, *table.partitions).hint("rebalance", *[F.col(c) for c in table.partitions])
             .sortWithinPartitions(*table.partitions, *order)
             .write.mode("errorifexists")
             .option("compression", "snappy")
