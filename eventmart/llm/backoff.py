@@ -4,12 +4,16 @@ Documents are packed into blocks of bounded size. A block's distinct n-grams, wi
 of their hash; there they add up to that part of the count table and are joined with it, and each block gets back the
 totals of its own n-grams. A document's own occurrences are taken off the totals, so every n-gram is judged by the rest of
 the corpus. An n-gram of half of all documents is still one row per block: no key is hot.
+
+Words and pairs go first. A longer n-gram that another document has too is made of two shorter ones that it has as well, so only
+those n-grams are sent whose two parts came back with occurrences elsewhere: the others have none, whatever the corpus.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +24,7 @@ from eventmart.llm.common import M1, WordHash, mix, split_words
 
 ORDER = 2  # unless asked for another; the query takes 3
 ALPHA = 0.4
-BLOCK_BYTES = 4 << 20  # text in a block; a longer document is a block of its own
+BLOCK_CHARS = 4 << 20  # characters of text in a block; a longer document is a block of its own
 PART_GRAMS = 1_000_000  # n-grams of a partition of the count table, about
 BEGIN = np.uint64(0x5851F42D4C957F2D)  # stands before the first word
 
@@ -52,7 +56,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if ids and size + len(text) > BLOCK_BYTES:
+                if ids and size + len(text) > BLOCK_CHARS:
                     yield flush()
                     number, ids, texts, size = number + 1, [], [], 0
                 ids.append(doc_id)
@@ -65,47 +69,84 @@ def block_rows(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(pack, "block bigint, doc_ids array<bigint>, texts array<string>, n_words bigint")
 
 
-def grams_of(text: str, words: WordHash, order: int) -> list[np.ndarray]:
-    """For each n from 1 to ``order`` the hash of the n-gram that ends at each word; BEGIN stands for words before the text."""
-    w = words.of(split_words(text, lower=True))
-    out, before = [w], w
-    for n in range(2, order + 1):
-        past = np.concatenate((np.full(n - 1, BEGIN), w))[: len(w)]
-        before = mix(before * M1 + mix(past + np.uint64(n)))
-        out.append(before)
-    return out
+def packed(names: np.ndarray) -> bytes:
+    """Ascending hashes as their differences, the lowest byte of each, then the next: the high bytes are nearly all zero."""
+    return np.diff(names, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def context_of(grams: list[np.ndarray], n: int) -> np.ndarray:
-    """The (n-1)-gram before each word, which is the one that ends at the word before."""
-    shorter = grams[n - 2]
-    return np.concatenate(([BEGIN], shorter))[: len(shorter)]
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def block_counts(texts: list[str], words: WordHash, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct n-grams of a block, in order, and their counts. Those that begin a text count as contexts once per text."""
-    each = [grams_of(t, words, order) for t in texts]
-    return [np.unique(np.concatenate([g[n] for g in each] or [np.empty(0, np.uint64)]), return_counts=True) for n in range(order)]
+def block_words(texts: list[str], words: WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of a block, text after text: the hash, the number of the text, and the place in it."""
+    each = [words.of(split_words(t, lower=True)) for t in texts]
+    sizes = np.array([len(w) for w in each], np.int64)
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.concatenate([np.empty(0, np.uint64), *each]), np.repeat(np.arange(len(texts)), sizes), place
 
 
-def gathered(blocks: DataFrame, bits: int, order: int) -> DataFrame:
-    """(n, part, block, grams, counts): a block's n-grams cut by the leading ``bits`` of their hash."""
-    words = WordHash()
+def others(grams: np.ndarray, sent: np.ndarray, text: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """At each place the occurrences of its n-gram in other texts; ``totals`` go with the distinct n-grams sent, in order."""
+    left = np.zeros(len(grams), np.int64)
+    at = np.flatnonzero(sent)
+    if len(at):
+        at = at[np.argsort(grams[at], kind="stable")]  # texts stay in order, so a text's own occurrences are neighbours
+        g, t = grams[at], text[at]
+        other = np.concatenate(([False], g[1:] != g[:-1]))
+        run = np.concatenate(([True], other[1:] | (t[1:] != t[:-1])))
+        own = np.diff(np.concatenate((np.flatnonzero(run), [len(at)])))
+        left[at] = totals.astype(np.int64)[np.cumsum(other)] - own[np.cumsum(run) - 1]
+    return left
+
+
+def levels(w: np.ndarray, text: np.ndarray, place: np.ndarray, totals: dict[int, np.ndarray], order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """For each n up to ``order``: the n-gram that ends at each word, whether it is sent, and its count elsewhere where totals tell it.
+
+    Sent are n-grams of n words whose two (n-1)-grams occur elsewhere; words and pairs are sent without that question.
+    """
+    grams, left = w, None
+    for n in range(1, order + 1):
+        sent = place >= n - 1
+        if n > 1:
+            past = np.roll(w, n - 1)
+            past[~sent] = BEGIN
+            grams = mix(grams * M1 + mix(past + np.uint64(n)))
+        if n > 2:
+            sent = sent & (left > 0) & (np.roll(left, 1) > 0)
+        left = others(grams, sent, text, totals[n]) if n in totals else None
+        yield grams, sent, left
+
+
+def answers_of(answers: list[dict] | None, first: int, last: int) -> dict[int, np.ndarray]:
+    """The totals of a block's n-grams for each n from ``first`` to ``last``."""
+    return {n: np.concatenate([np.empty(0, np.uint64), *(numbers(a["totals"], a["size"]) for a in answers or [] if a["n"] == n)]) for n in range(first, last + 1)}
+
+
+def gathered(blocks: DataFrame, bits: int, lengths: range) -> DataFrame:
+    """(n, part, block, grams, counts): a block's n-grams of ``lengths``, cut by the leading ``bits`` of their hash.
+
+    For n above 2 ``blocks`` have the answers for the lengths below.
+    """
+    words, first = WordHash(), np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist()):
-                for n, (grams, counts) in enumerate(block_counts(texts, words, order), 1):
-                    edges = np.searchsorted(grams, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.array([0])
-                    edges = [*edges.tolist(), len(grams)]
-                    rows = [(k, grams[a:b].tobytes(), narrow(counts[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+            for row in batch.to_pylist():
+                totals = answers_of(row["answers"], 2, lengths.start - 1)
+                for n, (grams, sent, _) in enumerate(levels(*block_words(row["texts"], words), totals, lengths.stop - 1), 1):
+                    if n not in lengths:
+                        continue
+                    names, counts = np.unique(grams[sent], return_counts=True)
+                    edges = [*np.searchsorted(names, first).tolist(), len(names)]
+                    rows = [(k, packed(names[a:b]), narrow(counts[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
                     if rows:
                         k, g, c = zip(*rows)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([n] * len(k), pa.int32()), pa.array(k, pa.int32()), pa.array([block] * len(k), pa.int64()), pa.array(g, pa.binary()), pa.array(c, pa.binary())],
+                            [pa.array([n] * len(k), pa.int32()), pa.array(k, pa.int32()), pa.array([row["block"]] * len(k), pa.int64()), pa.array(g, pa.binary()), pa.array(c, pa.binary())],
                             ["n", "part", "block", "grams", "counts"])
 
-    return blocks.select("block", "texts").mapInArrow(emit, "n int, part int, block bigint, grams binary, counts binary")
+    return blocks.select("block", "texts", "answers").mapInArrow(emit, "n int, part int, block bigint, grams binary, counts binary")
 
 
 def joined(parts: DataFrame) -> DataFrame:
@@ -115,7 +156,7 @@ def joined(parts: DataFrame) -> DataFrame:
     """
 
     def join(table: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
+        grams = [unpacked(g) for g in table["grams"].to_pylist()]
         counts = [numbers(c, len(g)) for g, c in zip(grams, table["counts"].to_pylist())]
         names, at = np.unique(np.concatenate(grams), return_inverse=True)
         totals = np.bincount(at, weights=np.concatenate(counts), minlength=len(names)).astype(np.uint64)[at]
@@ -125,38 +166,22 @@ def joined(parts: DataFrame) -> DataFrame:
     return parts.groupBy("n", "part").applyInArrow(join, "block bigint, n int, part int, size int, totals binary")
 
 
-def score_block(texts: list[str], totals: list[np.ndarray], n_words: int, words: WordHash, order: int) -> Iterator[tuple[int, float]]:
-    """Words and log score of each text; ``totals`` go with the n-grams of ``block_counts``."""
-    names = [g for g, _ in block_counts(texts, words, order)]
-    look = lambda n, grams: totals[n][np.minimum(np.searchsorted(names[n], grams), len(names[n]) - 1)].astype(float)
-    for text in texts:
-        grams = grams_of(text, words, order)
-        size = len(grams[0])
-        if size == 0:
-            yield 0, 0.0
-            continue
-        rest = float(n_words - size)
-        seen, score = np.zeros(size, bool), np.zeros(size)
-        for n in range(order, 0, -1):
-            g, at, own = np.unique(grams[n - 1], return_inverse=True, return_counts=True)
-            left = (look(n - 1, g) - own)[at]
-            hit = ~seen & (left > 0)
-            if n == 1:
-                # a word that no other document has counts as one occurrence
-                score[~seen] = math.log(ALPHA) * (order - 1) + np.log(np.maximum(left[~seen], 1.0) / max(rest, 1.0))
-                break
-            context = context_of(grams, n)
-            c, c_at, c_own = np.unique(context[1:], return_inverse=True, return_counts=True)
-            # the n-gram was seen elsewhere, and so was its context; a text's first words have no whole context, and back off
-            held = np.zeros(size)
-            if len(c):
-                last = np.unique(grams[n - 2], return_counts=True)
-                held[1:] = (look(n - 2, c) - last[1][np.searchsorted(last[0], c)])[c_at]
-            hit &= held > 0
-            hit[: n - 1] = False  # fewer words than the context takes stand before these
-            score[hit] = math.log(ALPHA) * (order - n) + np.log(left[hit] / held[hit])
-            seen |= hit
-        yield size, float(score.sum())
+def score_block(texts: list[str], totals: dict[int, np.ndarray], n_words: int, words: WordHash, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words and log score of each text; ``totals`` are the answers for the block."""
+    w, text, place = block_words(texts, words)
+    sizes = np.bincount(text, minlength=len(texts))
+    left = [found for _, _, found in levels(w, text, place, totals, order)]
+    seen, score = np.zeros(len(w), bool), np.zeros(len(w))
+    for n in range(order, 1, -1):
+        # the n-gram was seen elsewhere, and so was its context, which ends at the word before
+        held = np.roll(left[n - 2], 1)
+        hit = ~seen & (place >= n - 1) & (left[n - 1] > 0) & (held > 0)
+        score[hit] = math.log(ALPHA) * (order - n) + np.log(left[n - 1][hit] / held[hit])
+        seen |= hit
+    # a word that no other document has counts as one occurrence
+    rest = np.maximum(n_words - sizes, 1)[text]
+    score[~seen] = math.log(ALPHA) * (order - 1) + np.log(np.maximum(left[0], 1)[~seen] / rest[~seen])
+    return sizes, np.bincount(text, weights=score, minlength=len(texts))
 
 
 def scores(docs: DataFrame, area, order: int = ORDER) -> DataFrame:
@@ -169,17 +194,19 @@ def scores(docs: DataFrame, area, order: int = ORDER) -> DataFrame:
     blocks = area.table(block_rows(docs), "backoff_blocks")
     n_words = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, n_words * order / PART_GRAMS))))
-    totals = area.table(joined(gathered(blocks, bits, order)), "backoff_totals")
-    answers = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("n", "part", "size", "totals"))).alias("answers"))
+    asking, answered = blocks.withColumn("answers", F.lit(None).cast("array<struct<n:int,part:int,size:int,totals:binary>>")), []
+    for lengths in (range(1, min(order, 2) + 1), *(range(n, n + 1) for n in range(3, order + 1))):
+        answered.append(area.table(joined(gathered(asking, bits, lengths)), f"backoff_totals_{lengths.start}"))
+        totals = reduce(DataFrame.unionByName, answered)
+        answers = totals.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("n", "part", "size", "totals"))).alias("answers"))
+        asking = blocks.join(answers, "block", "left")
     words = WordHash()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                held = [np.concatenate([np.empty(0, np.uint64), *(numbers(a["totals"], a["size"]) for a in row["answers"] or [] if a["n"] == n)]) for n in range(1, order + 1)]
-                n, s = zip(*score_block(row["texts"], held, n_words, words, order))
+                n, s = score_block(row["texts"], answers_of(row["answers"], 1, order), n_words, words, order)
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["doc_id", "n_words", "log_score"])
 
-    found = blocks.select("block", "doc_ids", "texts").join(answers, "block", "left").select("doc_ids", "texts", "answers")
-    found = found.mapInArrow(score, "doc_id bigint, n_words bigint, log_score double")
+    found = asking.select("doc_ids", "texts", "answers").mapInArrow(score, "doc_id bigint, n_words bigint, log_score double")
     return found.withColumn("mean_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
