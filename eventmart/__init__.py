@@ -28,7 +28,7 @@ from eventmart.sources.files import (
     with_file_ids,
 )
 from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse, archive_table
-from eventmart.streaming.ingest import stream_ingest
+from eventmart.streaming.ingest import run_in_rounds, stream_ingest
 
 __all__ = [
     "EQUITY", "INSTANCES", "TRADES", "Staging", "Warehouse", "archive_of_line", "archive_table", "attach_live",
@@ -36,6 +36,6 @@ __all__ = [
     "equity_changes", "equity_of_line", "equity_with_candle", "explode_items", "export_jdbc", "file_stats",
     "files_by_mode", "gate_configs", "ingest_lines", "last_equity", "latest_by_key", "line_digest", "line_facts",
     "list_files", "live_by_file", "modes", "new_files", "open_modes", "parse_messages", "pick_files",
-    "read_archive", "registrations", "run_batch", "scan_lines", "staging", "start_messages", "stored_periods", "stream_ingest",
+    "read_archive", "registrations", "run_batch", "run_in_rounds", "scan_lines", "staging", "start_messages", "stored_periods", "stream_ingest",
     "time_range", "touch_instances", "trades_of_line", "upsert_instances", "with_file_ids",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -203,10 +204,12 @@ def delete_mode(warehouse: Warehouse, mode: str, *, grains: tuple[str, ...] = ("
         warehouse.delete_mode(table, mode)
     with staging(warehouse.spark) as area:
         left = area.table(waiting.where(~F.col("mode").eqNullSafe(mode)), "pending")
-        left.write.mode("overwrite").parquet(f"{warehouse.root}/{PENDING.name}/run=rest")
-        for name in fs.list_names(warehouse.spark, f"{warehouse.root}/{PENDING.name}"):
-            if name != "run=rest":
-                fs.delete(warehouse.spark, f"{warehouse.root}/{PENDING.name}/{name}")
+        # a folder of its own, complete before any other goes: what an earlier deletion left may lie nowhere else
+        rest = f"{REST}-{uuid.uuid4().hex}"
+        left.write.mode("errorifexists").parquet(pending_path(warehouse, rest))
+        for name in fs.list_names(warehouse.spark, pending_path(warehouse)):
+            if name != f"run={rest}":
+                fs.delete(warehouse.spark, f"{pending_path(warehouse)}/{name}")
     return counted
 
 

@@ -249,7 +249,7 @@ UNION ALL SELECT 'trades', count(*) FROM good WHERE event_type = 'purchase' AND
 UNION ALL SELECT 'instances', count(DISTINCT mode) FROM ev WHERE event_type = 'signup' AND mode = 'u1'
 UNION ALL SELECT 'archive_week', count(*) FROM good WHERE event_type = 'view' AND mode = 'u1'""",
 }
-ORACLES["batch_repeat"] = ORACLES["stream_repeat"] = ORACLES["batch_on_change"]
+ORACLES["batch_repeat"] = ORACLES["stream_repeat"] = ORACLES["batch_in_rounds"] = ORACLES["batch_on_change"]
 # the files up to their last line before noon, then the rest of them
 ORACLES["grown_files"] = f"""WITH {_EVENTS},
 noon AS (SELECT day, max(event_id) AS last FROM ev WHERE event_type <> 'signup' AND t - epoch(day) < 43200 GROUP BY day),

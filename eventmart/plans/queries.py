@@ -19,7 +19,7 @@ from eventmart.plans.synth import event_lines, load_events, write_log_files
 from eventmart.session import Staging, configure
 from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, TRADES, Warehouse, archive_table
-from eventmart.streaming.ingest import stream_ingest
+from eventmart.streaming.ingest import run_in_rounds, stream_ingest
 
 HALF = "2024-01-16"  # the run is cut here where a query needs an earlier and a later one
 LATE = "2024-01-29"  # a short later run, in which many modes use their earlier registration
@@ -363,6 +363,15 @@ def stream_on_change(spark, sf_dir):
     return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
 
 
+def batch_in_rounds(spark, sf_dir):
+    """The same files in rounds of at most ten, moved away as further rounds follow."""
+    area = Staging(spark)
+    warehouse = Warehouse(spark, area.path("warehouse"), 1)
+    logs = _log_directory(spark, sf_dir, area)
+    run_in_rounds(spark, logs, warehouse, checkpoint=area.path("checkpoint"), max_files=10, archive_dir=area.path("moved"), now=NOW)
+    return warehouse.read(EQUITY).select("mode", "time_ns", "equity")
+
+
 class Death(Exception):
     """A run that is cut off."""
 
@@ -487,6 +496,7 @@ QUERIES = {
     "delete_mode_dry": delete_dry_run,
     "batch_on_change": batch_on_change,
     "stream_on_change": stream_on_change,
+    "batch_in_rounds": batch_in_rounds,
     "batch_repeat": batch_repeat,
     "stream_repeat": stream_repeat,
     "stream_then_batch": stream_then_batch,

@@ -14,6 +14,7 @@ from eventmart.session import staging
 from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, STREAM_STATE, TRADES, Warehouse, archive_table
 
+
 def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream: str = "", **options) -> None:
     """One micro-batch: the registry and the state are those that it began with, every write is an upsert.
 
@@ -57,11 +58,18 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
                   glob: str = files.LOG_GLOB, trigger: dict | None = None, max_files: int | None = None,
                   archive_dir: str | None = None, merge_every: int | None = 144, **options) -> StreamingQuery:
     """Start the stream. ``trigger`` defaults to every ten minutes; ``max_files`` bounds a batch;
-    ``archive_dir`` moves consumed files there; after every ``merge_every`` batches, a day of them, the keyed tables are
-    merged (None: never, when a job of its own does it). Files are taken in order of modification time."""
+    ``archive_dir`` takes consumed files, each below its whole path; after every ``merge_every`` batches, a day of them, the
+    keyed tables are merged (None: never, when a job of its own does it). Files are taken in order of modification time.
+
+    Spark's file source moves a file only after its batch is committed, in threads of its own
+    (``spark.sql.streaming.fileSource.cleaner.numThreads``), so a batch that is run again still finds its files.
+    Those of the newest batch stay until the next one begins.
+    """
     reader = spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     # the same files as in a batch run; lines of the file that is still being written are left out by its name
     lines = files.with_metadata(reader.load(source))
 
@@ -71,11 +79,6 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
             grain = options.get("grain", "week")
             for table in (EQUITY, TRADES, INSTANCES, STREAM_STATE, *([archive_table(grain)] if grain else [])):
                 warehouse.merge(table)
-        if archive_dir:
-            # only files whose lines were taken in; the driver holds the names of one batch
-            fs.make_dirs(spark, archive_dir)
-            for row in batch_lines.select("file_name").distinct().toLocalIterator():
-                fs.rename(spark, f"{source.rstrip('/')}/{row.file_name}", f"{archive_dir.rstrip('/')}/{row.file_name}")
 
     return (
         lines.writeStream.foreachBatch(run)
@@ -85,3 +88,13 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
     )
 
 
+def run_in_rounds(spark: SparkSession, source: str, warehouse: Warehouse, *, checkpoint: str, max_files: int = 1000, **options) -> int:
+    """Take in all files that lie in ``source`` now, at most ``max_files`` at a time, and return the number of rounds.
+
+    For a backlog that one batch run should not stage whole: a round stages the lines of its own files only, and the on-change state
+    and the registry go from round to round, so the tables are those of one run over files whose names follow their times.
+    A call that died goes on with the round it was in, under ``checkpoint``. Options as for ``stream_ingest``.
+    """
+    query = stream_ingest(spark, source, warehouse, checkpoint=checkpoint, max_files=max_files, trigger={"availableNow": True}, **options)
+    query.awaitTermination()
+    return len({progress["batchId"] for progress in query.recentProgress if progress["numInputRows"]})

@@ -127,12 +127,35 @@ def test_stream_equals_batch(spark, tmp_path, files):
     query.awaitTermination()
     found = contents(warehouse)
     assert found == expected(files)
+    # consumed files lie below their whole path, but for those of the newest batch
+    moved = {path.name: str(path) for path in (tmp_path / "archive").rglob("*.jsnl")}
+    assert set(moved) == set(NAMES[:2]) and os.listdir(source) == NAMES[2:]
     # the last batch run again, as after a failure before its commit: same state, same result
-    lines = sources.with_metadata(spark.read.option("lineSep", "\n").text(str(tmp_path / "archive" / NAMES[2])))
+    lines = sources.with_metadata(spark.read.option("lineSep", "\n").text(f"{source}/{NAMES[2]}"))
     ingest.process_batch(warehouse, lines, 2, stream=f"-{ingest.stream_name(spark, str(tmp_path / 'cp'))}-")
     assert contents(warehouse) == found
     # what the stream has taken in is known to a batch run
-    assert em.run_batch(spark, str(tmp_path / "archive"), warehouse, now="later").count() == 0
+    assert em.run_batch(spark, [source, *moved.values()], warehouse, now="later").count() == 0
+
+
+def test_rounds_find_their_files_again(spark, tmp_path, files, monkeypatch):
+    source = write_files(tmp_path / "in", files)
+    warehouse = em.Warehouse(spark, str(tmp_path / "wh"), width=1)
+    go = {"checkpoint": str(tmp_path / "cp"), "max_files": 1, "archive_dir": str(tmp_path / "archive")}
+    whole = ingest.process_batch
+
+    def dies(*args, **options):  # everything is written, nothing is committed
+        whole(*args, **options)
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "process_batch", dies)
+        with pytest.raises(Exception, match="died"):
+            em.run_in_rounds(spark, source, warehouse, **go)
+    assert len(list((tmp_path / "in").glob("*.jsnl"))) == len(NAMES)
+    assert em.run_in_rounds(spark, source, warehouse, **go) == len(NAMES)
+    assert contents(warehouse) == expected(files)
+    assert em.run_in_rounds(spark, source, warehouse, **go) == 0
 
 
 def test_grown_and_undated(spark, tmp_path):
