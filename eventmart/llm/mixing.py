@@ -24,7 +24,7 @@ PER_DOMAIN = 1_500  # labelled texts of each domain that the classifier is fitte
 GRID = 1024  # documents whose memberships agree to one part in so many share a rate: at most (GRID + 1) * (GRID + 2) / 2 rates
 TOLERANCE = 1e-3  # the fit ends when each domain is within this share of the whole target
 SMALL = 1e-4  # or when the projected gradient would change a token's rate by less than this on average
-REPLAY = 25  # steps between tables of rates
+MAX_RATE = 2.0  # no document is wanted more often than this: without a bound, targets out of reach go to a few texts in very many copies
 SHARE_OFF = 0.01  # a share that is further off its weight is warned of
 DOMAINS = ("fine", "poor", "toxic")
 #: Target shares of expected tokens. A domain of weight 0 is to vanish.
@@ -107,77 +107,62 @@ def cell_of(p: Column) -> Column:
     return sum((F.round(F.get(p, F.lit(k)) * GRID).cast("int") * (GRID + 1) ** (k - 1) for k in range(1, len(DOMAINS))), F.lit(0))
 
 
-def _stepped(steps: list[list[float]]) -> Column:
-    """(ahead, rate, before) of a cell after ``steps``, each the momentum and a number per domain.
-
-    A step goes ahead by the momentum, takes off the product with the cell's mean memberships, and never ends below 0.
-    """
-    start = F.struct(F.col("rate").alias("ahead"), F.col("rate"), F.col("before"))
-    if not steps:
-        return start
-    mean = [F.col(f"s{k}") / F.col("weight") for k in range(len(DOMAINS))]
-
-    def step(x: Column, s: Column) -> Column:
-        ahead = x["rate"] + s[0] * (x["rate"] - x["before"])
-        less = sum((mean[k] * s[k + 1] for k in range(1, len(DOMAINS))), mean[0] * s[1])
-        return F.struct(ahead.alias("ahead"), F.greatest(F.lit(0.0), ahead - less).alias("rate"), x["rate"].alias("before"))
-
-    return F.aggregate(F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps]), start, step)
-
-
 def fit_rates(soft: DataFrame, area, weights: dict[str, float] | None = None, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
     """(cell, rate) for ``soft`` (n_tokens, p), and what the rates reach.
 
     Least squares over the domains by accelerated projected gradient: expected tokens sum(rate x n_tokens x p) against targets, in the
-    metric of the memberships' spread. A gradient is scaled by length, so that equal memberships get equal rates; documents of one cell
-    of a fine grid share theirs. A cell keeps the exact sum of its documents' tokens by domain, so the totals are exact too.
-    Each step is one aggregation over the cells, whose number has a bound that no input changes. Momentum starts again where it
-    points uphill.
+    metric of the memberships' spread, with rates from 0 to MAX_RATE. A gradient is scaled by length, so that equal memberships get equal
+    rates; documents of one cell of a fine grid share theirs. A cell keeps the exact sum of its documents' tokens by domain, so the totals
+    are exact too. Spark adds up the cells; as their number has a bound that no input changes, the steps over them, some hundreds, are
+    taken on the driver.
 
     Where the heaviest domain that has tokens is too scarce for its target, the whole mix gets smaller, so that the weights hold. A
-    lighter domain that is short gets what MAX_REPEAT allows; no other one makes up for it, and the outcome tells.
+    lighter domain that is short gets what MAX_REPEAT allows; no other one makes up for it. Targets that no rates within their bounds
+    meet are met as closely as these allow. The outcome tells.
     """
     weights = weights or WEIGHTS
     w = np.array([weights[k] for k in DOMAINS], float) / sum(weights.values())
     k_all = range(len(DOMAINS))
     part = [F.sum(F.col("n_tokens") * F.coalesce(F.get("p", F.lit(k)), F.lit(0.0))).alias(f"s{k}") for k in k_all]
-    cells = area.table(soft.where("n_tokens > 0").groupBy(cell_of(F.col("p")).alias("cell")).agg(F.sum("n_tokens").alias("weight"), *part), "mixing_cells")
-    # so few rows need few files
-    rates = area.table(cells.select("*", F.lit(1.0).alias("rate"), F.lit(1.0).alias("before")).coalesce(4), "mixing_rates0")
-    first = rates.agg(F.sum("weight").alias("n"), *[F.sum(f"s{k}").alias(f"s{k}") for k in k_all],
-                      *[F.sum(F.col(f"s{k}") * F.col(f"s{j}") / F.col("weight")).alias(f"m{k}_{j}") for k in k_all for j in k_all]).first()
-    now = supply = np.array([first[f"s{k}"] or 0.0 for k in k_all])
-    if not now.sum():
-        return rates.select("cell", "rate"), {"weights": w, "supply": now, "expected": now, "target": now}
-    total = headroom * sum(now[k] for k in k_all if w[k] > 0)
-    heaviest = int(np.argmax(np.where(now > 0, w, -1.0)))
-    if w[heaviest] > 0:
-        total = min(total, MAX_REPEAT * supply[heaviest] / w[heaviest])
-    target = np.minimum(w * total, MAX_REPEAT * supply)
+    cells = soft.where("n_tokens > 0").groupBy(cell_of(F.col("p")).alias("cell")).agg(F.sum("n_tokens").alias("weight"), *part)
+    held = cells.toArrow().sort_by("cell")
+    weight = held["weight"].to_numpy().astype(float)
+    sums = np.array([held[f"s{k}"].to_numpy() for k in k_all]).reshape(len(DOMAINS), -1).T
+    supply = sums.sum(axis=0)
+    rate, expected, target = np.ones(len(weight)), supply, supply
+    if supply.sum():
+        total = headroom * sum(supply[k] for k in k_all if w[k] > 0)
+        heaviest = int(np.argmax(np.where(supply > 0, w, -1.0)))
+        if w[heaviest] > 0:
+            total = min(total, MAX_REPEAT * supply[heaviest] / w[heaviest])
+        target = np.minimum(w * total, MAX_REPEAT * supply)
+        rate, expected = _descend(weight, sums, target, TOLERANCE * total)
+    found = soft.sparkSession.createDataFrame(pa.table({"cell": held["cell"], "rate": rate}))
+    return area.table(found, "mixing_rates"), {"weights": w, "supply": supply, "expected": expected, "target": target}
+
+
+def _descend(weight: np.ndarray, sums: np.ndarray, target: np.ndarray, near: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rates of cells, and the tokens by domain that they reach, from all rates at 1 until every domain is ``near`` its target.
+
+    A step goes ahead by the momentum, takes off the product with the cell's mean memberships, and never leaves the bounds. Momentum
+    starts again where it points uphill.
+    """
+    mean = sums / weight[:, None]
     # the metric in which all directions are equally steep, so that the step is 1
-    spread = np.array([[first[f"m{k}_{j}"] for j in k_all] for k in k_all])
+    spread = mean.T @ sums
     metric = np.linalg.inv(spread + 1e-6 * np.trace(spread) * np.eye(len(DOMAINS)))
-    before, run, tables, move, steps = now, 1, 1, 1.0, []
-    down = F.col("x.ahead") - F.col("x.rate")
-    while np.abs(now - target).max() > TOLERANCE * total and move > SMALL:
+    rate = last = np.ones(len(weight))
+    now = before = sums.sum(axis=0)
+    run, move = 1, 1.0
+    while np.abs(now - target).max() > near and move > SMALL:
         momentum = (run - 1) / (run + 2)
-        steps.append([momentum, *(metric @ (now + momentum * (now - before) - target))])
-        row = rates.select("*", _stepped(steps).alias("x")).agg(
-            *[F.sum(F.col("x.rate") * F.col(f"s{k}")).alias(f"s{k}") for k in k_all], F.sum(F.col("weight") * down * down).alias("move"),
-            F.sum(F.col("weight") * down * (F.col("x.rate") - F.col("x.before"))).alias("uphill")).first()
-        before, now = now, np.array([row[f"s{k}"] for k in k_all])
-        move, run = np.sqrt(row["move"] / first["n"]), 1 if row["uphill"] > 0 else run + 1
-        if len(steps) == REPLAY:
-            rates, steps, tables = _kept(rates, steps, area, tables), [], tables + 1
-    return _kept(rates, steps, area, tables).select("cell", "rate"), {"weights": w, "supply": supply, "expected": now, "target": target}
-
-
-def _kept(rates: DataFrame, steps: list[list[float]], area, number: int) -> DataFrame:
-    """The cells with their rates after ``steps`` as a table, in place of the one before."""
-    sums = [c for c in rates.columns if c not in ("rate", "before")]
-    found = area.table(rates.select(*sums, _stepped(steps).alias("x")).select(*sums, "x.rate", "x.before"), f"mixing_rates{number}")
-    area.forget(f"mixing_rates{number - 1}")
-    return found
+        ahead = rate + momentum * (rate - last)
+        last, rate = rate, np.clip(ahead - mean @ (metric @ (now + momentum * (now - before) - target)), 0.0, MAX_RATE)
+        before, now = now, rate @ sums
+        down = ahead - rate
+        move = np.sqrt((weight * down * down).sum() / weight.sum())
+        run = 1 if (weight * down * (rate - last)).sum() > 0 else run + 1
+    return rate, now
 
 
 def with_rate(df: DataFrame, rates: DataFrame) -> DataFrame:

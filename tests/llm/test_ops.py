@@ -258,6 +258,24 @@ def test_mixing_keeps_its_weights(spark, area, docs):
     assert reached["target"][0] / sum(reached["target"]) == pytest.approx(0.97)
 
 
+def test_mixing_of_targets_out_of_reach(spark, area):
+    """No text is surely free of toxic parts: few jobs, no text in many copies, most of them kept."""
+    rng = np.random.default_rng(8)
+    toxic = rng.beta(0.5, 6, 600)
+    soft = spark.createDataFrame([(int(n), [float(1 - t), 0.0, float(t)]) for n, t in zip(rng.integers(20, 400, 600), toxic)], "n_tokens bigint, p array<double>")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    rates, reached = mixing.fit_rates(soft, area)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 10
+    rows = mixing.with_rate(soft, rates).collect()
+    rate, n, p = (np.array([r[c] for r in rows], float) for c in ("rate", "n_tokens", "p"))
+    assert rate.min() >= 0 and rate.max() <= mixing.MAX_RATE and (rate > 0).mean() > 0.5
+    assert reached["expected"] == pytest.approx((rate * n) @ p)
+    # toxic tokens are fewer than by chance, and of two texts the more toxic one never has the higher rate
+    assert reached["expected"][2] / reached["expected"].sum() < reached["supply"][2] / reached["supply"].sum() / 2
+    order = np.argsort(np.round(p[:, 2] * mixing.GRID), kind="stable")
+    assert (np.diff(rate[order]) <= 1e-9).all()
+
+
 def test_quality(spark, area, docs):
     texts = awkward() + ["#$% " * 50 + prose(7, 60), prose(8, 30) + "\n" + "\n".join(["same line"] * 9)]
     rows = [t if isinstance(t, tuple) else (k, t) for k, t in enumerate(texts)]
