@@ -16,6 +16,8 @@ from eventmart.sources import fs
 
 # Lines per split when no file layout gives one.
 SPLIT_LINES = 1_000_000
+# Lines that one task is to parse.
+TASK_LINES = 100_000
 
 # Malformed variants of a data line, by the event's property k (see ``noisy``).
 NOISE = {
@@ -40,9 +42,9 @@ NOISE = {
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    # a file too small to split would leave all parsing to one task; large tables keep their splits
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    # splits without a row group's begin hold no rows, and a row group of compact rows makes very many lines: rows are dealt anew
+    tasks = -(-events.count() // TASK_LINES)  # from the footers
+    return events.repartition(max(tasks, spark.sparkContext.defaultParallelism))
 
 
 def _json(*columns: Column) -> Column:
