@@ -55,6 +55,15 @@ def touch_instances(instances: DataFrame, facts: DataFrame, now: str) -> DataFra
     )
 
 
+def register_run(warehouse, facts: DataFrame, instances: DataFrame, now: str) -> None:
+    """Store what a run does to the registry: the last start message of each mode, and the modes of ``touch_instances``.
+
+    No mode is among both, so one aggregate by mode serves for all.
+    """
+    rows = start_messages(facts, now).unionByName(touch_instances(instances, facts, now), allowMissingColumns=True)
+    warehouse.upsert(INSTANCES, rows, ORDER)
+
+
 def upsert_instances(warehouse, rows: DataFrame, *, check_existing: bool = False) -> None:
     """Store registry rows; with ``check_existing`` modes already stored stay as they are."""
     if check_existing:

@@ -14,7 +14,7 @@ from eventmart.operators.equity import equity_changes
 from eventmart.operators.gate import attach_live, gate_configs, live_by_file, open_modes
 from eventmart.operators.keys import ORDER, broadcast_if_small
 from eventmart.operators.parse import line_facts, parse_messages
-from eventmart.operators.registry import registrations, touch_instances, upsert_instances
+from eventmart.operators.registry import register_run
 from eventmart.operators.rows import archive_of_line, equity_of_line, trades_of_line
 from eventmart.operators.stats import file_stats
 from eventmart.plans import runs
@@ -33,6 +33,9 @@ STATS = Table(
 )
 
 
+# Options of a run that what it stages from its lines depends on.
+LINE_OPTIONS = ["on_change", "require_equity", "mode_field"]
+
 # Archive rows of runs that did not compact; the next run that does takes them in.
 PENDING = Table("archive_pending", ARCHIVE_SCHEMA, ("src", "block", "ord"))
 REST = "rest"  # how the names of folders begin that hold what a deletion left
@@ -66,24 +69,25 @@ def timestamp_now() -> str:
 def ingest_lines(warehouse: Warehouse, lines: DataFrame, area: Staging, *, now: str, run: str,
                  on_change: bool = True, require_equity: bool = True, mode_field: str = "mode",
                  grain: str | None = "week", archive_mode: str = "accumulate", state: DataFrame | None = None,
-                 names: DataFrame | None = None, registry: str | None = None) -> tuple[DataFrame, DataFrame]:
+                 names: DataFrame | None = None, registry: str | None = None, held: Staging | None = None) -> tuple[DataFrame, DataFrame]:
     """Parse lines once and feed every table from the staged result.
 
     Returns (counters per file, equity rows of accepted lines before the on-change filter).
     ``names`` maps file names to archive sources. With ``grain`` None archive rows wait for the next run that compacts. ``run`` is a
     name that no other run has. Every write is an upsert, so a run that died half way is repaired by running it again under its name, with ``registry``, the version of the
-    registry that it began with: lines are then judged by what was known before the run.
+    registry that it began with: lines are then judged by what was known before the run. What follows from the lines alone is staged in
+    ``held`` (unset: ``area``), where a repeat may find it.
     """
+    held = held or area
     messages = parse_messages(lines, mode_field=mode_field)
-    facts = area.table(line_facts(messages, require_equity=require_equity), "facts")
-    instances = area.table(warehouse.stored(INSTANCES, as_of=registry).select(*INSTANCES.columns), "instances_before")
-    gated = gate_configs(facts, area.table(open_modes(facts, instances), "gates"))
+    facts = held.table(line_facts(messages, require_equity=require_equity), runs.FACTS)
+    instances = held.table(warehouse.stored(INSTANCES, as_of=registry).select(*INSTANCES.columns), "instances_before")
+    gated = gate_configs(facts, held.table(open_modes(facts, instances), "gates"))
     equity = equity_of_line(gated)
-    kept = area.table(equity_changes(equity, on_change=on_change, state=state), "kept")
-    flags = area.table(live_by_file(kept, facts, instances), "flags")
+    kept = held.table(equity_changes(equity, on_change=on_change, state=state), "kept")
+    flags = held.table(live_by_file(kept, facts, instances), "flags")
 
-    upsert_instances(warehouse, registrations(facts, now).select(*INSTANCES.columns)
-                     .unionByName(touch_instances(instances, facts, now)))
+    register_run(warehouse, facts, instances, now)
     warehouse.upsert(EQUITY, kept.where(F.col("time_ns").isNotNull()), ORDER)
     warehouse.upsert(TRADES, trades_of_line(gated), [*ORDER, "pos"])
     rows = archive_of_line(gated)
@@ -148,7 +152,8 @@ def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging
     stats = spark.createDataFrame([], STATS.schema)
     if not runs.entered(warehouse, run):
         # the driver holds one path per file, as the scan's own file index does
-        paths = [row.path for row in fresh.select("path").toLocalIterator()]
+        listed = sorted(tuple(row) for row in fresh.select("path", "length", "mtime", "skip").toLocalIterator())
+        paths = [path for path, *_ in listed]
         counted = spark.createDataFrame([], "_key string, n_lines bigint")
         if paths:
             lines = sources.scan_lines(spark, paths, glob="*", repeated=repeated)
@@ -156,9 +161,12 @@ def take_in(warehouse: Warehouse, run: runs.Run, files: DataFrame, area: Staging
             if skip.limit(1).count():
                 tails = sources.numbered(lines).join(broadcast_if_small(skip), "file_name", "left")
                 lines = tails.where(F.col("skip").isNull() | (F.col("number") >= F.col("skip"))).select(*lines.columns)
-            stats, _ = ingest_lines(warehouse, lines, area, now=run.now, run=run.name, registry=run.registry,
+            # a state given by the caller may be another one in a repeat
+            given = options.get("state") is not None
+            held = area if given else runs.held(warehouse, run, listed, *[options.get(name) for name in LINE_OPTIONS])
+            stats, _ = ingest_lines(warehouse, lines, area, now=run.now, run=run.name, registry=run.registry, held=held,
                                     names=fresh.select(key.alias("file_name"), "src"), **options)
-            facts = spark.read.parquet(area.path("facts"))
+            facts = spark.read.parquet(held.path(runs.FACTS))
             counted = facts.groupBy(F.col("file_name").alias("_key")).agg(F.count("*").alias("n_lines"))
         entry = files.withColumn("_key", key).join(counted, "_key", "left").withColumn("ingested_at", F.lit(run.now))
         runs.enter(warehouse, run, entry.select(*[field.split()[0] for field in sources.MANIFEST.split(", ")]))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from eventmart.session import Resumable
 from eventmart.sources import files, fs
 from eventmart.sources.tables import INSTANCES, STREAM_STATE, Warehouse
 
 RECORD = "registry string, state string, now string"
+STAGED = "staged-"  # how the folders begin that hold what a run has staged
+FACTS = "facts"  # the table of parsed lines among it
 
 
 @dataclass(frozen=True)
@@ -59,6 +63,19 @@ def files_of(warehouse: Warehouse, run: Run) -> DataFrame:
     return warehouse.spark.read.parquet(f"{run_path(warehouse, run.name)}/files")
 
 
+def held(warehouse: Warehouse, run: Run, *made_of) -> Resumable:
+    """The tables that a run has staged from its lines, so that a repeat of it need not parse them again.
+
+    ``made_of`` tells all that they follow from beside the run's record: a repeat for which it differs begins anew. So does one
+    that died before the parsed lines were whole.
+    """
+    key = hashlib.md5(repr(made_of).encode()).hexdigest()
+    area = Resumable(warehouse.spark, f"{run_path(warehouse, run.name)}/{STAGED}{key}")
+    if not fs.exists(warehouse.spark, f"{area.path(FACTS)}/_SUCCESS"):
+        area.drop()
+    return area
+
+
 def unfinished(warehouse: Warehouse) -> list[Run]:
     """Batch runs that began and did not end, oldest first. One writer at a time: none of them is still at work."""
     names = [n.removeprefix("run=") for n in fs.list_names(warehouse.spark, run_path(warehouse)) if n.startswith("run=")]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from eventmart.operators.equity import last_equity
 from eventmart.operators.keys import broadcast_if_small
 from eventmart.plans import runs
-from eventmart.plans.batch import ingest_lines, timestamp_now
+from eventmart.plans.batch import LINE_OPTIONS, ingest_lines, timestamp_now
 from eventmart.session import staging
 from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, STREAM_STATE, TRADES, Warehouse, archive_table
@@ -25,24 +25,27 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream:
     options = {"now": timestamp_now(), **options}
     run = runs.begin(warehouse, f"stream{stream}{batch:010d}", options.pop("now"))
     with staging(spark) as area:
-        before = area.table(warehouse.stored(STREAM_STATE, as_of=run.state).select("mode", "equity"), "state_before")
+        # a repeated batch has the same files, but lines without them may be others
+        held = runs.held(warehouse, run, *[options.get(name) for name in LINE_OPTIONS]) if "uri" in lines.columns else area
+        before = held.table(warehouse.stored(STREAM_STATE, as_of=run.state).select("mode", "equity"), "state_before")
         ordered, taken, names = files.order_lines(lines), None, None
         if "uri" in lines.columns:
             known = runs.manifest(warehouse, but=run.name)
-            listed = area.table(files.changed_files(files.files_of_lines(lines), known), "listed")
+            listed = held.table(files.changed_files(files.files_of_lines(lines), known), "listed")
             digests = files.line_digest(ordered).withColumnRenamed("file_id", "lines_id")
-            taken = area.table(listed.join(digests, "file_name").withColumn("file_id", files.content_id()), "taken")
-            names = area.table(files.output_names(files.new_files(taken, known)).select("file_name", "src"), "names")
+            taken = held.table(listed.join(digests, "file_name").withColumn("file_id", files.content_id()), "taken")
+            names = held.table(files.output_names(files.new_files(taken, known)).select("file_name", "src"), "names")
             ordered = ordered.join(broadcast_if_small(names.select("file_name")), "file_name", "left_semi").select(*ordered.columns)
         _, equity = ingest_lines(
-            warehouse, ordered, area, run=run.name, now=run.now, registry=run.registry, state=before, names=names, **options,
+            warehouse, ordered, area, run=run.name, now=run.now, registry=run.registry, state=before, names=names, held=held, **options,
         )
         if taken is not None:
-            lines_read = spark.read.parquet(area.path("facts")).groupBy("file_name").agg(F.count("*").alias("n_lines"))
+            lines_read = spark.read.parquet(held.path(runs.FACTS)).groupBy("file_name").agg(F.count("*").alias("n_lines"))
             entry = taken.join(lines_read, "file_name", "left").withColumn("ingested_at", F.lit(run.now))
             runs.enter(warehouse, run, entry.select(*[field.split()[0] for field in files.MANIFEST.split(", ")]))
         # only modes that the batch saw: the state is not rewritten
         warehouse.upsert(STREAM_STATE, last_equity(equity).withColumn("turn", F.lit(0)), ["turn"])
+        held.drop()
         # the records of the two newest batches cover a repeated one
         for old in range(max(0, batch - 3), batch - 1):
             fs.delete(spark, runs.run_path(warehouse, f"stream{stream}{old:010d}"))

@@ -180,3 +180,49 @@ def test_grown_and_undated(spark, tmp_path):
     (stats,) = em.run_batch(spark, str(tmp_path / "in"), warehouse, now="c").collect()
     assert stats.total_records == 4
     assert sorted(r.timestamp for r in em.read_archive(warehouse).collect()) == [1704067201.0, 1704067201.0, 1704067203.0, 1704067209.0]
+
+
+class Cut(em.Warehouse):
+    """Dies once after each of the named tables was written."""
+
+    left: set
+
+    def add_version(self, table, *args, **options):
+        super().add_version(table, *args, **options)
+        if table.name in self.left:
+            self.left.remove(table.name)
+            raise InterruptedError(table.name)
+
+
+def staged_facts(root):
+    return [(path, os.stat(path).st_mtime_ns) for path in sorted(map(str, root.glob("runs/*/staged-*/facts/_SUCCESS")))]
+
+
+def test_a_repeat_does_not_parse_again(spark, tmp_path, files):
+    source = write_files(tmp_path / "in", files)
+    warehouse = Cut(spark, str(tmp_path / "warehouse"), 1)
+    warehouse.left = {em.EQUITY.name, em.TRADES.name}
+    seen = []
+    while True:
+        try:
+            em.run_batch(spark, source, warehouse, now="2024-05-01")
+            break
+        except InterruptedError:
+            seen.append(staged_facts(tmp_path / "warehouse"))
+    assert len(seen) == 2 and len(seen[0]) == 1 and seen[0] == seen[1]
+    assert contents(warehouse) == expected(files) and not staged_facts(tmp_path / "warehouse")
+
+
+def test_a_repeat_with_other_options_parses_anew(spark, tmp_path, files):
+    whole = em.Warehouse(spark, str(tmp_path / "whole"), 1)
+    source = write_files(tmp_path / "in", files)
+    em.run_batch(spark, source, whole, now="2024-05-01", require_equity=False)
+    warehouse = Cut(spark, str(tmp_path / "warehouse"), 1)
+    warehouse.left = {em.EQUITY.name, em.TRADES.name}
+    with pytest.raises(InterruptedError):
+        em.run_batch(spark, source, warehouse, now="2024-05-01")
+    with pytest.raises(InterruptedError):
+        em.run_batch(spark, source, warehouse, now="2024-05-01", require_equity=False)
+    assert len(staged_facts(tmp_path / "warehouse")) == 2
+    em.run_batch(spark, source, warehouse, now="2024-05-01", require_equity=False)
+    assert contents(warehouse) == contents(whole) and not staged_facts(tmp_path / "warehouse")
