@@ -1,26 +1,30 @@
 """Byte-level BPE encoding and decoding under a file of ranks.
 
-Texts are packed into blocks of bounded size that name each distinct word once. The distinct words of a block are encoded by a
-fold in Spark's higher-order functions, over a literal map of ranks, and the block's texts are put together from those of their
-words. All this is one pass over the rows of a task: nothing is shuffled, and no key can be hot.
+Texts are packed into blocks of bounded size that name each distinct word once. The distinct words of a block are merged by turns
+over all words of one length, and the block's texts are put together from those of their words. All this is one pass over the
+rows of a task: nothing is shuffled, and no key can be hot.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-BLOCK_BYTES = 16 << 20  # UTF-8 bytes of text in a block; a longer document is a block of its own
-LONG = 64  # bytes of a word that is merged place by place
-BUCKETS, SPREAD = 1 << 14, 40503  # maps that the pairs are dealt to, and how: Spark goes through the keys of a map one by one
-SLICE = 1 << 16  # identifiers that are decoded at once
+BLOCK_BYTES = 4 << 20  # UTF-8 bytes of text in a block; a longer document is a block of its own
+LONG = 64  # bytes of a word that is merged beside others of its length
+NONE = np.iinfo(np.int64).max  # the rank of a pair that is no piece
+SLICE = 1 << 16  # identifiers that are decoded, and words that are put together, at once
+MERGED_BYTES = 1 << 19  # bytes of words that are merged at once
 # Letters and numbers that Unicode has taken in since version 16, which the vocabularies' own library goes by.
 NEW_LETTERS = (
     r"\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2\uA7F1\uAB6C-\uAB6D"
@@ -65,101 +69,132 @@ def count_pieces(piece: bytes, ranks: dict[bytes, int]) -> int:
     return len(parts)
 
 
+def merge_long(ids: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
+    """``ids`` after merging, by a heap over a linked list: a long word takes about as many steps as it has bytes."""
+    after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
+    heap = [(pairs[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+    heapq.heapify(heap)
+    while heap:
+        new, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] != a or j < 0 or ids[j] != b:
+            continue  # one of the two was merged meanwhile
+        ids[i], ids[j] = new, -1
+        h, k = before[i], after[j]
+        after[i] = k
+        if k >= 0:
+            before[k] = i
+            if (p := (new, ids[k])) in pairs:
+                heapq.heappush(heap, (pairs[p], i, *p))
+        if h >= 0 and (p := (ids[h], new)) in pairs:
+            heapq.heappush(heap, (pairs[p], h, *p))
+    return [x for x in ids if x >= 0]
+
+
 class RankMaps:
-    """The ranks as literals; their size depends on the vocabulary alone.
+    """The ranks as arrays; their size depends on the vocabulary alone.
 
-    ``pairs`` is an array of maps, dealt out by the pair: key left * 2^17 + right, both as ranks, value twice the rank of the two
-    together. The value is odd where the piece and a piece that it begins with make one of lower rank: merging every place of such
-    a pair at once could differ from merging one after the other. ``bytes`` has the rank of each byte. ``whole`` are the pieces
-    that merging their bytes does not lead to, but a word that is one is one identifier all the same.
+    ``keys`` are the pairs that can be merged, sorted, as left * 2^32 + right, both as ranks; ``merged`` has the rank of each pair
+    together. ``bytes`` has the rank of each byte. ``whole`` are the pieces that merging their bytes does not lead to, but a word
+    that is one is one identifier all the same.
     """
 
     def __init__(self, path: str):
         ranks = read_ranks(path)
-        maps: list[list[str]] = [[] for _ in range(BUCKETS)]
-        for piece, rank in ranks.items():
-            odd = any(piece[:i] in ranks and ranks.get(piece + piece[:i], rank) < rank for i in range(1, len(piece)))
-            for i in range(1, len(piece)):
-                left, right = ranks.get(piece[:i]), ranks.get(piece[i:])
-                if left is not None and right is not None:
-                    maps[(left * SPREAD + right) % BUCKETS].append(f'"{left << 17 | right}":{2 * rank + odd}')
-        # constant folding makes literals of these
-        of = "array<map<{},int>>".format
-        self.pairs = F.from_json(F.lit("[" + ",".join("{" + ",".join(m) + "}" for m in maps) + "]"), of("string")).cast(of("bigint"))
-        self.bytes = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<int>")
+        pairs = [(ranks[piece[:i]] << 32 | ranks[piece[i:]], rank) for piece, rank in ranks.items()
+                 for i in range(1, len(piece)) if piece[:i] in ranks and piece[i:] in ranks]
+        self.keys, self.merged = np.array(sorted(pairs), np.int64).reshape(-1, 2).T.copy()
+        self.keys, self.merged = np.append(self.keys, np.iinfo(np.int64).max), np.append(self.merged, NONE)
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.whole = {piece: rank for piece, rank in ranks.items() if count_pieces(piece, ranks) > 1}
 
+    def value(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair together, or NONE."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.merged[at], NONE)
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        return {(key >> 32, key & 0xFFFFFFFF): rank for key, rank in zip(self.keys[:-1].tolist(), self.merged[:-1].tolist())}
 
 
-def encode_word(word: Column, maps: RankMaps) -> Column:
-    """The identifiers of a word, an array of its bytes: two adjacent pieces are merged, lowest rank and leftmost first, while any can be.
+def merge_equal(words: np.ndarray, maps: RankMaps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The identifiers of words of one length, the rows of ``words``: (row numbers, identifiers) of those that end with as many.
 
-    A turn of the fold makes one merge. In words of over LONG bytes it merges the lowest rank at all its places, from the left, so
-    that there are only as many turns as ranks; where that makes a pair of still lower rank, or may, the turn merges the first place
-    alone. Both ways give the result of single merges.
+    A turn merges the leftmost pair of the lowest rank in every row, so that rows that go on keep having one length.
     """
+    at, ids = np.arange(len(words)), maps.bytes[words]
+    values = maps.value(ids[:, :-1], ids[:, 1:])
+    while ids.shape[1] > 1:
+        k = values.argmin(axis=1)
+        go = values[np.arange(len(at)), k] != NONE
+        if not go.all():
+            yield at[~go], ids[~go]
+            at, ids, values, k = at[go], ids[go], values[go], k[go]
+        if not len(at):
+            return
+        row = np.arange(len(at))
+        new = values[row, k]
+        width = ids.shape[1] - 1
+        ids = np.where(np.arange(width) < k[:, None], ids[:, :-1], ids[:, 1:])
+        ids[row, k] = new
+        values = np.where(np.arange(width - 1) < k[:, None], values[:, :-1], values[:, 1:])
+        left, right = np.flatnonzero(k > 0), np.flatnonzero(k < width - 1)
+        values[left, k[left] - 1] = maps.value(ids[left, k[left] - 1], new[left])
+        values[right, k[right]] = maps.value(new[right], ids[right, k[right] + 1])
+    yield at, ids
+
+
+def merge_words(spelled: np.ndarray, length: np.ndarray, maps: RankMaps) -> tuple[np.ndarray, np.ndarray]:
+    """The identifiers of words, and how many each has: two adjacent pieces are merged, lowest rank and leftmost first, while any can be.
+
+    ``spelled`` are the bytes of the words, one after the other, and ``length`` the bytes of each. Identifiers come back in the same way.
+    """
+    begin = np.cumsum(length) - length
+    # never more identifiers than bytes: each word's lie where its bytes begin
+    ids, n = np.zeros(len(spelled), np.int32), np.zeros(len(length), np.int64)
+    for size in np.unique(length[(length > 0) & (length <= LONG)]):
+        mine = np.flatnonzero(length == size)
+        step = MERGED_BYTES // int(size)
+        for k in range(0, len(mine), step):
+            some = mine[k : k + step]
+            for rows, found in merge_equal(spelled[begin[some, None] + np.arange(size)], maps):
+                ids[begin[some[rows], None] + np.arange(found.shape[1])] = found
+                n[some[rows]] = found.shape[1]
+    for w in np.flatnonzero(length > LONG):
+        found = merge_long(maps.bytes[spelled[begin[w] : begin[w] + length[w]]].tolist(), maps.pairs)
+        ids[begin[w] : begin[w] + len(found)], n[w] = found, len(found)
+    if maps.whole:
+        data, most = spelled.tobytes(), max(map(len, maps.whole))
+        for w in np.flatnonzero(length <= most):
+            rank = maps.whole.get(data[begin[w] : begin[w] + length[w]])
+            if rank is not None:
+                ids[begin[w]], n[w] = rank, 1
+    return ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+
+def lists_of(flat: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32()))
 
-    def fold(pairs: Column) -> Column:
-        def value(left: Column, right: Column) -> Column:
-            bucket = (F.pmod(left * SPREAD + right, F.lit(BUCKETS))).cast("int")
-            return F.try_element_at(F.get(pairs, bucket), F.shiftleft(left.cast("bigint"), 17).bitwiseOR(right))
-
-        def state(pieces: Column) -> Column:
-            """Pieces as ranks, and for each the value of it and the next one."""
-            values = F.transform(pieces, lambda x, j: value(x, F.get(pieces, j + 1)))
-            return F.struct(pieces.alias("p"), values.alias("r"))
-
-        # below, a fold of one turn names a value that is used several times; it does not copy its state as a transform does
-
-        def merge_first(s: Column, least: Column) -> Column:
-            """The state after merging the leftmost pair of the ``least`` value, or as it is without one: two pairs get a new value."""
-
-            def at(s: Column, k: Column) -> Column:
-                p, r, n = s["p"], s["r"], F.size(s["p"])
-                new = F.shiftright(F.get(r, k - 1), 1)
-                before = F.when(k > 1, F.array(value(F.get(p, k - 2), new))).otherwise(F.slice(r, 1, 0))
-                pieces = F.flatten(F.array(F.slice(p, F.lit(1), k - 1), F.array(new), F.slice(p, k + 2, n)))
-                values = F.flatten(F.array(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), before, F.array(value(new, F.get(p, k + 1))), F.slice(r, k + 2, n)))
-                return F.when(k.isNull(), s).otherwise(F.struct(pieces.alias("p"), values.alias("r")))
-
-            return F.aggregate(F.array(F.array_position(s["r"], least).cast("int")), s, at)
-
-        def merge_all(s: Column, least: Column) -> Column:
-            """The state after merging all pairs of the ``least`` value that do not overlap, from the left."""
-            marks = F.array_join(F.transform(s["r"], lambda v: F.when(v == least, "1").otherwise("0")), "")
-
-            def pieces(at: Column) -> Column:
-                new = lambda j: F.when(F.get(at, j) == "1", F.shiftright(least, 1))
-                return F.transform(s["p"], lambda x, j: new(j).when(F.get(at, j - 1) == "1", F.lit(None)).otherwise(x))
-
-            return _let(F.array_compact(_let(F.split(F.replace(marks, F.lit("11"), F.lit("10")), ""), pieces)), state)
-
-        def merge_checked(s: Column, least: Column) -> Column:
-            safe = lambda whole: (least % 2 == 0) & F.coalesce(F.array_min(whole["r"]) >= least, F.lit(True))
-            return _let(merge_all(s, least), lambda whole: F.when(safe(whole), whole).otherwise(merge_first(s, least)))
 
-        def merged(turn: Callable[[Column], Column]) -> Column:
-            start = _let(F.transform(word, lambda b: F.get(maps.bytes, b)), state)
-            return F.aggregate(F.slice(word, F.lit(2), F.size(word)), start, lambda s, _: turn(s), lambda s: s["p"])
+def encode_word(word: Column, maps: RankMaps) -> Column:
+    """The identifiers of a word, an array of its bytes; null stays null."""
 
-        one = merged(lambda s: merge_first(s, F.array_min(s["r"])))
-        many = merged(lambda s: _let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(merge_checked(s, m))))
-        return F.when(F.size(word) <= LONG, one).otherwise(many)
+    @F.arrow_udf("array<int>")
+    def encoded(words: pa.Array) -> pa.Array:
+        length = pc.fill_null(words.value_lengths(), 0).to_numpy().astype(np.int64)
+        lists = lists_of(*merge_words(words.flatten().to_numpy().astype(np.uint8), length, maps))
+        return pc.if_else(words.is_valid(), lists, None)
 
-    found = _let(maps.pairs, fold)
-    for piece, rank in maps.whole.items():
-        found = F.when(word == F.array(*map(F.lit, piece)), F.array(F.lit(rank))).otherwise(found)
-    return found
+    return encoded(word)
 
 
 def block_rows(docs: DataFrame, pattern: str) -> DataFrame:
-    """(rows, sizes, places, words): neighbouring rows packed together; a word is an array of its bytes.
+    """(rows, sizes, places, spelled, lengths): neighbouring rows packed together.
 
-    ``rows`` are the doc_ids, ``sizes`` their numbers of words, ``places`` (32-bit) the place of each word in the distinct ``words``.
+    ``rows`` are the doc_ids, ``sizes`` their numbers of words, ``places`` (32-bit) the place of each word among the distinct ones,
+    whose bytes lie in ``spelled``, one word after the other, ``lengths`` of each.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +204,10 @@ def block_rows(docs: DataFrame, pattern: str) -> DataFrame:
         def flush():
             packed = np.concatenate([np.empty(0, np.uint32), *places]).tobytes()
             spelled = [w.encode() for w in words]
-            flat = pa.array(np.frombuffer(b"".join(spelled), np.uint8).astype(np.int32))
-            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, spelled)], dtype=np.int32), flat)
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                 pa.array([packed], pa.binary()), pa.ListArray.from_arrays([0, len(lists)], lists)],
-                ["rows", "sizes", "places", "words"])
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([packed], pa.binary()),
+                 pa.array([b"".join(spelled)], pa.binary()), pa.array([list(map(len, spelled))], pa.list_(pa.int32()))],
+                ["rows", "sizes", "places", "spelled", "lengths"])
 
         for batch in batches:
             for doc_id, n_bytes, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -191,26 +224,32 @@ def block_rows(docs: DataFrame, pattern: str) -> DataFrame:
 
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.octet_length(text).alias("n_bytes"), text.alias("text"))
-    return rows.mapInArrow(pack, "rows array<bigint>, sizes array<int>, places binary, words array<array<int>>")
+    return rows.mapInArrow(pack, "rows array<bigint>, sizes array<int>, places binary, spelled binary, lengths array<int>")
 
 
-def put_together(blocks: DataFrame) -> DataFrame:
-    """(doc_id, ids): the texts of blocks (rows, sizes, places, ids), where ``ids`` has the identifiers of each distinct word."""
+def put_together(blocks: DataFrame, maps: RankMaps) -> DataFrame:
+    """(doc_id, ids): the texts of blocks (rows, sizes, places, spelled, lengths), each distinct word merged once."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows, sizes, places, lists = (batch.column(c)[k] for c in ("rows", "sizes", "places", "ids"))
-                flat, length = lists.values.flatten().to_numpy(), lists.values.value_lengths().to_numpy().astype(np.int64)
+                rows, sizes, places, spelled, lengths = (batch.column(c)[k] for c in ("rows", "sizes", "places", "spelled", "lengths"))
+                flat, length = merge_words(np.frombuffer(spelled.as_buffer(), np.uint8), lengths.values.to_numpy().astype(np.int64), maps)
                 begin = np.cumsum(length) - length
-                at, done = np.frombuffer(places.as_py(), np.uint32), 0
-                for doc_id, size in zip(rows.as_py(), sizes.as_py()):
-                    mine = at[done : done + size]
-                    done += size
+                at = np.frombuffer(places.as_buffer(), np.uint32)
+                ends = np.cumsum(sizes.values.to_numpy(), dtype=np.int64)
+                # some texts of a block at a time, or one longer one
+                first = done = 0
+                while first < len(ends):
+                    last = max(first + 1, int(np.searchsorted(ends, done + SLICE, "right")))
+                    mine = at[done : ends[last - 1]]
                     n = length[mine]
                     # the identifiers of a word lie next to each other
                     ids = flat[np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-                    yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.ListArray.from_arrays([0, len(ids)], pa.array(ids, pa.int32()))], ["doc_id", "ids"])
+                    total = np.concatenate([[0], np.cumsum(n)])[ends[first:last] - done]
+                    texts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], total]), pa.int32()), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([rows.values.slice(first, last - first), texts], ["doc_id", "ids"])
+                    first, done = last, int(ends[last - 1])
 
     return blocks.mapInArrow(join, "doc_id bigint, ids array<int>")
 
@@ -220,11 +259,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Null and empty texts, and texts without a match, have no identifiers. Rows that repeat an id, and rows without one, are
     encoded each. Very long texts are blocks of their own. Other columns are ignored; an empty table gives an empty result. Every
-    single byte must have a rank. The ranks travel as a literal: their size does not depend on the data.
+    single byte must have a rank. The ranks travel with the task: their size does not depend on the data.
     """
-    maps = RankMaps(path)
-    blocks = block_rows(docs, pattern).select("rows", "sizes", "places", F.transform("words", lambda w: encode_word(w, maps)).alias("ids"))
-    return put_together(blocks)
+    return put_together(block_rows(docs, pattern), RankMaps(path))
 
 
 def decoder(path: str) -> Callable[[Column], Column]:
@@ -239,7 +276,7 @@ def decoder(path: str) -> Callable[[Column], Column]:
                 out.append(None)
                 continue
             at = ids.values
-            out.append(b"".join(b"".join(map(pieces.__getitem__, at.slice(k, SLICE).to_pylist())) for k in range(0, len(at), SLICE)))
+            out.append(b"".join(b"".join(map(pieces.__getitem__, at.slice(k, SLICE).to_numpy().tolist())) for k in range(0, len(at), SLICE)))
         return pa.array(out, pa.binary())
 
     return decode

@@ -80,6 +80,26 @@ def test_bpe_merges_where_ranks_are_out_of_order(spark):
         assert r.ids == plain(r.w.encode()), r.w
 
 
+def test_bpe_merges_words_together(spark, docs, vocabulary, monkeypatch):
+    """Thousands of distinct words in bounded slices: no expression is interpreted word by word, and no task holds a large block."""
+    path, pattern, library = vocabulary
+    seen = []
+    plain = bytebpe.merge_equal
+    monkeypatch.setattr(bytebpe, "MERGED_BYTES", 1000)
+    monkeypatch.setattr(bytebpe, "merge_equal", lambda words, maps: (seen.append(words.size), plain(words, maps))[1])
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinsrhé中", k=rng.randint(1, 30))) for _ in range(3000)]
+    spelled = [w.encode() for w in words]
+    length = bytebpe.np.array([len(w) for w in spelled])
+    ids, n = bytebpe.merge_words(bytebpe.np.frombuffer(b"".join(spelled), bytebpe.np.uint8), length, bytebpe.RankMaps(path))
+    ends = n.cumsum()
+    for w, end, k in zip(spelled, ends, n):
+        assert ids[end - k : end].tolist() == library._core_bpe.encode_single_piece(w)
+    assert max(seen) <= 1000 and bytebpe.BLOCK_BYTES <= 4 << 20
+    plan = bytebpe.encode(docs("a text"), path, pattern)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
 def test_bpe_query(spark, docs, vocabulary, tmp_path):
     docs("one text", "", None).write.parquet(str(tmp_path / "documents.parquet"))
     rows = {r.doc_id: r for r in op11_byte_bpe(spark, str(tmp_path)).collect()}
