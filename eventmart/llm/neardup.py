@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import M1, WordHash, mix, split_words, windows_of
+from eventmart.llm.common import M1, WordHash, mix, sift, split_words, windows_of
 from eventmart.session import staging
 
 SHINGLE = 5  # words
@@ -110,8 +110,9 @@ def band_keys(classes: DataFrame) -> DataFrame:
 def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that share a band and whose estimate leaves the threshold within reach.
 
-    Sets too different in size are out at once.
+    Sets too different in size are out at once. Registers travel only of classes that may be in a pair: pass staged pairs.
     """
+    classes, _ = sift(classes, "id", pairs.select(F.explode(F.array("a", "b")).alias("id")))
     side = lambda s: classes.select(F.col("id").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").where(
         100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
@@ -138,14 +139,15 @@ def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(id, s): the shingle sets of the documents ``asked`` (id). An id that stands on several rows has several sets."""
+    """(id, s): the shingle sets of the documents ``asked`` (id), a staged table. An id that stands on several rows has several sets."""
     words = WordHash()
 
     @F.arrow_udf("array<bigint>")
     def sets(texts: pa.Array) -> pa.Array:
         return pa.array([shingles(t, words).view(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(asked, "id", "left_semi")
+    texts, _ = sift(docs.select(F.col("doc_id").cast("bigint").alias("id"), "text"), "id", asked)
+    texts = texts.join(asked, "id", "left_semi")
     return texts.select("id", sets("text").alias("s"))
 
 
@@ -177,14 +179,14 @@ def rare_pairs(full: DataFrame, roots: DataFrame, area, name: str) -> DataFrame:
 
 def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area, name: str) -> DataFrame:
     """Those of ``pairs`` (a, b: smallest doc_id of a class) that are linked by their full sets."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    asked = area.table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}_asked")
     # an id that stands on several rows has several sets; the class was named after one of them
     full = area.table(full_sets(docs, asked), f"{name}_sets")
     of = lambda s: full.select(F.col("id").alias(s), F.col("s").alias(f"s_{s}"))
     size = F.size(F.array_intersect("s_a", "s_b"))
     linked = pairs.join(of("b"), "b").join(of("a"), "a").where(100 * size >= PERCENT * (F.size("s_a") + F.size("s_b") - size))
     links = area.table(linked.select("a", "b").distinct(), f"{name}_links")
-    area.forget(f"{name}_sets")
+    area.forget(f"{name}_sets", f"{name}_asked")
     return links
 
 
@@ -246,14 +248,14 @@ def group(docs: DataFrame, area) -> DataFrame:
                 # another leader for each open bucket: a class of its last group
                 pairs = open_.where("root <> last.root").select(F.col("last.id").alias("a"), F.col("id").alias("b"))
             else:
-                full = full_sets(docs, open_.select("id").distinct())
+                full = full_sets(docs, area.table(open_.select("id").distinct(), f"{name}_apart"))
                 pairs = rare_pairs(full, roots, area, name)
             pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = area.table(likely(classes, pairs), f"{name}_pairs")
+        pairs = area.table(likely(classes, area.table(pairs, f"{name}_met")), f"{name}_pairs")
         found = verify(docs, classes, pairs, area, name)
         links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
-        area.forget(*[f"{name}_{step}" for step in ("placed", "open", "held", "often", "first")])
+        area.forget(*[f"{name}_{step}" for step in ("placed", "open", "apart", "held", "often", "first", "met")])
         if turn == 0 or found.limit(1).count():
             roots = area.table(components(classes, links, area, name), f"{name}_components")
     area.forget("neardup_members")
@@ -270,8 +272,9 @@ def keep_one(docs: DataFrame, area) -> DataFrame:
     """
     with staging(docs.sparkSession) as work:
         verdict = area.table(group(docs, work), "neardup_verdict")
-    gone = verdict.where("not kept and doc_id is not null").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = area.table(verdict.where("not kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct(), "neardup_gone")
+    doubtful, left = sift(docs, "doc_id", gone)
+    left = left.unionByName(doubtful.join(gone.withColumnRenamed("id", "doc_id"), "doc_id", "left_anti").select(docs.columns))
     repeated = verdict.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if repeated.limit(1).count() == 0:
         return left

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm import backoff, decontam, langid, mixing, neardup, quality, sharding, suffixes, tokens, warc
+from eventmart.llm.common import SPARSE, sift
 from eventmart.llm.queries import ORACLES
 
 WORDS = [f"w{k}" for k in range(400)]
@@ -126,6 +127,34 @@ def test_neardup(spark, area, docs):
     assert neardup.group(frame.limit(0), area).count() == 0
 
 
+def test_sift_leaves_few_rows_to_shuffle(spark, area):
+    """Every row with an id that is asked for, and few of the others: a semi or anti join need not shuffle whole texts."""
+    rows = spark.range(40_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'x' AS _sift_b0").unionByName(
+        spark.createDataFrame([(7, "twice", "x"), (None, "none", "x")], "doc_id bigint, text string, _sift_b0 string"))
+    ids = area.table(spark.range(0, 50_000, 7), "ids")
+    may, rest = sift(rows, "doc_id", ids)
+    assert may.columns == rest.columns == rows.columns
+    found, other = [Counter(r.doc_id for r in part.collect()) for part in (may, rest)]
+    assert found + other == Counter([*range(40_000), 7, None])
+    assert all(found[k] for k in range(0, 40_000, 7)) and found[7] == 2 and not any(k % 7 == 0 for k in other if k is not None)
+    assert len(found) < 40_000 * (1 / 7 + 2 / SPARSE)
+    may, rest = sift(rows, "doc_id", ids.limit(0))
+    assert may.count() == 0 and rest.count() == 40_002
+
+
+def test_neardup_shuffles_no_whole_text(spark, area, docs):
+    """Above the broadcast threshold the texts of documents that are kept do not go through a join's shuffle."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [prose(k, 40) for k in range(300)]
+        kept = neardup.keep_one(docs(*texts, *texts[:9]), area)
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+        assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_rare_pairs_hold_every_link(spark, area, docs):
     rng = random.Random(5)
     base, texts = prose(7, 90).split(), []
