@@ -59,13 +59,11 @@ def live_by_file(rows: DataFrame, facts: DataFrame, instances: DataFrame | None
 
     The windows run over one row per mode and file, not over lines.
     """
-    starts = (
-        facts.where(F.col("kind") == "start")
-        .groupBy("mode", *FILE)
-        .agg(F.max_by(F.col("start.live"), F.struct("block", "ord")).alias("live"))
-    )
-    needed = rows.select("mode", *FILE).distinct().withColumn("live", F.lit(None).cast("boolean"))
-    files = needed.unionByName(starts).groupBy("mode", *FILE).agg(F.max("live").alias("live"))
+    place = F.struct("block", "ord")
+    starts = facts.where(F.col("kind") == "start").select("mode", *FILE, F.col("start.live").alias("live"), place.alias("place"))
+    needed = rows.select("mode", *FILE)
+    # one aggregate, so that the union's parts are added up before the one shuffle; rows without a place tell nothing of the flag
+    files = starts.unionByName(needed, allowMissingColumns=True).groupBy("mode", *FILE).agg(F.max_by("live", "place").alias("live"))
     so_far = Window.partitionBy("mode").orderBy(*FILE).rowsBetween(Window.unboundedPreceding, 0)
     flags = files.withColumn("live", F.last("live", ignorenulls=True).over(so_far))
     if instances is not None:

@@ -15,6 +15,21 @@ from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, STREAM_STATE, TRADES, Warehouse, archive_table
 
 
+# Versions of the registry and of the state that a micro-batch reads; more of them are merged before it begins.
+SMALL_VERSIONS = 8
+
+
+def merge_small(warehouse: Warehouse, name: str) -> None:
+    """Merge the registry and the state when they lie in many versions, each of which every batch would read.
+
+    Not before a batch that is a repeat, nor while a batch run lies unfinished: these need the versions that they began with.
+    """
+    many = [table for table in (INSTANCES, STREAM_STATE) if len(warehouse.versions(table)) > SMALL_VERSIONS]
+    if many and runs.recorded(warehouse, name) is None and not runs.unfinished(warehouse):
+        for table in many:
+            warehouse.merge(table)
+
+
 def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream: str = "", **options) -> None:
     """One micro-batch: the registry and the state are those that it began with, every write is an upsert.
 
@@ -23,7 +38,7 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream:
     """
     spark = warehouse.spark
     options = {"now": timestamp_now(), **options}
-    run = runs.begin(warehouse, f"stream{stream}{batch:010d}", options.pop("now"))
+    run = runs.begin(warehouse, batch_name(stream, batch), options.pop("now"))
     with staging(spark) as area:
         # a repeated batch has the same files, but lines without them may be others
         held = runs.held(warehouse, run, *[options.get(name) for name in LINE_OPTIONS]) if "uri" in lines.columns else area
@@ -48,7 +63,11 @@ def process_batch(warehouse: Warehouse, lines: DataFrame, batch: int, *, stream:
         held.drop()
         # the records of the two newest batches cover a repeated one
         for old in range(max(0, batch - 3), batch - 1):
-            fs.delete(spark, runs.run_path(warehouse, f"stream{stream}{old:010d}"))
+            fs.delete(spark, runs.run_path(warehouse, batch_name(stream, old)))
+
+
+def batch_name(stream: str, batch: int) -> str:
+    return f"stream{stream}{batch:010d}"
 
 
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -62,7 +81,7 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
                   archive_dir: str | None = None, merge_every: int | None = 144, **options) -> StreamingQuery:
     """Start the stream. ``trigger`` defaults to every ten minutes; ``max_files`` bounds a batch;
     ``archive_dir`` takes consumed files, each below its whole path; after every ``merge_every`` batches, a day of them, the
-    keyed tables are merged (None: never, when a job of its own does it). Files are taken in order of modification time.
+    keyed tables are merged, the registry and the state earlier, by ``SMALL_VERSIONS`` (None: never, when a job of its own does it). Files are taken in order of modification time.
 
     Spark's file source moves a file only after its batch is committed, in threads of its own
     (``spark.sql.streaming.fileSource.cleaner.numThreads``), so a batch that is run again still finds its files.
@@ -77,7 +96,10 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
     lines = files.with_metadata(reader.load(source))
 
     def run(batch_lines: DataFrame, batch: int) -> None:
-        process_batch(warehouse, batch_lines, batch, stream=f"-{stream_name(spark, checkpoint)}-", **options)
+        stream = f"-{stream_name(spark, checkpoint)}-"
+        if merge_every:
+            merge_small(warehouse, batch_name(stream, batch))
+        process_batch(warehouse, batch_lines, batch, stream=stream, **options)
         if merge_every and batch % merge_every == merge_every - 1:
             grain = options.get("grain", "week")
             for table in (EQUITY, TRADES, INSTANCES, STREAM_STATE, *([archive_table(grain)] if grain else [])):

@@ -200,6 +200,19 @@ def random_files(seed: int) -> list[list[str]]:
     return [texts[:150], texts[150:400], texts[400:]]
 
 
+def test_live_flags_take_two_shuffles(spark, make_lines):
+    """The union of starts and rows is added up in its own tasks: one shuffle by mode and file, one by mode."""
+    facts = em.line_facts(em.parse_messages(make_lines(*random_files(4))))
+    rows = em.equity_of_line(facts)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = em.live_by_file(rows, facts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("block_size", [7, 1000])
 def test_run_matches_model(make_lines, seed, block_size):

@@ -226,3 +226,34 @@ def test_a_repeat_with_other_options_parses_anew(spark, tmp_path, files):
     assert len(staged_facts(tmp_path / "warehouse")) == 2
     em.run_batch(spark, source, warehouse, now="2024-05-01", require_equity=False)
     assert contents(warehouse) == contents(whole) and not staged_facts(tmp_path / "warehouse")
+
+
+def test_a_stream_reads_few_versions(spark, tmp_path, files, monkeypatch):
+    """The registry and the state of a long stream do not lie in a version for every batch; a repeat keeps the versions it began with."""
+    from eventmart.plans import runs
+
+    monkeypatch.setattr(ingest, "SMALL_VERSIONS", 1)
+    seen, plain = [], ingest.process_batch
+
+    def watched(warehouse, *args, **options):
+        seen.append([len(warehouse.versions(t)) for t in (em.INSTANCES, ingest.STREAM_STATE)])
+        plain(warehouse, *args, **options)
+
+    monkeypatch.setattr(ingest, "process_batch", watched)
+    logs = write_files(tmp_path / "logs", files)
+    merged, apart = em.Warehouse(spark, str(tmp_path / "merged"), 1), em.Warehouse(spark, str(tmp_path / "apart"), 1)
+    for warehouse, every in ((merged, 144), (apart, None)):
+        seen.clear()
+        query = ingest.stream_ingest(spark, logs, warehouse, checkpoint=f"{warehouse.root}-checkpoint", max_files=1,
+                                     trigger={"availableNow": True}, merge_every=every, now="n")
+        query.awaitTermination()
+        most = max(max(s) for s in seen)
+        assert len(seen) == 3 and (most == 2 if every is None else most <= 2 and merged.versions(em.INSTANCES)[0] != "000000000001")
+    assert contents(merged) == contents(apart)
+    rows = [sorted(map(str, w.read(em.INSTANCES).collect())) for w in (merged, apart)]
+    assert rows[0] == rows[1]
+    # the record of a batch that has begun
+    before = apart.versions(em.INSTANCES)
+    runs.begin(apart, "stream-x", "n")
+    ingest.merge_small(apart, "stream-x")
+    assert apart.versions(em.INSTANCES) == before
