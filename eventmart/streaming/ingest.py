@@ -15,18 +15,17 @@ from eventmart.sources import files, fs
 from eventmart.sources.tables import EQUITY, INSTANCES, STREAM_STATE, TRADES, Warehouse, archive_table
 
 
-# Versions of the registry and of the state that a micro-batch reads; more of them are merged before it begins.
-SMALL_VERSIONS = 8
+# Batches after which the registry and the state are merged, so that a batch does not read a version for each one before it.
+SMALL_EVERY = 8
 
 
 def merge_small(warehouse: Warehouse, name: str) -> None:
-    """Merge the registry and the state when they lie in many versions, each of which every batch would read.
+    """Merge the registry and the state, of which every batch reads all versions.
 
     Not before a batch that is a repeat, nor while a batch run lies unfinished: these need the versions that they began with.
     """
-    many = [table for table in (INSTANCES, STREAM_STATE) if len(warehouse.versions(table)) > SMALL_VERSIONS]
-    if many and runs.recorded(warehouse, name) is None and not runs.unfinished(warehouse):
-        for table in many:
+    if runs.recorded(warehouse, name) is None and not runs.unfinished(warehouse):
+        for table in (INSTANCES, STREAM_STATE):
             warehouse.merge(table)
 
 
@@ -81,7 +80,7 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
                   archive_dir: str | None = None, merge_every: int | None = 144, **options) -> StreamingQuery:
     """Start the stream. ``trigger`` defaults to every ten minutes; ``max_files`` bounds a batch;
     ``archive_dir`` takes consumed files, each below its whole path; after every ``merge_every`` batches, a day of them, the
-    keyed tables are merged, the registry and the state earlier, by ``SMALL_VERSIONS`` (None: never, when a job of its own does it). Files are taken in order of modification time.
+    keyed tables are merged, the registry and the state every ``SMALL_EVERY`` batches (None: never, when a job of its own does it). Files are taken in order of modification time.
 
     Spark's file source moves a file only after its batch is committed, in threads of its own
     (``spark.sql.streaming.fileSource.cleaner.numThreads``), so a batch that is run again still finds its files.
@@ -97,7 +96,7 @@ def stream_ingest(spark: SparkSession, source: str, warehouse: Warehouse, *, che
 
     def run(batch_lines: DataFrame, batch: int) -> None:
         stream = f"-{stream_name(spark, checkpoint)}-"
-        if merge_every:
+        if merge_every and batch and batch % SMALL_EVERY == 0:
             merge_small(warehouse, batch_name(stream, batch))
         process_batch(warehouse, batch_lines, batch, stream=stream, **options)
         if merge_every and batch % merge_every == merge_every - 1:
