@@ -39,8 +39,27 @@ def numbers(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"u{len(data) // n}") if n else np.empty(0, np.uint8)
 
 
+def shut(texts: list[str]) -> bytes:
+    """Texts as one compressed value. Spark holds whole rows in its readers, sorts and exchanges, several copies at a time."""
+    batch, sink = pa.record_batch([pa.array(texts, pa.large_string())], ["text"]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 1), use_threads=False)) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def opened(data: bytes) -> list[str]:
+    return pa.ipc.open_stream(data, options=pa.ipc.IpcReadOptions(use_threads=False)).read_all()["text"].to_pylist()
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Row after row: a block with its answers is large, and a batch may hold several."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 def block_rows(docs: DataFrame) -> DataFrame:
-    """(block, doc_ids, texts, n_words): neighbouring rows packed together."""
+    """(block, doc_ids, texts, n_words): neighbouring rows packed together, the texts shut."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -51,7 +70,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
         def flush():
             words = sum(len(split_words(t)) for t in texts)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())), pa.array([words], pa.int64())],
+                [pa.array([(task << 32) + number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([shut(texts)], pa.binary()), pa.array([words], pa.int64())],
                 ["block", "doc_ids", "texts", "n_words"])
 
         for batch in batches:
@@ -66,7 +85,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(pack, "block bigint, doc_ids array<bigint>, texts array<string>, n_words bigint")
+    return rows.mapInArrow(pack, "block bigint, doc_ids array<bigint>, texts binary, n_words bigint")
 
 
 def packed(names: np.ndarray) -> bytes:
@@ -131,20 +150,19 @@ def gathered(blocks: DataFrame, bits: int, lengths: range) -> DataFrame:
     words, first = WordHash(), np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                totals = answers_of(row["answers"], 2, lengths.start - 1)
-                for n, (grams, sent, _) in enumerate(levels(*block_words(row["texts"], words), totals, lengths.stop - 1), 1):
-                    if n not in lengths:
-                        continue
-                    names, counts = np.unique(grams[sent], return_counts=True)
-                    edges = [*np.searchsorted(names, first).tolist(), len(names)]
-                    rows = [(k, packed(names[a:b]), narrow(counts[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
-                    if rows:
-                        k, g, c = zip(*rows)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([n] * len(k), pa.int32()), pa.array(k, pa.int32()), pa.array([row["block"]] * len(k), pa.int64()), pa.array(g, pa.binary()), pa.array(c, pa.binary())],
-                            ["n", "part", "block", "grams", "counts"])
+        for row in rows_of(batches):
+            totals = answers_of(row["answers"], 2, lengths.start - 1)
+            for n, (grams, sent, _) in enumerate(levels(*block_words(opened(row["texts"]), words), totals, lengths.stop - 1), 1):
+                if n not in lengths:
+                    continue
+                names, counts = np.unique(grams[sent], return_counts=True)
+                edges = [*np.searchsorted(names, first).tolist(), len(names)]
+                rows = [(k, packed(names[a:b]), narrow(counts[a:b]).tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
+                if rows:
+                    k, g, c = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([n] * len(k), pa.int32()), pa.array(k, pa.int32()), pa.array([row["block"]] * len(k), pa.int64()), pa.array(g, pa.binary()), pa.array(c, pa.binary())],
+                        ["n", "part", "block", "grams", "counts"])
 
     return blocks.select("block", "texts", "answers").mapInArrow(emit, "n int, part int, block bigint, grams binary, counts binary")
 
@@ -203,10 +221,9 @@ def scores(docs: DataFrame, area, order: int = ORDER) -> DataFrame:
     words = WordHash()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n, s = score_block(row["texts"], answers_of(row["answers"], 1, order), n_words, words, order)
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["doc_id", "n_words", "log_score"])
+        for row in rows_of(batches):
+            n, s = score_block(opened(row["texts"]), answers_of(row["answers"], 1, order), n_words, words, order)
+            yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["doc_id", "n_words", "log_score"])
 
     found = asking.select("doc_ids", "texts", "answers").mapInArrow(score, "doc_id bigint, n_words bigint, log_score double")
     return found.withColumn("mean_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

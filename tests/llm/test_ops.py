@@ -206,6 +206,18 @@ def test_backoff(spark, area, docs):
     assert backoff.scores(docs(*texts).limit(0), area).count() == 0
 
 
+def test_backoff_blocks_are_shut(spark, area, docs):
+    """A block's texts are one value of a fraction of their size, and come back as they were."""
+    texts = [t[1] if isinstance(t, tuple) else t for t in awkward()] + [prose(k, 2000) for k in range(30)] + ["\x00", "😀 \u2028"]
+    blocks = backoff.block_rows(docs(*texts))
+    assert dict(blocks.dtypes)["texts"] == "binary"
+    rows = blocks.collect()
+    assert sorted(t for r in rows for t in backoff.opened(r.texts)) == sorted(t or "" for t in texts)
+    assert all(len(r.doc_ids) == len(backoff.opened(r.texts)) for r in rows)
+    assert 2 * sum(len(r.texts) for r in rows) < sum(len((t or "").encode()) for t in texts)
+    assert backoff.opened(backoff.shut([])) == []
+
+
 def test_backoff_query_has_order_3(spark, area, docs, tmp_path):
     from eventmart.llm.queries import QUERIES
 
